@@ -1,3 +1,158 @@
-from speechframe.catalog.base import Catalog
+"""Audio lookup and recovery, resume, speaker lists, combination of sources.
+
+A record has a file where its document has a waveform. The documents with a waveform are also the
+originals, so a record without a file is recovered where an exact copy of its text has one.
+"""
+
+from pyspark.sql import functions as F
+
+from speechframe.catalog.base import Catalog, on_samples, samples, sql_strip, table, waves, with_views
+from speechframe.operators import joins, stats
+from speechframe.plans import corpus
 
 CATALOG = Catalog()
+add = CATALOG.add
+
+
+def records(s, d):
+    path = F.concat(F.lit("E:\\out\\"), "dataset", F.lit("\\audio\\"), F.col("idx").cast("string"), F.lit(".wav"))
+    return samples(s, d).withColumn("audio_path", path)
+
+
+def files(s, d):
+    return waves(s, d).select(F.concat(F.col("idx").cast("string"), F.lit(".wav")).alias("file_name"), "audio")
+
+
+def originals(s, d):
+    """Padded texts; the waveform sits in the column and form of the source."""
+    docs = table(s, d, "documents").join(waves(s, d).select(F.col("idx").alias("doc_id"), "audio"), "doc_id")
+    padded = F.concat(F.lit("  "), "text", F.lit("\n"))
+    speaker = F.concat(F.lit("S_"), (F.col("doc_id") % 61).cast("string"))
+    return docs.select(F.col("doc_id").alias("ordinal"), padded.alias("text"), padded.alias("transcript"), speaker.alias("speaker_id"), "audio")
+
+
+SETUP = f""", files AS (SELECT idx AS file_idx, samples AS file_audio FROM wave),
+ orig AS (SELECT idx AS ordinal, {sql_strip("concat('  ', text, chr(10))")} AS k, concat('S_', doc_id % 61) AS speaker, samples AS audio
+   FROM documents JOIN wave ON idx = doc_id),
+ firsts AS (SELECT k, min(ordinal) AS ordinal FROM orig GROUP BY 1),
+ both_firsts AS (SELECT k, speaker, min(ordinal) AS ordinal FROM orig GROUP BY 1, 2),
+ attached AS (SELECT samples.*, file_audio FROM samples LEFT JOIN files ON file_idx = idx),
+ recovered AS (SELECT a.*, o.ordinal, o.audio AS recovered_audio FROM attached a LEFT JOIN firsts f ON file_audio IS NULL AND f.k = {sql_strip('a.transcript')}
+   LEFT JOIN orig o ON o.ordinal = f.ordinal),
+ status AS (SELECT *, CASE WHEN file_audio IS NOT NULL THEN 'present' WHEN recovered_audio IS NOT NULL THEN 'recovered' ELSE 'missing' END AS status FROM recovered)
+"""
+
+
+def on_recovery(sql):
+    return with_views("", "samples", "wave").rstrip() + SETUP + sql
+
+
+def statuses(s, d):
+    return corpus.recover_source(records(s, d), files(s, d), originals(s, d), "laions")
+
+
+def _first(column):
+    """First sample of a clip, as an exact number."""
+    return F.element_at(F.col(column)["array"], 1).cast("double")
+
+
+add(
+    "attach_audio",
+    lambda s, d: joins.attach_audio(records(s, d), files(s, d)).select("idx", _first("file_audio").alias("first_sample")),
+    on_recovery("SELECT idx, CAST(file_audio[1] AS DOUBLE) AS first_sample FROM attached"),
+)
+add(
+    "recover_audio_by_text",
+    lambda s, d: joins.recover_audio(joins.without_file(records(s, d), files(s, d)), originals(s, d), "laions").select(
+        "idx", _first("recovered_audio").alias("first_sample")
+    ),
+    on_recovery("SELECT idx, CAST(recovered_audio[1] AS DOUBLE) AS first_sample FROM recovered WHERE file_audio IS NULL"),
+)
+add(
+    "recover_audio_by_speaker",
+    lambda s, d: joins.recover_audio(joins.without_file(records(s, d), files(s, d)), originals(s, d), "globe_v2").select(
+        "idx", _first("recovered_audio").alias("first_sample")
+    ),
+    on_recovery(
+        f"""SELECT idx, CAST(o.audio[1] AS DOUBLE) AS first_sample FROM attached a LEFT JOIN both_firsts f
+        ON f.k = {sql_strip('a.transcript')} AND f.speaker = a.speaker_id LEFT JOIN orig o ON o.ordinal = f.ordinal WHERE file_audio IS NULL"""
+    ),
+)
+add(
+    "audio_status",
+    lambda s, d: statuses(s, d).select("idx", "dataset", "status", _first("audio").alias("first_sample")),
+    on_recovery("SELECT idx, dataset, status, CAST(coalesce(file_audio, recovered_audio)[1] AS DOUBLE) AS first_sample FROM status"),
+)
+add(
+    "audio_counters",
+    lambda s, d: joins.pipeline_counters(statuses(s, d)),
+    on_recovery(
+        "".join(
+            f"""{link} SELECT {key} AS dataset, count(*) AS total_processed, count(*) FILTER (WHERE status <> 'present') AS missing_audio,
+            count(*) FILTER (WHERE status = 'recovered') AS recovered_audio, count(*) FILTER (WHERE status = 'missing') AS audio_errors,
+            count(*) FILTER (WHERE status <> 'missing') AS successful FROM status {group}"""
+            for link, key, group in [("", "dataset", "GROUP BY 1"), ("UNION ALL", "'total'", "")]
+        )
+    ),
+)
+add(
+    "resume",
+    lambda s, d: joins.resume(
+        samples(s, d), table(s, d, "labels").join(table(s, d, "documents"), "doc_id").select(F.col("source").alias("dataset"), F.col("doc_id").alias("idx"))
+    ).select("idx", "dataset"),
+    on_samples("SELECT idx, dataset FROM samples WHERE idx NOT IN (SELECT doc_id FROM labels)"),
+)
+add(
+    "only_top_speakers",
+    lambda s, d: joins.only_speakers(
+        samples(s, d), stats.top_k(samples(s, d), "speaker_id", 10).withColumnRenamed("value", "speaker_id")
+    ).select("idx", "speaker_id"),
+    on_samples(
+        "SELECT idx, speaker_id FROM samples WHERE speaker_id IN (SELECT speaker_id FROM samples GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 10)"
+    ),
+)
+add(
+    "lookup_frequent_keys",
+    lambda s, d: joins.lookup(
+        table(s, d, "events").select("event_id", "user_id"),
+        table(s, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name"),
+        "user_id",
+        "event_id",
+        hot_rows=60,
+    ),
+    "SELECT event_id, user_id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id",
+)
+
+
+def four_sources(s, d):
+    """The corpus dealt to the four sources; each keeps its own row numbers."""
+    rows = statuses(s, d)
+    names = ["globe_v2", "animevox", "laions", "anispeech"]
+    place = F.pmod(F.length("dataset") + F.col("idx"), F.lit(len(names)))
+    return {n: rows.where(place == i).withColumn("dataset", F.lit(n)) for i, n in enumerate(names)}
+
+
+COMBINED = """, c AS (SELECT *, (length(dataset) + idx) % 4 AS place, coalesce(file_audio, recovered_audio) AS audio FROM status WHERE status <> 'missing'),
+ o AS (SELECT *, CASE place WHEN 0 THEN 'globe_v2' WHEN 1 THEN 'animevox' WHEN 2 THEN 'laions' ELSE 'anispeech' END AS name FROM c)
+SELECT row_number() OVER (ORDER BY CASE name WHEN 'animevox' THEN 0 WHEN 'anispeech' THEN 1 WHEN 'globe_v2' THEN 2 ELSE 3 END, idx) - 1 AS "index",
+  name AS dataset, speaker_id, transcript, gender, CAST(audio[1] AS DOUBLE) AS first_sample FROM o"""
+add(
+    "combine",
+    lambda s, d: corpus.combine(four_sources(s, d)).select("index", "dataset", "speaker_id", "transcript", "gender", _first("audio").alias("first_sample")),
+    on_recovery("").rstrip() + COMBINED,
+)
+add(
+    "update_splits",
+    lambda s, d: corpus.update(corpus.combine(four_sources(s, d))).groupBy("split").agg(
+        F.count("*").alias("rows"), F.max("speaker_id").alias("last_position")
+    ),
+    on_recovery(
+        f"""SELECT 'train' AS split, least(10000, count(*) * 2 // 3) AS rows, least(10000, count(*) * 2 // 3) - 1 AS last_position
+        FROM status WHERE status <> 'missing' AND length({sql_strip('voice_description')}) >= 60
+        UNION ALL SELECT 'validation', least(3000, count(*) // 6), least(3000, count(*) // 6) - 1
+        FROM status WHERE status <> 'missing' AND length({sql_strip('voice_description')}) >= 60
+        UNION ALL SELECT 'test', least(2000, count(*) - least(10000, count(*) * 2 // 3) - least(3000, count(*) // 6)),
+        least(2000, count(*) - least(10000, count(*) * 2 // 3) - least(3000, count(*) // 6)) - 1
+        FROM status WHERE status <> 'missing' AND length({sql_strip('voice_description')}) >= 60"""
+    ),
+)

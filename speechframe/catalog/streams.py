@@ -1,3 +1,95 @@
-from speechframe.catalog.base import Catalog
+"""Streaming forms over the given tables read as growing folders."""
+
+from pyspark.sql import functions as F
+
+from speechframe.catalog.base import Catalog, rounded, table
+from speechframe.session import workspace
+from speechframe.sources.adapters import normalize_source
+from speechframe.sources.readers import stream_records
+from speechframe.streaming import ingest as streams
 
 CATALOG = Catalog()
+add = CATALOG.add
+
+
+def stream(s, d, name, files_per_batch=None):
+    # the last letter in brackets makes the path a pattern, which a stream needs to read a single file
+    schema = table(s, d, name).schema
+    return stream_records(s, f"{d}/{name}.parque[t]", schema, "parquet", files_per_batch)
+
+
+def parts(s, d, name, key, n):
+    """The table as a folder of ``n`` files, each holding one range of the key."""
+    path = workspace(s, name)
+    table(s, d, name).repartitionByRange(n, key).write.parquet(path)
+    return path
+
+
+def ingested(s, d):
+    place = workspace(s, "ingest")
+
+    def shape(df):
+        audio = F.array(F.col("value").cast("float")).alias("wav")
+        rows = normalize_source(df.select(F.col("event_id").alias("idx"), audio, F.col("props").alias("json")), "laions")
+        return rows.select("idx", "dataset", "speaker_id", "transcript", "duration", "emotion")
+
+    for _ in range(2):  # the second run finds nothing new
+        streams.ingest(stream(s, d, "events"), f"{place}/sink", f"{place}/checkpoint", shape).awaitTermination()
+    return rounded(s.read.parquet(f"{place}/sink"))
+
+
+add(
+    "stream_ingest",
+    ingested,
+    """SELECT event_id AS idx, 'laions' AS dataset, concat('laions_', event_id) AS speaker_id, '' AS transcript, round(1 / 24000, 6) AS duration,
+    'unknown' AS emotion FROM events""",
+)
+
+
+def totals(s, d):
+    place = workspace(s, "totals")
+    source = stream_records(s, parts(s, d, "events", "event_id", 8), table(s, d, "events").schema, "parquet", 1)
+    streams.batch_totals(source, f"{place}/sink", f"{place}/checkpoint", "value")
+    done = streams.running_batch_totals(s, f"{place}/sink")
+    return rounded(done.agg(F.count("*").alias("batches"), F.sum("rows").alias("rows"), F.max("running_total").alias("running_total")), 3)
+
+
+add(
+    "stream_batch_totals",
+    totals,
+    "SELECT 8 AS batches, count(*) AS rows, round(sum(value), 3) AS running_total FROM events",
+)
+
+
+def bounded(s, d):
+    place = workspace(s, "bounded")
+    source = stream_records(s, parts(s, d, "events", "event_id", 8), table(s, d, "events").schema, "parquet", 1)
+    streams.max_batches(source, 3, f"{place}/sink", f"{place}/checkpoint", "value")
+    return streams.running_batch_totals(s, f"{place}/sink").select("batch_id")
+
+
+add("stream_max_batches", bounded, "SELECT CAST(unnest([0, 1, 2]) AS BIGINT) AS batch_id FROM (SELECT count(*) FROM events)")
+
+
+def deduplicated(s, d):
+    place = workspace(s, "dedup")
+    unique = streams.dedup(stream(s, d, "conversations").select("conv_id", "role"), ["conv_id", "role"])
+    streams.ingest(unique, f"{place}/sink", f"{place}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{place}/sink")
+
+
+add("stream_dedup", deduplicated, "SELECT DISTINCT conv_id, role FROM conversations")
+
+
+def counted(s, d, name, column):
+    place = workspace(s, "counts")
+    streams.save_counts(streams.streaming_counts(stream(s, d, name), column), f"{place}/sink", f"{place}/checkpoint")
+    return s.read.parquet(f"{place}/sink")
+
+
+for name, column in [("events", "event_type"), ("conversations", "role"), ("documents", "source")]:
+    add(
+        f"stream_counts_{column}",
+        lambda s, d, n=name, c=column: counted(s, d, n, c),
+        f"SELECT {column} AS value, count(*) AS count FROM {name} GROUP BY 1",
+    )

@@ -8,6 +8,10 @@ from pyspark.sql import Column, functions as F
 # of a regular-expression class. Java's own \s is ASCII only.
 WHITESPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 
+# A word, for counting: printable ASCII is tested first because most characters are, and what was
+# matched is never given back.
+_WORD = f"[!-~[^{WHITESPACE}]]++"
+
 # Accent regions in the order in which they are tried, with the lower-case pieces
 # that select them. 'us' also hits Australian and Russian, 'english' also New Zealand English.
 ACCENT_REGIONS = [
@@ -67,12 +71,12 @@ def char_length(c) -> Column:
 
 def word_count(c) -> Column:
     """Number of whitespace-separated words: '' has none, null stays null."""
-    return F.regexp_count(_col(c), F.lit(f"[^{WHITESPACE}]+"))
+    return F.regexp_count(_col(c), F.lit(_WORD))
 
 
 def words(c) -> Column:
     """The whitespace-separated words themselves, punctuation kept."""
-    return F.regexp_extract_all(_col(c), F.lit(f"[^{WHITESPACE}]+"), F.lit(0))
+    return F.regexp_extract_all(_col(c), F.lit(_WORD), F.lit(0))
 
 
 def speaking_rate(word_col, duration_col) -> Column:
@@ -101,8 +105,25 @@ def fmt_thousands(c) -> Column:
 
 
 def fmt_decimals(c, digits: int) -> Column:
-    """Fixed decimals, ties to even; format_string alone rounds ties up."""
-    return F.format_string(f"%.{digits}f", F.bround(_col(c).cast("double"), digits))
+    """Fixed decimals of the exact value with ties to even, for 0 or 1 digits.
+
+    format_string rounds the shortest decimal that prints as the value, and half up: 142.5 would give
+    143 and 0.35, which lies below its name, 0.4.
+    """
+    x = _col(c).cast("double")
+    if digits == 0:
+        return F.format_string("%.0f", F.bround(x, 0))
+    if digits != 1:
+        raise ValueError(f"digits must be 0 or 1: {digits}")
+    whole = F.floor(x).cast("double")
+    part = x - whole
+    # ten times the fraction as a sum of two exact products, with what the sum lost
+    tenths = part * 8.0 + part * 2.0
+    lost = (part * 8.0 - (tenths - (tenths - part * 8.0))) + (part * 2.0 - (tenths - part * 8.0))
+    low = F.floor(tenths).cast("double")
+    above = tenths - low
+    up = (above > 0.5) | ((above == 0.5) & ((lost > 0) | ((lost == 0) & (low % 2 == 1))))
+    return F.format_string("%.1f", whole + (low + F.when(up, 1.0).otherwise(0.0)) / 10.0)
 
 
 def fmt_padded(c, width: int) -> Column:

@@ -149,20 +149,19 @@ NUMERIC = ["duration", "transcript_length", "word_count", "description_length",
 def correlation(df: DataFrame, cols=NUMERIC) -> DataFrame:
     """Pearson matrix as rows ``(a, b, r)`` over the rows where both are present; null where one is constant.
 
-    One pass and one row of partial sums per task for the whole matrix.
+    One pass: every row yields its pairs, which are summed before the shuffle, so one row per pair and task moves.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    aggregates = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = finite(F.col(a).cast("double")), finite(F.col(b).cast("double"))
-        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-        aggregates.append(r.alias(f"r{i}"))
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            rows.append(F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"r{i}").alias("r")))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    numbers = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
+    cells = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y")) for i, (a, b) in enumerate(pairs)]
+    long = numbers.select(F.inline(F.array(*cells))).where("x IS NOT NULL AND y IS NOT NULL")
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    summed = long.groupBy("pair").agg(r.alias("r"))
+    both_ways = [F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in dict.fromkeys([(a, b), (b, a)])]) for a, b in pairs]
+    # a pair without any complete row is still listed
+    listed = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    named = listed.join(F.broadcast(summed), "pair", "left").withColumn("name", F.element_at(F.array(*both_ways), F.col("pair") + 1))
+    return named.select(F.explode("name").alias("name"), "r").select("name.a", "name.b", "r")
 
 
 # --- text metrics and descriptions -------------------------------------------------------------

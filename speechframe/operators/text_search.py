@@ -124,7 +124,9 @@ def _cosine(weights: DataFrame, query: DataFrame) -> DataFrame:
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
     )
     length = query.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).scalar()
-    return sums.where(F.col("dot") > 0).select("key", F.try_divide(F.col("dot"), F.col("norm") * length).alias("similarity"))
+    # Sums run in any order: rounding keeps equal texts equal, so that ties fall to the key
+    cosine = F.round(F.try_divide(F.col("dot"), F.col("norm") * length), 12)
+    return sums.where(F.col("dot") > 0).select("key", cosine.alias("similarity"))
 
 
 def find_similar(df: DataFrame, query: str, k: int = 5, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 2), stop=ENGLISH_STOP_WORDS) -> DataFrame:

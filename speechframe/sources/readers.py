@@ -67,8 +67,8 @@ def _decode(content: bytes):
     return samples.astype(np.float32), rate
 
 
-def scan_wav(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(path, audio)`` of every WAV file; an unreadable file has null audio and does not fail the scan."""
+def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav") -> DataFrame:
+    """``(path, audio)`` of every WAV file in a folder; an unreadable file has null audio and does not fail the scan."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -81,7 +81,7 @@ def scan_wav(spark: SparkSession, pattern: str) -> DataFrame:
                     sounds.append(None)
             yield pd.DataFrame({"path": batch["path"], "audio": pd.Series(sounds, index=batch.index, dtype=object)})
 
-    files = spark.read.format("binaryFile").load(pattern).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select("path", "content")
     return files.mapInPandas(decode, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO)]))
 
 
