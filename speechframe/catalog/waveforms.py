@@ -81,12 +81,12 @@ TRIM = f""", r AS (SELECT idx, samples, {sql_rms('samples', 16, 8)} AS levels FR
  k AS (SELECT idx, samples[first + 1 : last] AS kept FROM t) """
 add(
     "trim_silence",
-    lambda s, d: exploded(waveform.trim_silence(clips(s, d), "samples", 3.0, 16, 8), "samples"),
+    lambda s, d: exploded(clips(s, d).withColumn("samples", waveform.trim_silence("samples", 3.0, 16, 8)), "samples"),
     on_wave(TRIM + UNNESTED.format(x="kept", source="k")).replace(")\n,", "),"),
 )
 add(
     "preprocess",
-    lambda s, d: exploded(waveform.preprocess(clips(s, d), "samples", "sampling_rate", 2.0, 3.0, 16, 8), "samples"),
+    lambda s, d: exploded(clips(s, d).withColumn("samples", waveform.preprocess("samples", "sampling_rate", 2.0, 3.0, 16, 8)), "samples"),
     on_wave(
         TRIM.rstrip()
         + ", c AS (SELECT idx, kept[1:32] AS kept FROM k), p AS (SELECT idx, kept, CAST(list_max(list_transform(kept, lambda x: abs(x))) AS DOUBLE) AS peak FROM c), "
@@ -96,7 +96,7 @@ add(
 )
 add(
     "preprocess_short_form",
-    lambda s, d: exploded(waveform.preprocess(stereo(clips(s, d)), "frames", "sampling_rate", trim=False), "frames"),
+    lambda s, d: exploded(stereo(clips(s, d)).withColumn("frames", waveform.preprocess("frames", "sampling_rate", trim=False, channels=True)), "frames"),
     on_wave(
         ", m AS (SELECT idx, list_transform(range(0, len(samples) // 2), lambda i: CAST((CAST(samples[2 * i + 1] AS DOUBLE) + CAST(samples[2 * i + 2] AS DOUBLE)) / 2 AS FLOAT)) AS mono FROM wave), "
         + "p AS (SELECT idx, mono, CAST(list_max(list_transform(mono, lambda x: abs(x))) AS DOUBLE) AS peak FROM m), "

@@ -20,6 +20,14 @@ def unify_audio(df, column: str, default_rate: int = 16000) -> Column:
     )
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An expression named inside a lambda is otherwise computed again for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def to_mono(frames) -> Column:
     """Mean across the channels of every frame."""
     return F.transform(
@@ -40,13 +48,13 @@ def peak(samples) -> Column:
 
 def peak_normalize(samples) -> Column:
     """Divide by the largest magnitude; a silent clip gives null elements."""
-    top = peak(samples).cast("double")
-    return F.transform(_col(samples), lambda x: F.try_divide(x.cast("double"), top))
+    scaled = lambda s: bind(
+        peak(s).cast("double"), lambda top: F.transform(s, lambda x: F.try_divide(x.cast("double"), top))
+    )
+    return bind(_col(samples), scaled)
 
 
-def frame_rms(samples, frame: int = 2048, hop: int = 512) -> Column:
-    """RMS of centred frames; the clip is zero-padded by half a frame at both ends."""
-    samples = _col(samples)
+def _frame_rms(samples: Column, frame: int, hop: int) -> Column:
     size = F.size(samples)
 
     def rms(i: Column) -> Column:
@@ -57,46 +65,46 @@ def frame_rms(samples, frame: int = 2048, hop: int = 512) -> Column:
         energy = F.aggregate(inside, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
         return F.sqrt(energy / F.lit(float(frame)))
 
-    frames = F.sequence(F.lit(0), F.floor(size / F.lit(hop)).cast("int"))
-    return F.transform(frames, rms)
+    return F.transform(F.sequence(F.lit(0), F.floor(size / F.lit(hop)).cast("int")), rms)
+
+
+def frame_rms(samples, frame: int = 2048, hop: int = 512) -> Column:
+    """RMS of centred frames; the clip is zero-padded by half a frame at both ends."""
+    return bind(_col(samples), lambda s: _frame_rms(s, frame, hop))
 
 
 def rms_energy(samples, frame: int = 2048, hop: int = 512) -> Column:
     """Mean of the framed RMS."""
-    values = frame_rms(samples, frame, hop)
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x, lambda a: a / F.size(values))
+    mean = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+    return bind(frame_rms(samples, frame, hop), mean)
 
 
-def silence_bounds(levels, size, hop: int, top_db: float = 60.0) -> Column:
-    """(start, end) samples of the part louder than the loudest frame minus ``top_db``.
-
-    ``levels`` is the framed RMS of the clip.
-    """
-    levels, size = _col(levels), _col(size)
+def _loud_range(levels: Column, size: Column, hop: int, top_db: float) -> Column:
+    """Start and end sample of the part louder than the loudest frame minus ``top_db``."""
     # 1e-10 is the power floor of the decibel scale
     power = lambda x: F.greatest(x * x, F.lit(1e-10))
-    loudest = power(F.array_max(levels))
-    loud = F.transform(levels, lambda x: F.log10(power(x) / loudest) * F.lit(10.0) > F.lit(-float(top_db)))
-    first = F.array_position(loud, F.lit(True)) - F.lit(1)
-    last = F.size(loud) - F.array_position(F.reverse(loud), F.lit(True)) + F.lit(1)
-    return F.when(
-        F.array_contains(loud, True),
-        F.struct(
+    is_loud = lambda top: F.transform(levels, lambda x: F.log10(power(x) / top) * F.lit(10.0) > F.lit(-float(top_db)))
+
+    def cut(loud):
+        first = F.array_position(loud, F.lit(True)) - F.lit(1)
+        last = F.size(loud) - F.array_position(F.reverse(loud), F.lit(True)) + F.lit(1)
+        return F.struct(
             (first * F.lit(hop)).cast("int").alias("start"),
             F.least(last * F.lit(hop), size).cast("int").alias("end"),
-        ),
-    ).otherwise(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")))
+        )
 
+    return bind(bind(power(F.array_max(levels)), is_loud), cut)
 
-def trim_silence(df, column: str, top_db: float = 60.0, frame: int = 2048, hop: int = 512, out: str | None = None):
-    """Cut quiet frames off both ends of a waveform column."""
-    # The levels and bounds are columns of their own, so the frames are measured once per row.
-    bounds = df.withColumn("_levels", frame_rms(column, frame, hop)).withColumn(
-        "_cut", silence_bounds("_levels", F.size(column), hop, top_db)
-    )
-    cut = F.col("_cut")
-    kept = F.slice(F.col(column), cut["start"] + F.lit(1), F.greatest(cut["end"] - cut["start"], F.lit(0)))
-    return bounds.withColumn(out or column, kept).drop("_levels", "_cut")
+
+def trim_silence(samples, top_db: float = 60.0, frame: int = 2048, hop: int = 512) -> Column:
+    """Cut frames quieter than the loudest one minus ``top_db`` off both ends."""
+
+    def kept(s):
+        keep = lambda c: F.slice(s, c["start"] + F.lit(1), F.greatest(c["end"] - c["start"], F.lit(0)))
+        found = lambda levels: bind(_loud_range(levels, F.size(s), hop, top_db), keep)
+        return bind(_frame_rms(s, frame, hop), found)
+
+    return bind(_col(samples), kept)
 
 
 def duration_of(samples, rate) -> Column:
@@ -115,12 +123,12 @@ def signal_stats(samples) -> Column:
     )
 
 
-def preprocess(df, column: str, rate, seconds: float = 10.0, top_db=60.0, frame=2048, hop=512, trim=True):
-    """Mono, trim, clip and normalise; ``trim=False`` is the short form: mono and normalise."""
-    kind = df.schema[column].dataType
-    if isinstance(kind.elementType, T.ArrayType):
-        df = df.withColumn(column, to_mono(column))
+def preprocess(samples, rate, seconds: float = 10.0, top_db=60.0, frame=2048, hop=512, trim=True, channels=False) -> Column:
+    """Mono, trim, clip and normalise; ``trim=False`` is the short form: mono and normalise.
+
+    ``channels`` says that every element holds one value per channel.
+    """
+    sound = to_mono(samples) if channels else _col(samples)
     if trim:
-        df = trim_silence(df, column, top_db, frame, hop)
-        df = df.withColumn(column, clip(column, rate, seconds))
-    return df.withColumn(column, peak_normalize(column))
+        sound = clip(trim_silence(sound, top_db, frame, hop), rate, seconds)
+    return peak_normalize(sound)
