@@ -10,6 +10,7 @@ from speechframe.operators.prompts import build_prompt
 from speechframe.operators.records import split_projection, to_combined, to_record
 from speechframe.operators.sampling import SPLIT_CAPS, decaying_sample, split3
 from speechframe.schemas import SOURCE_ORDER
+from speechframe.session import materialize
 from speechframe.sources.adapters import normalize_source
 
 
@@ -48,7 +49,8 @@ def recover_source(records: DataFrame, files: DataFrame, originals: DataFrame |
 def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
     """Usable rows of all sources in the fixed order under one 0-based ``index``; an absent source is skipped.
 
-    Only the keys are numbered; the audio joins its number afterwards.
+    The rows are written once, so that their audio is looked up once. Then only keys are numbered, read from
+    two columns of that table, and the audio joins its number.
     """
     parts = []
     for rank, name in enumerate(SOURCE_ORDER):
@@ -58,6 +60,7 @@ def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
     good, _ = to_combined(has_audio(rows).withColumn("index", F.col(key)))
+    good = materialize(good, "combined")
     order = F.element_at(F.create_map(*[x for i, s in enumerate(SOURCE_ORDER) for x in (F.lit(s), F.lit(i))]), F.col("dataset"))
     keys = good.select("dataset", F.col("index").alias("_key"), order.alias("_rank"))
     numbered = with_ordinal(keys, ["_rank", "_key"], name="_index").drop("_rank")

@@ -35,17 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, so that every later reader sees the same rows.
+def workspace(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder, in the part that belongs to this application."""
+    return f"{shared_dir(spark)}/speechframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
 
-    Reliable storage: it outlives the executors that wrote it.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Compute ``df`` once into a table in the shared folder, so that every later reader sees the same rows.
+
+    The table outlives the executors that wrote it, and a reader that needs few columns reads only those.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/speechframe/{name}-{uuid.uuid4().hex}"
+def drop_workspace(spark: SparkSession) -> None:
+    """Delete what this application has left in the shared folder, once its results are no longer needed."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/speechframe/{spark.sparkContext.applicationId}")
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
