@@ -6,6 +6,8 @@ The view texts run unchanged in Spark and in the checking database. They keep ev
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from speechframe.sources.readers import spread
+
 SAMPLES = """
 SELECT doc_id AS idx,
        source AS dataset,
@@ -62,8 +64,13 @@ def samples(spark, sf):
     return view(spark, sf, "samples")
 
 
+def texts(spark, sf):
+    """The samples for work that is heavy per text."""
+    return spread(samples(spark, sf))
+
+
 def responses(spark, sf):
-    return view(spark, sf, "responses")
+    return spread(view(spark, sf, "responses"))
 
 
 def waves(spark, sf):

@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from speechframe.catalog.base import SQL_WORD, Catalog, on_samples, rounded, samples, table
+from speechframe.catalog.base import SQL_WORD, Catalog, on_samples, rounded, table, texts
 from speechframe.catalog.scalars import TYPE
 from speechframe.operators import classify, text_search
 from speechframe.operators.text_search import ENGLISH_STOP_WORDS
 from speechframe.session import workspace
+from speechframe.sources.readers import spread
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -22,7 +23,7 @@ HITS = ", w AS (SELECT unnest(regexp_extract_all(lower(voice_description), '{t}+
 CATEGORY = "CASE " + " ".join(f"WHEN w IN ({quoted(v)}) THEN '{c}'" for c, v in text_search.TRAITS.items()) + " END"
 add(
     "trait_counts",
-    lambda s, d: text_search.trait_counts(samples(s, d)).drop("rank"),
+    lambda s, d: text_search.trait_counts(texts(s, d)).drop("rank"),
     on_samples("").rstrip()
     + HITS
     + f""" SELECT category, trait, count FROM (SELECT {CATEGORY} AS category, w AS trait, count(*) AS count,
@@ -30,14 +31,14 @@ add(
 )
 add(
     "trait_counts_flat",
-    lambda s, d: text_search.trait_counts_flat(samples(s, d)),
+    lambda s, d: text_search.trait_counts_flat(texts(s, d)),
     on_samples("").rstrip()
     + HITS
     + f" SELECT w AS value, count(*) AS count FROM w WHERE w IN ({quoted(text_search.FLAT_TRAITS)}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
 )
 add(
     "word_frequency",
-    lambda s, d: text_search.word_frequency(samples(s, d), 20),
+    lambda s, d: text_search.word_frequency(texts(s, d), 20),
     on_samples("").rstrip()
     + f", w AS (SELECT unnest(regexp_extract_all(lower(voice_description), '{SQL_WORD}')) AS word FROM samples)"
     + " SELECT word, count(*) AS count FROM w GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
@@ -59,12 +60,12 @@ def weights_sql(source, key, text, features, bigrams, extra=""):
 NORMED = " SELECT key, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY key)), 6) AS weight FROM weights"
 add(
     "tfidf_documents",
-    lambda s, d: rounded(text_search.tfidf(table(s, d, "documents"), "text", "doc_id", 1000, (1, 1))),
+    lambda s, d: rounded(text_search.tfidf(spread(table(s, d, "documents")), "text", "doc_id", 1000, (1, 1))),
     "WITH " + weights_sql("documents", "doc_id", "text", 1000, False) + NORMED,
 )
 add(
     "tfidf_bigrams",
-    lambda s, d: rounded(text_search.tfidf(samples(s, d), **text_search.BIGRAM_1000)),
+    lambda s, d: rounded(text_search.tfidf(texts(s, d), **text_search.BIGRAM_1000)),
     on_samples("").rstrip() + "," + weights_sql("samples", "idx", "voice_description", 1000, True) + NORMED,
 )
 
@@ -79,7 +80,7 @@ FROM samples LEFT JOIN dots ON key = idx ORDER BY coalesce(dots.similarity, 0) D
 for name, config, bigrams in [("unigrams", text_search.UNIGRAM_1000, False), ("bigrams", text_search.BIGRAM_1000, True)]:
     add(
         f"find_similar_{name}",
-        lambda s, d, c=config: rounded(text_search.find_similar(samples(s, d), TARGET, 5, **c)),
+        lambda s, d, c=config: rounded(text_search.find_similar(texts(s, d), TARGET, 5, **c)),
         on_samples("").rstrip()
         + ","
         + weights_sql("samples", "idx", "voice_description", 1000, bigrams, f"UNION ALL SELECT NULL, '{TARGET}'")
@@ -90,7 +91,7 @@ ASKED = "deep authoritative male voice zzunseen"
 
 
 def searched(s, d):
-    df = samples(s, d)
+    df = texts(s, d)
     path = text_search.search_index(df, workspace(s, "index"))
     return rounded(text_search.search(df, path, ASKED, 3))
 
@@ -105,12 +106,12 @@ add(
 )
 add(
     "label_characters",
-    lambda s, d: classify.label_characters(samples(s, d)),
+    lambda s, d: classify.label_characters(texts(s, d)),
     on_samples(f"SELECT idx, voice_description, {TYPE.format(c='voice_description')} AS label FROM samples"),
 )
 add(
     "classifier_report",
-    lambda s, d: rounded(classify.evaluate_classifier(samples(s, d))),
+    lambda s, d: rounded(classify.evaluate_classifier(texts(s, d))),
 )
 add(
     "classification_report",

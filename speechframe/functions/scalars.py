@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F
 # The characters that count as whitespace for strip() and split(), as the inside
 # of a regular-expression class. Java's own \s is ASCII only.
 WHITESPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+# The same characters one by one.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # A word, for counting: printable ASCII is tested first because most characters are, and what was
 # matched is never given back.
@@ -92,7 +97,7 @@ def finite(c) -> Column:
 
 def strip(c) -> Column:
     """Trim every kind of whitespace, not only U+0020."""
-    return F.regexp_replace(_col(c), rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def title(c) -> Column:

@@ -21,8 +21,10 @@ DEFAULT_ACCENT = "General American"
 
 def tag_value(c, name: str) -> Column:
     """Stripped value of a tag line, null without the tag. The blank after the colon may swallow newlines."""
-    pattern = rf"(?iu){name}:[{WHITESPACE}]*([^\n]+)"
-    return F.when(_col(c).rlike(pattern), strip(F.regexp_extract(_col(c), pattern, 1)))
+    pattern = rf"(?i){name}:[{WHITESPACE}]*([^\n]+)"
+    # The whole text is searched once; the value is then cut out of the short hit, which is never empty.
+    hit = F.nullif(F.regexp_extract(_col(c), pattern, 0), F.lit(""))
+    return strip(F.regexp_extract(hit, pattern, 1))
 
 
 def gender_of(value) -> Column:
@@ -58,5 +60,6 @@ def parse_profile(c) -> Column:
     """The text behind VOICE_PROFILE:, or without that tag the text minus its tag lines."""
     text = _col(c)
     pattern = rf"(?ius)VOICE_PROFILE:[{WHITESPACE}]*(.+)"
-    cleaned = F.regexp_replace(text, rf"(?iu)(GENDER|AGE|ACCENT):[{WHITESPACE}]*[^\n]*\n?", "")
-    return F.when(text.rlike(pattern), strip(F.regexp_extract(text, pattern, 1))).otherwise(strip(cleaned))
+    hit = F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+    cleaned = F.regexp_replace(text, rf"(?i)(GENDER|AGE|ACCENT):[{WHITESPACE}]*[^\n]*\n?", "")
+    return F.coalesce(strip(F.regexp_extract(hit, pattern, 1)), strip(cleaned))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechframe.functions.scalars import basename, strip
 from speechframe.functions.waveform import unify_audio
+from speechframe.session import materialize
 
 # A key on at least this many rows is joined in SALTS pieces. At most rows / HOT_KEY_ROWS keys can be
 # that frequent, which bounds the broadcast list of them.
@@ -52,21 +53,22 @@ def recovery_key(source: str, text: str, speaker: str = "speaker_id"):
     value = strip(text)
     if source == "globe_v2":
         value = F.concat(F.col(speaker), F.lit(chr(31)), value)
-    return F.sha2(value, 256)
+    return F.unhex(F.sha2(value, 256))
 
 
 def recover_audio(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", audio: str = "audio", default_rate: int = 16000):
     """``recovered_audio`` of every missing record from the first original that agrees with it.
 
-    Only digests and ordinals are shuffled to find the match; the audio is fetched last, by ordinal.
+    Only digests and ordinals are shuffled to find the match, and both steps are written once because the
+    search for frequent keys reads them too. The audio is fetched last, by ordinal.
     """
     if source not in RECOVERY_TEXT:
         raise ValueError(f"unknown source: {source}. Available: {sorted(RECOVERY_TEXT)}")
     text = RECOVERY_TEXT[source]
     keyed = originals.select(ordinal, recovery_key(source, text).alias("_key")).where(F.col("_key").isNotNull())
     firsts = keyed.groupBy("_key").agg(F.min(ordinal).alias(ordinal))
-    wanted = missing.select(key, recovery_key(source, "transcript").alias("_key"))
-    matched = lookup(wanted, firsts, "_key", key).drop("_key")
+    wanted = materialize(missing.select(key, recovery_key(source, "transcript").alias("_key")), "wanted")
+    matched = materialize(lookup(wanted, firsts, "_key", key).drop("_key"), "matched")
     payload = originals.select(ordinal, unify_audio(originals, audio, default_rate).alias("recovered_audio"))
     return lookup(matched, payload, ordinal, key).select(key, "recovered_audio")
 

@@ -3,9 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from speechframe.functions.scalars import words
+from speechframe.functions.waveform import bind
 from speechframe.operators.ordinal import top_k_per_group
 from speechframe.operators.records import demographics
 from speechframe.operators.stats import top_k
+from speechframe.session import materialize
 
 # Trait words by category, and the flat list.
 TRAITS = {
@@ -37,11 +39,15 @@ def _hits(text: str, vocabulary) -> Column:
 
 
 def trait_counts(df: DataFrame, vocabulary=TRAITS, k: int = 5, column: str = "voice_description") -> DataFrame:
-    """Whole-word hits per category, the ``k`` most common each."""
-    found = [F.struct(F.lit(c).alias("category"), _hits(column, v).alias("hits")) for c, v in vocabulary.items()]
-    hits = df.select(F.inline(F.array(*found))).select("category", F.explode("hits").alias("trait"))
-    counted = hits.groupBy("category", "trait").agg(F.count("*").alias("count"))
-    return top_k_per_group(counted, "category", [F.desc("count"), F.asc("trait")], k)
+    """Whole-word hits per category, the ``k`` most common each.
+
+    The text is searched once for all words; the categories are attached to the few counts.
+    """
+    every = list(dict.fromkeys(w for ws in vocabulary.values() for w in ws))
+    counted = df.select(F.explode(_hits(column, every)).alias("trait")).groupBy("trait").agg(F.count("*").alias("count"))
+    homes = [F.struct(F.lit(c).alias("category"), F.array(*map(F.lit, ws)).alias("words")) for c, ws in vocabulary.items()]
+    listed = counted.select("trait", "count", F.inline(F.array(*homes))).where(F.array_contains("words", F.col("trait")))
+    return top_k_per_group(listed.drop("words"), "category", [F.desc("count"), F.asc("trait")], k)
 
 
 def trait_counts_flat(df: DataFrame, vocabulary=FLAT_TRAITS, k: int = 10, column: str = "voice_description") -> DataFrame:
@@ -56,22 +62,31 @@ def word_frequency(df: DataFrame, k: int = 20, column: str = "voice_description"
 # --- TF-IDF ------------------------------------------------------------------------------------
 
 
+# A token of two or more word characters. Lower-case letters of common texts are tested before the
+# Unicode class, and what was matched is never given back.
+TOKEN = r"(?U)[a-z0-9_\x{df}-\x{f6}\x{f8}-\x{ff}\w]{2,}+"
+
+
 def terms(text: str, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> Column:
     """Lower-cased tokens of two or more word characters without stop words, as n-grams."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
     if stop:
         tokens = F.filter(tokens, lambda t: ~t.isin(*stop))
     low, high = ngrams
-    grams = []
-    for n in range(low, high + 1):
-        if n == 1:
-            grams.append(tokens)
-            continue
-        last = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
-        shifted = [F.slice(tokens, i + 1, last) for i in range(n)]
-        zipped = F.arrays_zip(*[s.alias(f"t{i}") for i, s in enumerate(shifted)])
-        grams.append(F.transform(zipped, lambda z: F.concat_ws(" ", *[z[f"t{i}"] for i in range(n)])))
-    return F.concat(*grams) if len(grams) > 1 else grams[0]
+    if high == 1:
+        return tokens
+
+    def grams(words):
+        kinds, gram = [], words
+        for n in range(1, high + 1):
+            if n > 1:
+                count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+                gram = F.zip_with(F.slice(gram, F.lit(1), count), F.slice(words, F.lit(n), count), lambda a, b: F.concat(a, F.lit(" "), b))
+            if n >= low:
+                kinds.append(gram)
+        return F.concat(*kinds)
+
+    return bind(tokens, grams)
 
 
 def _exploded(df: DataFrame, text: str, key: str, ngrams, stop) -> DataFrame:
@@ -84,12 +99,16 @@ def vocabulary(tokens: DataFrame, max_features: int) -> DataFrame:
 
 
 def term_weights(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS):
-    """(weights, idf): unnormalised ``(key, term, weight)`` and the vocabulary ``(term, idf)``."""
+    """(weights, idf): unnormalised ``(key, term, weight)`` and the vocabulary ``(term, idf)``.
+
+    The texts are split twice, for the vocabulary and for the counts of its terms; those counts are written
+    once and everything else reads them.
+    """
     tokens = _exploded(df, text, key, ngrams, stop)
     size = df.agg(F.count("*").alias("n")).scalar()
     # max_features bounds both broadcasts
     kept = F.broadcast(vocabulary(tokens, max_features).select("term"))
-    tf = tokens.join(kept, "term").groupBy("key", "term").agg(F.count("*").alias("tf"))
+    tf = materialize(tokens.join(kept, "term").groupBy("key", "term").agg(F.count("*").alias("tf")), "terms")
     seen = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = seen.select("term", (F.log((size + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
     weights = tf.join(F.broadcast(idf), "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
