@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from speechframe.operators.ordinal import running_sum
 from speechframe.session import materialize
 
-ONE_BUFFER_VALUES = 1_000_000
+ONE_BUFFER_VALUES = 100_000
 
 
 def value_table(df: DataFrame, column: str, by=()) -> DataFrame:
@@ -29,16 +29,16 @@ def percentiles_of(values: DataFrame, ps, by=(), one_buffer: int = ONE_BUFFER_VA
 
 
 def _percentiles_by_rank(values: DataFrame, ps, by) -> DataFrame:
-    ranked = running_sum(values, [*by, "value"], "n", "upto")
-    ranked = materialize(ranked.withColumn("before", F.col("upto") - F.col("n")))
-    totals = ranked.groupBy(*by).agg(F.sum("n").alias("total"), F.min("before").alias("origin"))
+    ranked = running_sum(values, [*by, "value"], "n", "upto").withColumn("before", F.col("upto") - F.col("n"))
     if by:
-        keyed = totals.select(*[F.col(b).alias(f"_{b}") for b in by], "total", "origin")
-        same = [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]
-        placed = ranked.join(keyed, same)
+        # where each group starts in the common order
+        sizes = values.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.sum("n").alias("total"))
+        ends = running_sum(sizes, [f"_{b}" for b in by], "total", "origin")
+        starts = ends.withColumn("origin", F.col("origin") - F.col("total"))
+        placed = ranked.join(starts, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
     else:
-        one = totals.select(F.struct("total", "origin").alias("t"))
-        placed = ranked.withColumn("t", one.scalar()).select("*", "t.total", "t.origin")
+        total = values.agg(F.sum("n")).scalar()
+        placed = ranked.withColumn("total", total).withColumn("origin", F.lit(0))
 
     def at(rank):
         offset = rank + F.col("origin")

@@ -67,48 +67,83 @@ def word_frequency(df: DataFrame, k: int = 20, column: str = "voice_description"
 TOKEN = r"(?U)[a-z0-9_\x{df}-\x{f6}\x{f8}-\x{ff}\w]{2,}+"
 
 
-def terms(text: str, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> Column:
-    """Lower-cased tokens of two or more word characters without stop words, as n-grams."""
+def tokens_of(text: str, stop=ENGLISH_STOP_WORDS) -> Column:
+    """Lower-cased tokens of two or more word characters without stop words."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    if stop:
-        tokens = F.filter(tokens, lambda t: ~t.isin(*stop))
+    return F.filter(tokens, lambda t: ~t.isin(*stop)) if stop else tokens
+
+
+def _neighbours(words: Column, n: int) -> Column:
+    """Every run of ``n`` consecutive words, as arrays."""
+    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    runs = F.transform(F.slice(words, F.lit(1), count), lambda w: F.array(w))
+    for i in range(2, n + 1):
+        runs = F.zip_with(runs, F.slice(words, F.lit(i), count), lambda run, w: F.array_append(run, w))
+    return runs
+
+
+def terms(text: str, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> Column:
+    """All n-grams of the tokens, formed after the stop words are gone."""
     low, high = ngrams
     if high == 1:
-        return tokens
+        return tokens_of(text, stop)
 
     def grams(words):
-        kinds, gram = [], words
-        for n in range(1, high + 1):
-            if n > 1:
-                count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-                gram = F.zip_with(F.slice(gram, F.lit(1), count), F.slice(words, F.lit(n), count), lambda a, b: F.concat(a, F.lit(" "), b))
-            if n >= low:
-                kinds.append(gram)
+        kinds = [words] if low == 1 else []
+        for n in range(max(low, 2), high + 1):
+            kinds.append(F.transform(_neighbours(words, n), lambda run: F.array_join(run, " ")))
         return F.concat(*kinds)
 
-    return bind(tokens, grams)
+    return bind(tokens_of(text, stop), grams)
+
 
+def _counted(df: DataFrame, text: str, ngrams, stop) -> DataFrame:
+    tokens = df.select(F.explode(terms(text, ngrams, stop)).alias("term"))
+    return tokens.groupBy("term").agg(F.count("*").alias("total"))
 
-def _exploded(df: DataFrame, text: str, key: str, ngrams, stop) -> DataFrame:
-    return df.select(F.col(key).alias("key"), F.explode(terms(text, ngrams, stop)).alias("term"))
 
+def _counted_among(df: DataFrame, text: str, n: int, stop, words: DataFrame) -> DataFrame:
+    """Counts of the n-grams all of whose words are listed."""
+    runs = df.select(F.explode(bind(tokens_of(text, stop), lambda t: _neighbours(t, n))).alias("run"))
+    for i in range(n):
+        runs = runs.withColumn("word", F.col("run")[i]).join(words.withColumnRenamed("term", "word"), "word", "left_semi")
+    return runs.groupBy(F.array_join("run", " ").alias("term")).agg(F.count("*").alias("total"))
 
-def vocabulary(tokens: DataFrame, max_features: int) -> DataFrame:
-    """The ``max_features`` most frequent terms of the corpus, ties by the term."""
-    return tokens.groupBy("term").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "term").limit(max_features)
+
+def vocabulary(df: DataFrame, text: str, max_features: int, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> DataFrame:
+    """``term`` and ``total`` of the ``max_features`` most frequent terms of the corpus, ties by the term.
+
+    An n-gram is at most as frequent as its rarest word. The words are counted first, and an n-gram can only
+    reach the vocabulary when all its words are as frequent as the last word that would; the many rare n-grams
+    are then neither joined to text nor shuffled.
+    """
+    low, high = ngrams
+    if high == 1 or low > 1:
+        counted = _counted(df, text, ngrams, stop)
+    else:
+        words = materialize(_counted(df, text, (1, 1), stop), "words")
+        last = words.orderBy(F.desc("total")).limit(max_features).agg(F.min("total")).scalar()
+        frequent = words.where(F.col("total") >= last).select("term")
+        # Words that tie with the last one may be many: then every n-gram is counted
+        if frequent.limit(4 * max_features + 1).count() > 4 * max_features:
+            counted = words.unionByName(_counted(df, text, (2, high), stop))
+        else:
+            counted = words
+            for n in range(2, high + 1):
+                counted = counted.unionByName(_counted_among(df, text, n, stop, F.broadcast(frequent)))
+    return counted.orderBy(F.desc("total"), "term").limit(max_features)
 
 
 def term_weights(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS):
     """(weights, idf): unnormalised ``(key, term, weight)`` and the vocabulary ``(term, idf)``.
 
-    The texts are split twice, for the vocabulary and for the counts of its terms; those counts are written
-    once and everything else reads them.
+    The counts of the vocabulary's terms per row are written once and everything else reads them.
     """
-    tokens = _exploded(df, text, key, ngrams, stop)
-    size = df.agg(F.count("*").alias("n")).scalar()
     # max_features bounds both broadcasts
-    kept = F.broadcast(vocabulary(tokens, max_features).select("term"))
-    tf = materialize(tokens.join(kept, "term").groupBy("key", "term").agg(F.count("*").alias("tf")), "terms")
+    kept = F.broadcast(vocabulary(df, text, max_features, ngrams, stop).select("term"))
+    tokens = df.select(F.col(key).alias("key"), F.explode(terms(text, ngrams, stop)).alias("term"))
+    tf = materialize(tokens.join(kept, "term", "left_semi").groupBy("key", "term").agg(F.count("*").alias("tf")), "terms")
+    size = df.agg(F.count("*").alias("n")).scalar()
     seen = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = seen.select("term", (F.log((size + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
     weights = tf.join(F.broadcast(idf), "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
@@ -169,7 +204,7 @@ def search(df: DataFrame, path: str, query: str, k: int = 3, key: str = "idx", n
     """The ``k`` rows closest to ``query`` by a written index; terms the corpus does not have are ignored."""
     spark = df.sparkSession
     weights, idf = spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/vocabulary")
-    asked = spark.range(1).select(F.col("id"), F.lit(query).alias("query"))
-    counted = _exploded(asked, "query", "id", ngrams, stop).groupBy("term").agg(F.count("*").alias("tf"))
+    asked = spark.range(1).select(F.lit(query).alias("query"))
+    counted = _counted(asked, "query", ngrams, stop).withColumnRenamed("total", "tf")
     own = idf.join(F.broadcast(counted), "term").select("term", (F.col("tf") * F.col("idf")).alias("weight"))
     return _ranked(df, _cosine(weights, own), key, k)
