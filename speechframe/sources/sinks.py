@@ -52,6 +52,8 @@ def wav_name() -> Column:
 
 def _encode(samples, rate: int) -> bytes:
     """16-bit PCM WAV bytes."""
+    if samples is None:
+        raise ValueError("no audio")
     pcm = np.clip(np.rint(np.asarray(samples, np.float64) * 32768.0), -32768, 32767).astype("<i2")
     out = io.BytesIO()
     with wave.open(out, "wb") as sound:
