@@ -6,10 +6,11 @@ from speechframe.functions.scalars import basename, strip
 from speechframe.functions.waveform import unify_audio
 from speechframe.session import materialize
 
-# A key on at least this many rows is joined in SALTS pieces. At most rows / HOT_KEY_ROWS keys can be
-# that frequent, which bounds the broadcast list of them.
+# A key on at least this many rows is joined in pieces of about that many. At most rows / HOT_KEY_ROWS keys
+# can be that frequent, which bounds the broadcast list of them.
 HOT_KEY_ROWS = 1_000_000
-SALTS = 64
+# No key is cut into more pieces than this, as the other side is repeated for each.
+MAX_PIECES = 4096
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, spread: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -18,14 +19,15 @@ def lookup(left: DataFrame, right: DataFrame, key: str, spread: str, hot_rows: i
     Rows with a frequent or null key are spread over the join tasks by ``spread``, a column of ``left``
     that tells its rows apart; ``right`` is repeated only for the frequent keys.
     """
-    hot = left.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") >= hot_rows)
-    hot = F.broadcast(hot.select(key, F.sequence(F.lit(0), F.lit(SALTS - 1)).alias("_salts")))
-    piece = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    salted = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNotNull() | F.col(key).isNull(), piece).otherwise(F.lit(0))
-    )
-    copies = right.join(hot, key, "left").withColumn("_salt", F.explode(F.coalesce("_salts", F.array(F.lit(0)))))
-    return salted.drop("_salts").join(copies.drop("_salts"), [key, "_salt"], "left").drop("_salt")
+    hot = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= hot_rows)
+    pieces = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_PIECES)).cast("int")
+    hot = F.broadcast(hot.select(key, pieces.alias("_pieces")))
+    # a null key matches nothing, so its rows may go anywhere
+    parts = F.when(F.col(key).isNull(), MAX_PIECES).otherwise(F.coalesce("_pieces", F.lit(1)))
+    salted = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), parts).cast("int"))
+    every = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    copies = right.join(hot, key, "left").withColumn("_salt", F.explode(every))
+    return salted.drop("_pieces").join(copies.drop("_pieces"), [key, "_salt"], "left").drop("_salt")
 
 
 def attach_audio(records: DataFrame, files: DataFrame, key: str = "idx") -> DataFrame:

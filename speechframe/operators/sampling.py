@@ -39,7 +39,8 @@ def split3(df: DataFrame, seed: int = 42, caps=SPLIT_CAPS, key: str = "idx", min
     kept = min_description(df, min_chars)
     keys = kept.select(F.col(key), shuffle_key(seed, F.col(key)).alias("_order"))
     size = kept.agg(F.count("*").alias("n"))
-    if caps and sum(caps.values()) <= ONE_TASK_ROWS:
+    few = caps and sum(caps.values()) <= ONE_TASK_ROWS
+    if few:
         head = keys.orderBy("_order", key).limit(sum(caps.values()))
         dealt = head.withColumn("_at", F.row_number().over(Window.orderBy("_order", key)) - 1)
     else:
@@ -61,7 +62,8 @@ def split3(df: DataFrame, seed: int = 42, caps=SPLIT_CAPS, key: str = "idx", min
         F.when(at < first, "train").when(at < second, "validation").otherwise("test").alias("split"),
         F.when(at < first, at).when(at < second, at - first).otherwise(at - second).cast("long").alias("position"),
     )
-    return kept.join(members, key)
+    # with caps, ONE_TASK_ROWS bounds the members
+    return kept.join(F.broadcast(members) if few else members, key)
 
 
 def split_sizes(df: DataFrame) -> DataFrame:
