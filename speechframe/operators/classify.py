@@ -1,13 +1,14 @@
 """Character labels, the character classifier and its report."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer
 from pyspark.sql import DataFrame, functions as F
 
 from speechframe.functions.scalars import character_type
 from speechframe.operators.sampling import train_test
-from speechframe.operators.text_search import ENGLISH_STOP_WORDS
+from speechframe.operators.text_search import ENGLISH_STOP_WORDS, TOKEN
+from speechframe.session import materialize
 
 
 def label_characters(df: DataFrame, key: str = "idx") -> DataFrame:
@@ -15,18 +16,23 @@ def label_characters(df: DataFrame, key: str = "idx") -> DataFrame:
 
 
 def train_classifier(df: DataFrame, max_features: int = 500, trees: int = 100, seed: int = 42, max_depth: int = 30, stop=ENGLISH_STOP_WORDS):
-    """Fit TF-IDF and a random forest on ``(voice_description, label)``; the model adds ``prediction_label``."""
-    labels = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep").fit(df)
-    stages = [
-        RegexTokenizer(inputCol="voice_description", outputCol="tokens", pattern=r"(?U)\b\w\w+\b", gaps=False),
-        StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=list(stop)),
-        CountVectorizer(inputCol="kept", outputCol="counts", vocabSize=max_features),
-        IDF(inputCol="counts", outputCol="features"),
-        labels,
-        RandomForestClassifier(labelCol="label_index", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth),
-        IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels),
-    ]
-    return Pipeline(stages=stages).fit(df)
+    """Fit TF-IDF and a random forest on ``(voice_description, label)``; the model adds ``prediction_label``.
+
+    The features are written once: growing a forest passes over them for every level of its trees.
+    """
+    text = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol="voice_description", outputCol="tokens", pattern=TOKEN, gaps=False),
+            StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=list(stop)),
+            CountVectorizer(inputCol="kept", outputCol="counts", vocabSize=max_features),
+            IDF(inputCol="counts", outputCol="features"),
+            StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
+        ]
+    ).fit(df)
+    features = materialize(text.transform(df).select("label_index", "features"), "features")
+    forest = RandomForestClassifier(labelCol="label_index", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth)
+    names = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=text.stages[-1].labels)
+    return PipelineModel([*text.stages, forest.fit(features), names])
 
 
 def evaluate_classifier(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> DataFrame:

@@ -7,6 +7,7 @@ after the last finished batch.
 import threading
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from speechframe.operators.ordinal import running_sum
@@ -20,32 +21,38 @@ def ingest(stream: DataFrame, sink: str, checkpoint: str, transform: Callable[[D
     return writer.start(sink)
 
 
+LIMIT_REACHED = "batch limit reached"
+
+
 def batch_totals(stream: DataFrame, sink: str, checkpoint: str, value: str = "duration", max_batches: int | None = None) -> None:
     """Rows and sum of ``value`` of every micro-batch, written below ``sink`` under its batch id.
 
-    A repeated batch overwrites its own folder. With ``max_batches`` the query stops after that many.
+    A repeated batch overwrites its own folder. With ``max_batches`` the query stops after that many; a
+    further batch is refused, so it stays unread and a later run without the limit goes on with it.
     """
     done = threading.Event()
+    over = lambda batch_id: max_batches is not None and batch_id >= max_batches
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        if max_batches is not None and batch_id >= max_batches:
-            return
+        if over(batch_id):
+            done.set()
+            raise RuntimeError(LIMIT_REACHED)
         totals = batch.agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias("batch_sum"))
         totals.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-        if max_batches is not None and batch_id + 1 >= max_batches:
+        if over(batch_id + 1):
             done.set()
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
-    if max_batches is None:
-        writer.trigger(availableNow=True).start().awaitTermination()
-        return
     query = writer.trigger(availableNow=True).start()
-    while not done.wait(timeout=0.2) and query.isActive:
-        pass
-    if query.isActive:
-        query.stop()
-    if query.exception():
-        raise query.exception()
+    try:
+        while query.isActive and not done.is_set():
+            query.awaitTermination(1)
+        # ends at once, or when the next batch is refused: the last one that counts is then marked as finished
+        query.awaitTermination(30)
+    except StreamingQueryException as error:
+        if LIMIT_REACHED not in str(error):
+            raise
+    query.stop()
 
 
 def running_batch_totals(spark, sink: str) -> DataFrame:

@@ -41,6 +41,18 @@ def test_batch_totals_and_bound(spark, folder):
     assert len(got) == files and sum(r.rows for r in got) == 10 and got[-1].running_total == 45.0
     streams.max_batches(feed(spark, folder), 2, f"{place}/two", f"{place}/ck2")
     assert sorted(r.batch_id for r in spark.read.parquet(f"{place}/two").collect()) == [0, 1]
+    # the rest was left unread: a run without the limit goes on with it
+    streams.batch_totals(feed(spark, folder), f"{place}/two", f"{place}/ck2")
+    assert spark.read.parquet(f"{place}/two").agg(F.sum("rows")).collect()[0][0] == 10
+
+
+def test_a_failing_batch_is_not_hidden(spark, folder):
+    place = workspace(spark, "failing")
+    broken = feed(spark, folder).withColumn("duration", F.raise_error(F.lit("broken row")).cast("double"))
+    with pytest.raises(Exception, match="broken row"):
+        streams.batch_totals(broken, f"{place}/sink", f"{place}/ck")
+    with pytest.raises(Exception, match="broken row"):
+        streams.max_batches(broken, 2, f"{place}/sink", f"{place}/ck")
 
 
 def test_dedup_across_batches(spark, folder):
