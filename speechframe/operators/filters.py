@@ -29,7 +29,17 @@ def high_quality(df: DataFrame, variant: str = "a") -> DataFrame:
     raise ValueError(f"unknown variant: {variant}. Available: ['a', 'b']")
 
 
+# Column of a table written with its description lengths.
+DESCRIPTION_CHARS = "description_chars"
+
+
 def min_description(df: DataFrame, n: int = 60, column: str = "voice_description") -> DataFrame:
+    """Descriptions of at least ``n`` characters without surrounding whitespace.
+
+    A table that carries the length is filtered in the scan and its texts are not read for it.
+    """
+    if column == "voice_description" and DESCRIPTION_CHARS in df.columns:
+        return df.where(F.col(DESCRIPTION_CHARS) >= n)
     return df.where(F.length(strip(column)) >= n)
 
 

@@ -185,7 +185,7 @@ def _cosine(weights: DataFrame, query: DataFrame) -> DataFrame:
 
 def find_similar(df: DataFrame, query: str, k: int = 5, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 2), stop=ENGLISH_STOP_WORDS) -> DataFrame:
     """The ``k`` rows closest to ``query``, with the query part of the fitted corpus."""
-    asked = df.sparkSession.range(1).select(F.lit(None).cast("long").alias(key), F.lit(query).alias(text))
+    asked = df.sparkSession.range(1).select(F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(query).alias(text))
     corpus = df.select(key, text).unionByName(asked)
     weights, _ = term_weights(corpus, text, key, max_features, ngrams, stop)
     rows, own = weights.where(F.col("key").isNotNull()), weights.where(F.col("key").isNull())

@@ -36,20 +36,14 @@ def read_corpus(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
-SMALL_TABLE_BYTES = 1 << 30
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a small table that has fewer file splits than there are cores.
+    """Deal out the rows of a small table, one with at most half as many file splits as there are cores.
 
-    For work that is heavy per row, such as splitting texts. A table over 1 GiB or with enough splits is
-    returned as it is.
+    For work that is heavy per row, such as splitting texts. A split is at most
+    spark.sql.files.maxPartitionBytes, so what is dealt out is bounded; any larger table is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > SMALL_TABLE_BYTES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def concat_batches(dfs) -> DataFrame:

@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from speechframe.functions.scalars import fmt_padded
+from speechframe.functions.scalars import fmt_padded, strip
+from speechframe.operators.filters import DESCRIPTION_CHARS
 from speechframe.operators.ordinal import with_ordinal
 from speechframe.operators.records import TRAINING_FORMATS
 
@@ -21,7 +22,10 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_corpus(df: DataFrame, path: str) -> None:
+def write_corpus(df: DataFrame, path: str, measured: bool = False) -> None:
+    """Overwrite a table. ``measured`` adds the length of the stripped description, which a scan can filter on."""
+    if measured:
+        df = df.withColumn(DESCRIPTION_CHARS, F.length(strip("voice_description")))
     df.drop("audio_array").write.mode("overwrite").option("maxRecordsPerFile", AUDIO_ROWS_PER_FILE).parquet(path)
 
 
@@ -87,7 +91,13 @@ def write_wav(df: DataFrame, folder: str, file_name: Column | None = None, key:
                     part = f"{root}/.{uuid.uuid4().hex}.part"
                     with system.open_output_stream(part) as out:
                         out.write(_encode(samples, rate))
-                    system.move(part, target)
+                    try:
+                        system.move(part, target)
+                    except OSError:
+                        # some file systems do not replace; a file of this name already holds these bytes
+                        if system.get_file_info(target).type == fs.FileType.NotFound:
+                            raise
+                        system.delete_file(part)
                 except Exception as problem:
                     error = f"Error: {problem}"
                 paths.append(target if error is None else None)

@@ -125,12 +125,22 @@ def test_frequent_keys_are_salted(spark):
     assert "_salt" in text
 
 
-def test_spread_leaves_large_tables_alone(spark, sf, folder):
-    assert spread(table(spark, sf, "documents")).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.read.parquet(folder)
-    files = len(many.inputFiles())
-    expected = files >= spark.sparkContext.defaultParallelism
-    assert ("RoundRobin" not in plan(spread(many))) == expected
+def test_spread_leaves_larger_tables_alone(spark, sf, folder):
+    cores = spark.sparkContext.defaultParallelism
+    documents = table(spark, sf, "documents")
+    assert documents.rdd.getNumPartitions() == 1 and spread(documents).rdd.getNumPartitions() == cores
+    assert "RoundRobin" not in plan(spread(spark.range(0, 100, 1, cores)))
+
+
+def test_measured_corpus_is_filtered_in_the_scan(spark, sf):
+    from speechframe.sources.sinks import write_corpus
+
+    path = workspace(spark, "measured")
+    write_corpus(samples(spark, sf), path, measured=True)
+    kept = filters.min_description(spark.read.parquet(path), 60)
+    text = plan(kept.select("idx"))
+    assert "GreaterThanOrEqual(description_chars,60)" in text and "voice_description" not in text
+    assert kept.count() == filters.min_description(samples(spark, sf), 60).count()
 
 
 def test_approximate_counts_are_close(spark, sf):
