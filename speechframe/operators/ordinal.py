@@ -25,11 +25,10 @@ def _in_ranges(df: DataFrame, order) -> DataFrame:
 
 
 def _before(ranged: DataFrame, amount: Column) -> DataFrame:
-    """Sum of ``amount`` over all earlier ranges: one row per partition, so one task and a broadcast suffice."""
+    """Sum of ``amount`` before and up to the end of every range: one row per partition, so one task suffices."""
     totals = ranged.groupBy("_part").agg(F.sum(amount).alias("_sum"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    return F.broadcast(before)
+    so_far = F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    return totals.withColumn("_upto", so_far).select("_part", (F.col("_upto") - F.col("_sum")).alias("_before"), "_upto")
 
 
 def with_ordinal(df: DataFrame, order, start: int = 0, by=None, name: str = "ordinal") -> DataFrame:
@@ -39,8 +38,9 @@ def with_ordinal(df: DataFrame, order, start: int = 0, by=None, name: str = "ord
     """
     order = list(order)
     ranged = _in_ranges(df, [by, *order] if by else order)
-    counted = ranged.join(_before(ranged, F.lit(1)), "_part").withColumn(name, F.col("_before") + F.col("_pos"))
-    counted = counted.drop("_part", "_pos", "_before")
+    # one row per range on the broadcast side
+    counted = ranged.join(F.broadcast(_before(ranged, F.lit(1))), "_part")
+    counted = counted.withColumn(name, F.col("_before") + F.col("_pos")).drop("_part", "_pos", "_before", "_upto")
     if by:
         first = counted.groupBy(F.col(by).alias("_by")).agg(F.min(name).alias("_first"))
         counted = counted.join(first, F.col(by).eqNullSafe(F.col("_by")), "left")
@@ -48,17 +48,24 @@ def with_ordinal(df: DataFrame, order, start: int = 0, by=None, name: str = "ord
     return counted.withColumn(name, F.col(name) + F.lit(start))
 
 
-def running_sum(df: DataFrame, order, value: str, name: str = "running", with_index: str | None = None) -> DataFrame:
-    """Running sum of ``value`` (the row itself included) in ``order``, optionally with the 0-based index."""
+def running_sum(df: DataFrame, order, value: str, name: str = "running", with_index: str | None = None, around: Column | None = None) -> DataFrame:
+    """Running sum of ``value`` (the row itself included) in ``order``, optionally with the 0-based index.
+
+    ``around`` is an array of sums of interest: ranges in which none of them is passed are left out.
+    """
     ranged = _in_ranges(df, order)
+    before = _before(ranged, F.col(value))
+    if around is not None:
+        passed = F.exists("_around", lambda x: (F.col("_before") <= x) & (x < F.col("_upto")))
+        before = before.withColumn("_around", around).where(passed).drop("_around")
+    # one row per range on the broadcast side
+    located = ranged.join(F.broadcast(before), "_part")
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_local", F.sum(value).over(inside))
-    out = local.join(_before(ranged, F.col(value)), "_part")
-    out = out.withColumn(name, F.col("_before") + F.col("_local"))
+    out = located.withColumn(name, F.col("_before") + F.sum(value).over(inside))
     if with_index:
-        rows = _before(ranged, F.lit(1)).withColumnRenamed("_before", "_rows")
+        rows = _before(ranged, F.lit(1)).select("_part", F.col("_before").alias("_rows"))
         out = out.join(F.broadcast(rows), "_part").withColumn(with_index, F.col("_rows") + F.col("_pos"))
-    return out.drop("_part", "_pos", "_local", "_before", "_rows")
+    return out.drop("_part", "_pos", "_before", "_upto", "_rows")
 
 
 def cumulative_hours(df: DataFrame, key: str = "idx", duration: str = "duration") -> DataFrame:

@@ -29,16 +29,20 @@ def percentiles_of(values: DataFrame, ps, by=(), one_buffer: int = ONE_BUFFER_VA
 
 
 def _percentiles_by_rank(values: DataFrame, ps, by) -> DataFrame:
-    ranked = running_sum(values, [*by, "value"], "n", "upto").withColumn("before", F.col("upto") - F.col("n"))
+    before = F.col("upto") - F.col("n")
     if by:
         # where each group starts in the common order
         sizes = values.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.sum("n").alias("total"))
         ends = running_sum(sizes, [f"_{b}" for b in by], "total", "origin")
         starts = ends.withColumn("origin", F.col("origin") - F.col("total"))
+        ranked = running_sum(values, [*by, "value"], "n", "upto").withColumn("before", before)
         placed = ranked.join(starts, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
     else:
-        total = values.agg(F.sum("n")).scalar()
-        placed = ranked.withColumn("total", total).withColumn("origin", F.lit(0))
+        # only the ranges that hold one of the ranks are summed row by row
+        last = values.agg(F.sum("n") - 1)
+        ranks = last.toDF("last").select(F.array(*[r(F.col("last") * F.lit(float(p))) for p in ps for r in (F.floor, F.ceil)]))
+        ranked = running_sum(values, ["value"], "n", "upto", around=ranks.scalar()).withColumn("before", before)
+        placed = ranked.withColumn("total", last.scalar() + 1).withColumn("origin", F.lit(0))
 
     def at(rank):
         offset = rank + F.col("origin")
