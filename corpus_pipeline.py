@@ -9,7 +9,7 @@ encoded documents. Between stages the rows go through a table in the shared fold
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speechframe.llm import bpe, language_id, line_dedup
+from speechframe.llm import bpe, decontaminate, language_id, line_dedup, near_dedup
 from speechframe.llm.common import table
 from speechframe.llm.queries import DOCUMENTS, LINE_LEAST, LINE_RATIO, RANKS
 from speechframe.session import materialize
@@ -27,6 +27,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != "")).withColumn("n_chars", F.char_length("text").cast("long")).select(DOCUMENTS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five words to a shingle, a similarity of 0.8 or more."""
+    kept = near_dedup.near_dedup(docs, words=5, share=80).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(DOCUMENTS)
+
+
+def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words stand inside windows of benchmark items."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    contaminated = found.filter("contaminated").select("doc_id", "tag").distinct()
+    return docs.withColumn("tag", F.hash("text")).join(contaminated, ["doc_id", "tag"], "left_anti").select(DOCUMENTS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -34,6 +47,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", identify_language),
     ("line_dedup", drop_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_copies),
     ("byte_bpe", encode),
 ]
 
