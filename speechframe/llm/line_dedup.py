@@ -7,7 +7,7 @@ are joined back to the rows are short whatever the host's size.
 
 A line is what stands between line feeds; blank lines are never dropped. A line that occurs twice in a row counts once. A
 null host is a host of its own, a null text stays null and has no lines, a text whose lines all go becomes empty. Repeated
-rows count each. Other columns are kept as they are.
+rows count each. Other columns are kept as they are; columns named n_lines and n_dropped are replaced.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,18 +15,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from speechframe.llm.common import small
 from speechframe.session import materialize
 
+#: Working columns, named apart from what tables hold.
+HOST, LISTED, KEPT = "_line_dedup_host", "_line_dedup_listed", "_line_dedup_kept"
+
 
 def _key(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
 def boilerplate_lines(docs: DataFrame, host: Column, ratio: float, least: int) -> DataFrame:
-    """(_host, _lines): the digests of each host's boilerplate lines."""
-    lines = docs.select(host.alias("_host"), F.explode(F.array_distinct(F.split("text", "\n", -1))).alias("line")).filter(F.trim("line") != "")
-    counted = lines.select("_host", _key(F.col("line")).alias("_line")).groupBy("_host", "_line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    totals = materialize(docs.groupBy(host.alias("_host")).agg(F.count("*").alias("total")), "hosts")
-    above = counted.join(small(totals), "_host").filter(F.col("n") > ratio * F.col("total"))
-    return above.groupBy("_host").agg(F.collect_set("_line").alias("_lines"))
+    """(HOST, LISTED): the digests of each host's boilerplate lines."""
+    lines = docs.select(host.alias(HOST), F.explode(F.array_distinct(F.split("text", "\n", -1))).alias("line")).filter(F.trim("line") != "")
+    counted = lines.select(HOST, _key(F.col("line")).alias("line")).groupBy(HOST, "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    totals = materialize(docs.groupBy(host.alias(HOST)).agg(F.count("*").alias("total")), "hosts")
+    above = counted.join(small(totals), HOST).filter(F.col("n") > ratio * F.col("total"))
+    return above.groupBy(HOST).agg(F.collect_set("line").alias(LISTED))
 
 
 def line_dedup(docs: DataFrame, host_col: str = "source", ratio: float = 0.1, least: int = 5) -> DataFrame:
@@ -36,13 +39,14 @@ def line_dedup(docs: DataFrame, host_col: str = "source", ratio: float = 0.1, le
     """
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
     listed = materialize(boilerplate_lines(docs, host, ratio, least), "boilerplate")
-    joined = docs.withColumn("_host", host).join(small(listed), "_host", "left")
+    joined = docs.withColumn(HOST, host).join(small(listed), HOST, "left")
     lines = F.split("text", "\n", -1)
-    kept = F.when(F.col("_lines").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("_lines", _key(x))))
-    marked = joined.withColumns({"n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"), "_kept": kept})
+    kept = F.when(F.col(LISTED).isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains(LISTED, _key(x))))
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    marked = joined.withColumns({"n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"), KEPT: kept})
     return marked.withColumns(
-        {"n_dropped": F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")).cast("long"), "text": F.array_join("_kept", "\n")}
-    ).select(*docs.columns, "n_lines", "n_dropped")
+        {"n_dropped": F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - F.size(KEPT)).cast("long"), "text": F.array_join(KEPT, "\n")}
+    ).select(*own, "n_lines", "n_dropped")
 
 
 SQL = r"""
