@@ -7,7 +7,7 @@ originals, so a record without a file is recovered where an exact copy of its te
 from pyspark.sql import functions as F
 
 from speechframe.catalog.base import Catalog, on_samples, samples, sql_strip, table, waves, with_views
-from speechframe.operators import joins, stats
+from speechframe.operators import joins, sampling, stats
 from speechframe.plans import corpus
 
 CATALOG = Catalog()
@@ -85,7 +85,7 @@ add(
 )
 add(
     "audio_counters",
-    lambda s, d: joins.pipeline_counters(statuses(s, d)),
+    lambda s, d: joins.pipeline_counters(corpus.source_status(records(s, d), files(s, d), originals(s, d), "laions")),
     on_recovery(
         "".join(
             f"""{link} SELECT {key} AS dataset, count(*) AS total_processed, count(*) FILTER (WHERE status <> 'present') AS missing_audio,
@@ -124,6 +124,40 @@ add(
 )
 
 
+def raw_originals(s, d):
+    """The originals in the source's own shape: the text inside ``json``, the waveform in ``wav``."""
+    return originals(s, d).select("ordinal", F.to_json(F.struct("text")).alias("json"), F.col("audio.array").alias("wav"))
+
+
+add(
+    "recover_audio_from_source_shape",
+    lambda s, d: joins.recover_audio(joins.without_file(records(s, d), files(s, d)), raw_originals(s, d), "laions", default_rate=24000).select(
+        "idx", _first("recovered_audio").alias("first_sample")
+    ),
+    on_recovery("SELECT idx, CAST(recovered_audio[1] AS DOUBLE) AS first_sample FROM recovered WHERE file_audio IS NULL"),
+)
+
+
+def awkward_sources(s, d):
+    """Two sources whose rows have repeated keys, and labels that are null or another source's."""
+    rows = statuses(s, d).where("status <> 'missing'")
+    label = F.when(F.col("idx") % 3 == 0, F.lit(None)).when(F.col("idx") % 3 == 1, "laions").otherwise("animevox")
+    rows = rows.withColumns({"idx": F.floor(F.col("idx") / 4), "dataset": label.cast("string")})
+    return {"laions": rows.where("length(speaker_id) % 2 = 0"), "animevox": rows.where("length(speaker_id) % 2 = 1")}
+
+
+add(
+    "combine_awkward_keys",
+    lambda s, d: corpus.combine(awkward_sources(s, d)).agg(
+        F.count("*").alias("rows"), F.count_distinct("index").alias("numbers"), F.max("index").alias("last"), F.count("dataset").alias("labelled")
+    ),
+    on_recovery(
+        """SELECT count(*) AS rows, count(*) AS numbers, count(*) - 1 AS last, count(*) FILTER (WHERE idx % 3 <> 0) AS labelled
+        FROM status WHERE status <> 'missing'"""
+    ),
+)
+
+
 def four_sources(s, d):
     """The corpus dealt to the four sources; each keeps its own row numbers."""
     rows = statuses(s, d)
@@ -143,7 +177,7 @@ add(
 )
 add(
     "update_splits",
-    lambda s, d: corpus.update(corpus.combine(four_sources(s, d))).groupBy("split").agg(
+    lambda s, d: corpus.update(corpus.combine(four_sources(s, d)), caps=sampling.SPLIT_CAPS).groupBy("split").agg(
         F.count("*").alias("rows"), F.max("speaker_id").alias("last_position")
     ),
     on_recovery(

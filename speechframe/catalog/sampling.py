@@ -33,19 +33,19 @@ add(
 )
 add(
     "split3",
-    lambda s, d: sampling.split3(samples(s, d)).select("idx", "split", "position"),
+    lambda s, d: sampling.split3(samples(s, d), caps=sampling.SPLIT_CAPS).select("idx", "split", "position"),
     on_samples("").rstrip() + SPLIT_SQL + "SELECT idx, split, position FROM m",
 )
 add(
     "split3_uncapped",
-    lambda s, d: sampling.split3(samples(s, d), caps=None).select("idx", "split", "position"),
+    lambda s, d: sampling.split3(samples(s, d)).select("idx", "split", "position"),
     on_samples("").rstrip()
     + SPLIT_SQL.replace("least(10000, n * 2 // 3)", "n * 2 // 3").replace("least(3000, n // 6)", "n // 6").replace("least(2000, n - tr - va)", "n - tr - va")
     + "SELECT idx, split, position FROM m",
 )
 add(
     "split_projection",
-    lambda s, d: records.split_projection(sampling.split3(samples(s, d))).select("split", "speaker_id", "transcript", "gender", "dataset"),
+    lambda s, d: records.split_projection(sampling.split3(samples(s, d), caps=sampling.SPLIT_CAPS)).select("split", "speaker_id", "transcript", "gender", "dataset"),
     on_samples("").rstrip()
     + SPLIT_SQL
     + "SELECT split, position AS speaker_id, transcript, gender, dataset FROM m JOIN samples USING (idx)",

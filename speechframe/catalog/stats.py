@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from speechframe.catalog.base import Catalog, on_samples, rounded, samples, sql_words, table, texts
+from speechframe.catalog.base import Catalog, on_samples, rounded, samples, sql_words, table
 from speechframe.operators import quality, quantiles, stats
 from speechframe.plans.report import summary_report
 
@@ -86,12 +86,12 @@ FROM range({bins}) b(bin) CROSS JOIN e LEFT JOIN c ON c.bin = b.bin"""
 for column in ["duration", "transcript_length", "word_count", "description_length", "speaking_rate"]:
     add(
         f"histogram_{column}",
-        lambda s, d, c=column: rounded(stats.histogram(stats.enrich(texts(s, d)), c, 50)),
+        lambda s, d, c=column: rounded(stats.histogram(stats.enrich(samples(s, d)), c, 50)),
         on_rich(HISTOGRAM.format(column=column, source="rich", bins=50, weight="1")),
     )
 add(
     "histogram_30_description_length",
-    lambda s, d: rounded(stats.histogram(stats.enrich(texts(s, d)), "description_length", 30)),
+    lambda s, d: rounded(stats.histogram(stats.enrich(samples(s, d)), "description_length", 30)),
     on_rich(HISTOGRAM.format(column="description_length", source="rich", bins=30, weight="1")),
 )
 add(
@@ -149,10 +149,7 @@ add(
     "percentiles_price_by_rank",
     lambda s, d: rounded(
         quantiles.percentiles_of(
-            quantiles.value_table(table(s, d, "lineitem"), "l_extendedprice", ["l_returnflag"]),
-            quantiles.QUARTILES,
-            ["l_returnflag"],
-            one_buffer=0,
+            table(s, d, "lineitem"), "l_extendedprice", quantiles.QUARTILES, ["l_returnflag"]
         ).select("l_returnflag", "n", *[F.col("q")[i].alias(c) for i, c in enumerate(["q1", "median", "q3"])])
     ),
     """SELECT l_returnflag, count(*) AS n, round(quantile_cont(l_extendedprice, 0.25), 6) AS q1,
@@ -165,7 +162,7 @@ add("basic_stats_approx", lambda s, d: rounded(stats.basic_stats(samples(s, d),
 for a, b in [("dataset", "gender"), ("age", "gender")]:
     add(
         f"crosstab_{a}_{b}",
-        lambda s, d, x=a, y=b: stats.crosstab(samples(s, d), x, y),
+        lambda s, d, x=a, y=b: stats.crosstab(samples(s, d), x, y, ["female", "male", "other", "unknown"]),
         on_samples(
             f"""SELECT x.{a}, y.{b}, count(z.idx) AS count FROM
             (SELECT DISTINCT {a} FROM samples WHERE {a} IS NOT NULL AND {b} IS NOT NULL) x CROSS JOIN
@@ -222,7 +219,7 @@ PAIRS = [(a, b) for a in stats.NUMERIC for b in stats.NUMERIC]
 CORR = "CASE WHEN var_pop({x}) FILTER (WHERE {y} IS NOT NULL) * var_pop({y}) FILTER (WHERE {x} IS NOT NULL) > 0 THEN round(corr({x}, {y}), 6) END"
 add(
     "correlation_matrix",
-    lambda s, d: rounded(stats.correlation(stats.enrich(texts(s, d)))),
+    lambda s, d: rounded(stats.correlation(stats.enrich(samples(s, d)))),
     on_rich(
         " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {CORR.format(x=a, y=b)} AS r FROM rich" for a, b in PAIRS)
     ),
@@ -240,7 +237,7 @@ RICH_COLUMNS = ["idx", "dataset", "speaker_id", "transcript", "duration", "gende
                 "transcript_length", "word_count", "description_length", "speaking_rate"]
 add(
     "missing_by_column",
-    lambda s, d: quality.missing_by_column(texts(s, d)),
+    lambda s, d: quality.missing_by_column(samples(s, d)),
     on_rich(
         " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM rich" for c in RICH_COLUMNS)
         + " UNION ALL SELECT 'total', "
@@ -291,7 +288,7 @@ add(
 )
 add(
     "text_metrics",
-    lambda s, d: rounded(stats.text_metrics(texts(s, d))),
+    lambda s, d: rounded(stats.text_metrics(samples(s, d))),
     on_rich(
         """SELECT round(avg(transcript_length), 6) AS avg_transcript_length, round(avg(word_count), 6) AS avg_word_count,
         round(avg(description_length), 6) AS avg_description_length, round(avg(speaking_rate), 6) AS avg_speaking_rate,
@@ -315,7 +312,7 @@ add(
 )
 add(
     "diversity_report",
-    lambda s, d: rounded(stats.diversity_report(texts(s, d))),
+    lambda s, d: rounded(stats.diversity_report(samples(s, d))),
     on_samples("").rstrip()
     + rf""", w AS (SELECT unnest(regexp_extract_all(lower(voice_description), '{sql_words("x").split("'")[1]}')) AS word FROM samples)
     SELECT 'size' AS section, 'dataset_size' AS key, CAST(count(*) AS DOUBLE) AS value FROM samples
@@ -419,7 +416,7 @@ add(
 )
 add(
     "summary_report",
-    lambda s, d: rounded(summary_report(texts(s, d))),
+    lambda s, d: rounded(summary_report(samples(s, d))),
     on_rich(
         """SELECT 1 AS section_rank, 'overview' AS section, 'total_samples' AS metric, CAST(count(*) AS DOUBLE) AS value FROM rich
         UNION ALL SELECT 1, 'overview', 'total_duration_hours', round(sum(duration) / 3600, 6) FROM rich

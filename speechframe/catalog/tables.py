@@ -6,7 +6,7 @@ from speechframe.catalog.base import Catalog, on_samples, rounded, samples, sql_
 from speechframe.functions.scalars import known
 from speechframe.operators.filters import first_n
 from speechframe.operators.records import to_record
-from speechframe.operators.sampling import split3
+from speechframe.operators.sampling import SPLIT_CAPS, split3
 from speechframe.operators.stats import basic_stats, unpivot
 from speechframe.schemas import RECORD
 from speechframe.session import workspace
@@ -47,7 +47,7 @@ def validated_corpus(s, d):
 
 def splits_round_trip(s, d):
     path = workspace(s, "splits")
-    sinks.write_splits(split3(samples(s, d)).select("idx", "split", "position"), path)
+    sinks.write_splits(split3(samples(s, d), caps=SPLIT_CAPS).select("idx", "split", "position"), path)
     return readers.read_corpus(s, path).groupBy("split").agg(
         F.count("*").alias("rows"), F.sum("idx").alias("idx_sum"), F.max("position").alias("last_position")
     )
@@ -207,14 +207,14 @@ add(
 )
 
 
-# --- the four source adapters over the documents that have a waveform ----------------------------
+# --- the four source adapters over the documents, of which some have no waveform ------------------
 
-RAW = "SELECT doc_id AS idx, text, lang, source, n_chars, embedding FROM documents JOIN embeddings ON vec_id = doc_id"
+RAW = "SELECT doc_id AS idx, text, lang, source, n_chars, embedding FROM documents LEFT JOIN embeddings ON vec_id = doc_id"
 
 
 def raw(s, d):
     docs, vecs = table(s, d, "documents"), table(s, d, "embeddings")
-    both = docs.join(vecs, docs.doc_id == vecs.vec_id)
+    both = docs.join(vecs, docs.doc_id == vecs.vec_id, "left")
     return both.select(F.col("doc_id").alias("idx"), "text", "lang", "source", "n_chars", "embedding")
 
 

@@ -26,24 +26,26 @@ ANY_CHARACTER = "versatile character suitable for various roles"
 def annotate(df: DataFrame, make_annotator: Callable[[], Callable], audio: str = "audio", prompt: str = "prompt", out: str = "voice_description") -> DataFrame:
     """Describe every row with ``annotator(samples, sampling_rate, prompt)``, built once per task.
 
-    The text is stripped. A failure becomes the row's text 'Error: ...' and does not fail the job.
+    Only the audio and the prompt go to Python, and only the text comes back. The text is stripped. A failure becomes the
+    row's text 'Error: ...' and does not fail the job.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[tuple[pd.DataFrame, pd.Series]]) -> Iterator[pd.Series]:
         annotator = make_annotator()
 
-        def describe(sound, text):
+        def describe(samples, rate, text):
             try:
-                return annotator(sound["array"], sound["sampling_rate"], text).strip()
+                return annotator(samples, rate, text).strip()
             except Exception as error:
                 return f"Error: {error}"
 
-        for batch in batches:
-            described = [describe(s, p) for s, p in zip(batch[audio], batch[prompt])]
-            yield batch.assign(**{out: pd.Series(described, index=batch.index, dtype=object)})
+        for sounds, prompts in batches:
+            rows = zip(sounds["array"], sounds["sampling_rate"], prompts)
+            yield pd.Series([describe(s, None if pd.isna(r) else int(r), p) for s, r, p in rows], index=prompts.index, dtype=object)
 
-    return df.mapInPandas(run, schema)
+    described = F.pandas_udf(run, T.StringType())
+    sound = F.struct(F.col(audio)["array"].alias("array"), F.col(audio)["sampling_rate"].alias("sampling_rate"))
+    return df.withColumn(out, described(sound, F.col(prompt)))
 
 
 def _band(value: Column, bands) -> Column:

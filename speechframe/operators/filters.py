@@ -84,8 +84,20 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+def leading(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first ``n`` rows in an order that tells rows apart.
+
+    Only the order's values pass through the limit's task; they give the last row's, and every row is compared with it where it
+    is. Rows that tie with the last one stay too.
+    """
+    place = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    last = df.select(place.alias("place")).orderBy("place").limit(n).agg(F.max("place")).scalar()
+    return df.where(place <= last)
+
+
 def first_n(df: DataFrame, n: int, key: str = "idx") -> DataFrame:
-    return df.orderBy(key).limit(n)
+    """The ``n`` rows with the smallest keys, which must tell the rows apart."""
+    return leading(df, n, key)
 
 
 def unknown(column: str):

@@ -9,8 +9,15 @@ from speechframe.session import materialize
 # A key on at least this many rows is joined in pieces of about that many. At most rows / HOT_KEY_ROWS keys
 # can be that frequent, which bounds the broadcast list of them.
 HOT_KEY_ROWS = 1_000_000
-# No key is cut into more pieces than this, as the other side is repeated for each.
-MAX_PIECES = 4096
+# Rows with a null key match nothing and are dealt out over so many places.
+NULL_PIECES = 4096
+# A written side of at most this many narrow rows is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table with a broadcast hint when it is counted to have at most ``rows`` rows, else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, spread: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -20,10 +27,10 @@ def lookup(left: DataFrame, right: DataFrame, key: str, spread: str, hot_rows: i
     that tells its rows apart; ``right`` is repeated only for the frequent keys.
     """
     hot = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= hot_rows)
-    pieces = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_PIECES)).cast("int")
+    pieces = F.ceil(F.col("_rows") / hot_rows).cast("int")
     hot = F.broadcast(hot.select(key, pieces.alias("_pieces")))
     # a null key matches nothing, so its rows may go anywhere
-    parts = F.when(F.col(key).isNull(), MAX_PIECES).otherwise(F.coalesce("_pieces", F.lit(1)))
+    parts = F.when(F.col(key).isNull(), NULL_PIECES).otherwise(F.coalesce("_pieces", F.lit(1)))
     salted = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), parts).cast("int"))
     every = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
     copies = right.join(hot, key, "left").withColumn("_salt", F.explode(every))
@@ -43,14 +50,17 @@ def attach_audio(records: DataFrame, files: DataFrame, key: str = "idx") -> Data
 def without_file(records: DataFrame, files: DataFrame) -> DataFrame:
     """Records that no file is named after; reads no audio."""
     named = records.withColumn("file_name", basename("audio_path"))
-    return named.join(files.select("file_name"), "file_name", "left_anti").drop("file_name")
+    # rows without a name have no file; they stay out of the join, where they would all meet in one task
+    nameless = named.where(F.col("file_name").isNull()).drop("file_name")
+    looked_up = named.where(F.col("file_name").isNotNull()).join(files.select("file_name"), "file_name", "left_anti")
+    return looked_up.drop("file_name").unionByName(nameless)
 
 
 # The text column that identifies a row in each original source.
 RECOVERY_TEXT = {"globe_v2": "transcript", "laions": "text", "animevox": "transcription", "anispeech": "caption"}
 
 
-def recovery_key(source: str, text: str, speaker: str = "speaker_id"):
+def recovery_key(source: str, text, speaker: str = "speaker_id"):
     """Digest of what must agree: the stripped text, for globe_v2 the speaker too. Null never matches."""
     value = strip(text)
     if source == "globe_v2":
@@ -58,20 +68,44 @@ def recovery_key(source: str, text: str, speaker: str = "speaker_id"):
     return F.unhex(F.sha2(value, 256))
 
 
-def recover_audio(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", audio: str = "audio", default_rate: int = 16000):
-    """``recovered_audio`` of every missing record from the first original that agrees with it.
+def original_columns(originals: DataFrame, source: str, audio: str = "audio"):
+    """(text, audio column name) of an original source: a source may keep its text in ``json`` and its audio in ``wav``."""
+    text = RECOVERY_TEXT[source]
+    if text in originals.columns:
+        found = F.col(text)
+    else:
+        # the metadata is a struct or its JSON text
+        nested = originals.schema["json"].dataType.typeName() == "struct"
+        found = F.col("json")[text] if nested else F.get_json_object("json", f"$.{text}")
+    return found, audio if audio in originals.columns else "wav"
+
 
-    Only digests and ordinals are shuffled to find the match, and both steps are written once because the
-    search for frequent keys reads them too. The audio is fetched last, by ordinal.
+def matched_originals(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal") -> DataFrame:
+    """Written (key, ordinal): the first original that agrees with each missing record, null without one; reads no audio.
+
+    Only digests and ordinals are shuffled, and both steps are written once because the search for frequent
+    keys reads them too.
     """
     if source not in RECOVERY_TEXT:
         raise ValueError(f"unknown source: {source}. Available: {sorted(RECOVERY_TEXT)}")
-    text = RECOVERY_TEXT[source]
+    text, _ = original_columns(originals, source)
     keyed = originals.select(ordinal, recovery_key(source, text).alias("_key")).where(F.col("_key").isNotNull())
     firsts = keyed.groupBy("_key").agg(F.min(ordinal).alias(ordinal))
     wanted = materialize(missing.select(key, recovery_key(source, "transcript").alias("_key")), "wanted")
-    matched = materialize(lookup(wanted, firsts, "_key", key).drop("_key"), "matched")
-    payload = originals.select(ordinal, unify_audio(originals, audio, default_rate).alias("recovered_audio"))
+    return materialize(lookup(wanted, firsts, "_key", key).drop("_key"), "matched")
+
+
+def recover_audio(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", audio: str = "audio", default_rate: int = 16000):
+    """``recovered_audio`` of every missing record from the first original that agrees with it.
+
+    The audio is fetched last, by ordinal, and only that of originals which are wanted.
+    """
+    matched = matched_originals(missing, originals, source, key, ordinal)
+    _, audio = original_columns(originals, source, audio)
+    # only originals that are wanted go on with their audio
+    asked = materialize(matched.where(F.col(ordinal).isNotNull()).select(ordinal).distinct(), "asked")
+    needed = originals.join(bounded(asked), ordinal, "left_semi")
+    payload = needed.select(ordinal, unify_audio(needed, audio, default_rate).alias("recovered_audio"))
     return lookup(matched, payload, ordinal, key).select(key, "recovered_audio")
 
 
@@ -85,6 +119,11 @@ def coalesce_audio(df: DataFrame) -> DataFrame:
     )
 
 
+def usable_audio(audio):
+    """Whether a clip has samples."""
+    return F.coalesce(F.size(audio["array"]) > 0, F.lit(False))
+
+
 def resume(df: DataFrame, processed: DataFrame, keys=("dataset", "idx")) -> DataFrame:
     """Rows whose keys are not yet processed."""
     return df.join(processed.select(*keys), list(keys), "left_anti")
@@ -98,9 +137,9 @@ def only_speakers(df: DataFrame, speakers: DataFrame) -> DataFrame:
 def pipeline_counters(df: DataFrame, by: str = "dataset") -> DataFrame:
     """Counters per source, and for the whole corpus under 'total'.
 
-    ``df`` is the outcome of :func:`coalesce_audio`; without samples a row counts as an error.
+    ``df`` is the outcome of :func:`coalesce_audio`, or has ``usable`` instead of ``audio``; without samples a row counts as an error.
     """
-    usable = F.coalesce(F.size(F.col("audio")["array"]) > 0, F.lit(False))
+    usable = F.col("usable") if "usable" in df.columns else usable_audio(F.col("audio"))
     counted = df.groupBy(by).agg(
         F.count("*").alias("total_processed"),
         F.count_if(F.col("status") != "present").alias("missing_audio"),

@@ -1,63 +1,75 @@
-"""Exact percentiles, box statistics and outlier bounds.
+"""Exact percentiles, box statistics and outlier bounds, without sorting the column.
 
-The values are first reduced to (group, value, count). Those rows are materialised and counted: while
-they are few, the built-in ``percentile`` reads them in one buffer. Beyond that bound the ranks come
-from a distributed running count, so no task ever holds a whole column.
+One scan sketches a narrow bracket round each wanted rank. The next one counts what lies below the brackets and keeps only the
+values inside them, counted; the rank's value is found among these. Should a rank lie outside its bracket, the brackets are
+widened and the scans repeated, so the result is exact at any size.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from speechframe.operators.ordinal import running_sum
+from speechframe.operators.joins import bounded
 from speechframe.session import materialize
 
-ONE_BUFFER_VALUES = 100_000
-
-
-def value_table(df: DataFrame, column: str, by=()) -> DataFrame:
-    """Materialised (by..., value, n) of the non-null values."""
-    rows = df.where(F.col(column).isNotNull())
-    return materialize(rows.groupBy(*by, F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n")))
-
-
-def percentiles_of(values: DataFrame, ps, by=(), one_buffer: int = ONE_BUFFER_VALUES) -> DataFrame:
-    """Percentiles ``q`` (array, linear interpolation) of a value table, one row per group."""
-    by = list(by)
-    if values.count() <= one_buffer:
-        quantile = F.percentile("value", F.array(*[F.lit(float(p)) for p in ps]), F.col("n"))
-        return values.groupBy(*by).agg(F.sum("n").alias("n"), quantile.alias("q"))
-    return _percentiles_by_rank(values, ps, by)
-
-
-def _percentiles_by_rank(values: DataFrame, ps, by) -> DataFrame:
-    before = F.col("upto") - F.col("n")
-    if by:
-        # where each group starts in the common order
-        sizes = values.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.sum("n").alias("total"))
-        ends = running_sum(sizes, [f"_{b}" for b in by], "total", "origin")
-        starts = ends.withColumn("origin", F.col("origin") - F.col("total"))
-        ranked = running_sum(values, [*by, "value"], "n", "upto").withColumn("before", before)
-        placed = ranked.join(starts, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
-    else:
-        # only the ranges that hold one of the ranks are summed row by row
-        last = values.agg(F.sum("n") - 1)
-        ranks = last.toDF("last").select(F.array(*[r(F.col("last") * F.lit(float(p))) for p in ps for r in (F.floor, F.ceil)]))
-        ranked = running_sum(values, ["value"], "n", "upto", around=ranks.scalar()).withColumn("before", before)
-        placed = ranked.withColumn("total", last.scalar() + 1).withColumn("origin", F.lit(0))
-
-    def at(rank):
-        offset = rank + F.col("origin")
-        return F.max(F.when((F.col("before") <= offset) & (offset < F.col("upto")), F.col("value")))
-
-    picks = []
-    for i, p in enumerate(ps):
-        place = (F.col("total") - 1) * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
-    found = placed.groupBy(*by).agg(F.first("total").alias("n"), *picks)
-    mixed = []
-    for i, p in enumerate(ps):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        share = place - F.floor(place)
-        mixed.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share)
+# The sketch's ranks are off by at most n / ACCURACY.
+ACCURACY = 20_000
+
+
+def _values(df: DataFrame, column: str, by) -> DataFrame:
+    return df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("value"))
+
+
+def _ranks(ps):
+    """The ranks below and above each percentile, and the share of the upper one, for groups of ``n`` values."""
+    places = [(F.col("n") - 1) * F.lit(float(p)) for p in ps]
+    return [r(x).cast("long") for x in places for r in (F.floor, F.ceil)], [x - F.floor(x) for x in places]
+
+
+def percentiles_of(df: DataFrame, column: str, ps, by=(), accuracy: int = ACCURACY) -> DataFrame:
+    """``n`` and percentiles ``q`` (array, linear interpolation) of the non-null values, one row per group."""
+    by, rows, wide = list(by), _values(df, column, by), 2.0 / accuracy
+    while True:
+        shares = [min(1.0, max(0.0, p + d)) for p in ps for d in (-wide, wide)]
+        # NaN counts as the largest value, as in sorting
+        sketch = F.percentile_approx("value", shares, accuracy)
+        brackets = rows.groupBy(*by).agg(F.count("*").alias("n"), sketch.alias("s"))
+        edges = F.array(*[F.struct(F.col("s")[2 * i].alias("lo"), F.col("s")[2 * i + 1].alias("hi")) for i in range(len(ps))])
+        brackets = materialize(brackets.select(*by, "n", edges.alias("edges")), "brackets")
+        marked = _with_groups(rows, brackets, by)
+        # values up to the lower edge's and inside any bracket; below: how many values are smaller than each lower edge
+        below = [F.count_if(F.col("value") < F.col("edges")[i]["lo"]).alias(f"b{i}") for i in range(len(ps))]
+        counted = materialize(marked.groupBy(*by).agg(F.first("n").alias("n"), F.first("edges").alias("edges"), *below), "below")
+        inside = F.exists("edges", lambda e: (F.col("value") >= e["lo"]) & (F.col("value") <= e["hi"]))
+        kept = materialize(marked.where(inside).groupBy(*by, "value").agg(F.count("*").alias("c")), "inside")
+        found = materialize(_pick(kept, counted, ps, by), "picked")
+        if not found.where(F.exists("q", lambda x: x.isNull())).limit(1).count():
+            return found
+        wide *= 8
+
+
+def _with_groups(rows: DataFrame, groups: DataFrame, by) -> DataFrame:
+    """``rows`` with their group's row; one row without groups. ``groups`` is a written table."""
+    if not by:
+        one = groups.select(F.struct(*groups.columns).alias("g")).scalar()
+        return rows.withColumn("g", one).select(*rows.columns, "g.*")
+    renamed = groups.select(*[F.col(b).alias(f"_{b}") for b in by], *[c for c in groups.columns if c not in by])
+    return rows.join(bounded(renamed), [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]).drop(*[f"_{b}" for b in by])
+
+
+def _pick(kept: DataFrame, counted: DataFrame, ps, by) -> DataFrame:
+    """The values at the ranks, from the counted values inside the brackets: each bracket is summed up on its own."""
+    marked = _with_groups(kept, counted, by)
+    brackets = F.array(*[F.struct(F.lit(i).alias("i"), F.col("edges")[i]["lo"].alias("lo"), F.col("edges")[i]["hi"].alias("hi"), F.col(f"b{i}").alias("b")) for i in range(len(ps))])
+    of = marked.select(*by, "n", "value", "c", F.explode(brackets).alias("e")).where(F.col("value").between(F.col("e.lo"), F.col("e.hi")))
+    order = Window.partitionBy(*by, "e.i").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = of.withColumn("upto", F.col("e.b") + F.sum("c").over(order)).withColumn("before", F.col("upto") - F.col("c"))
+    ranks, shares = _ranks(ps)
+
+    def at(i, rank):
+        return F.max(F.when((F.col("e.i") == i) & (F.col("before") <= rank) & (rank < F.col("upto")), F.col("value")))
+
+    picks = [at(k // 2, r).alias(f"r{k}") for k, r in enumerate(ranks)]
+    found = placed.groupBy(*by, "n").agg(*picks) if by else placed.groupBy("n").agg(*picks)
+    mixed = [F.col(f"r{2 * i}") + (F.col(f"r{2 * i + 1}") - F.col(f"r{2 * i}")) * share for i, share in enumerate(shares)]
     return found.select(*by, "n", F.array(*mixed).alias("q"))
 
 
@@ -67,7 +79,7 @@ def percentiles(df: DataFrame, column: str, ps=(10, 25, 50, 75, 90, 95, 99), app
     if approx:
         row = df.agg(F.percentile_approx(column, shares, 10000).alias("q"))
     else:
-        row = percentiles_of(value_table(df, column), shares)
+        row = percentiles_of(df, column, shares)
     points = F.arrays_zip(F.array(*[F.lit(float(p)) for p in ps]).alias("p"), F.col("q").alias("q"))
     return row.select(F.explode(points).alias("z")).select(
         F.col("z.p").alias("percentile"), F.col("z.q").alias("value")
@@ -92,34 +104,32 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
     """Quartiles, whiskers (extreme data inside 1.5 IQR) and the number of fliers per group."""
-    values = value_table(df.where(F.col(by).isNotNull()), column, [by])
-    bounds = _bounds(percentiles_of(values, QUARTILES, [by]).drop("n"))
-    joined = values.join(bounds, by)
+    rows = df.where(F.col(by).isNotNull())
+    bounds = materialize(_bounds(percentiles_of(rows, column, QUARTILES, [by]).drop("n")), "bounds")
+    joined = _with_groups(_values(rows, column, [by]), bounds, [by])
     inside = F.col("value").between(F.col("lower"), F.col("upper"))
     return joined.groupBy(by).agg(
-        F.sum("n").alias("rows"),
+        F.count("*").alias("rows"),
         *[F.first(c).alias(c) for c in ["q1", "median", "q3"]],
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).cast("bigint").alias("fliers"),
+        F.count_if(~inside).alias("fliers"),
     )
 
 
 def outlier_summary(df: DataFrame, column: str = "duration") -> DataFrame:
     """Q1, Q3, the bounds and the number of rows strictly outside them."""
-    values = value_table(df, column)
-    bounds = _bounds(percentiles_of(values, QUARTILES))
+    bounds = _bounds(percentiles_of(df, column, QUARTILES))
     edge = bounds.select(F.struct("lower", "upper").alias("b"))
-    outside = values.withColumn("b", edge.scalar()).where(
+    outside = _values(df, column, []).withColumn("b", edge.scalar()).where(
         (F.col("value") < F.col("b.lower")) | (F.col("value") > F.col("b.upper"))
     )
-    count = outside.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint"))
-    return bounds.select("q1", "q3", "lower", "upper", count.scalar().alias("outliers"))
+    return bounds.select("q1", "q3", "lower", "upper", outside.agg(F.count("*")).scalar().alias("outliers"))
 
 
 def duration_outliers(df: DataFrame, column: str = "duration") -> DataFrame:
     """The rows strictly outside the 1.5 IQR bounds, with the bounds."""
-    bounds = _bounds(percentiles_of(value_table(df, column), QUARTILES))
+    bounds = _bounds(percentiles_of(df, column, QUARTILES))
     edge = bounds.select(F.struct("lower", "upper").alias("b")).scalar()
     marked = df.withColumn("_b", edge)
     value = F.col(column)
@@ -131,7 +141,5 @@ def duration_outliers(df: DataFrame, column: str = "duration") -> DataFrame:
     )
 
 
-def median(values: DataFrame) -> DataFrame:
-    return percentiles_of(values, [0.5]).select(F.col("q")[0].alias("median"))
-
-
+def median(df: DataFrame, column: str) -> DataFrame:
+    return percentiles_of(df, column, [0.5]).select(F.col("q")[0].alias("median"))

@@ -30,8 +30,8 @@ def to_record(df: DataFrame, dataset: str | None = None, timestamp: str | None =
     )
 
 
-def to_combined(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected): cast to the combined shape; a row with an uncastable value is rejected whole."""
+def to_combined(df: DataFrame, extra=()) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): cast to the combined shape; a row with an uncastable value is rejected whole. ``extra`` columns stay."""
     spec = {"duration": "double", "audio": AUDIO.simpleString()}
     cast = df
     bad = F.lit(False)
@@ -51,10 +51,12 @@ def to_combined(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("duration").try_cast("double").alias("duration"),
         "voice_description",
         *[column_or(df, c, UNKNOWN).alias(c) for c in DEMOGRAPHICS],
+        *extra,
     )
     return good, checked.where("_bad").drop("_bad")
 
 
+# Fixed value: the instruction of the training rows.
 INSTRUCTION = "Analyze this voice recording and provide a detailed description."
 
 
@@ -129,7 +131,10 @@ def split_projection(df: DataFrame, order=("index",), by: str | None = "split")
     Positions dealt by :func:`split3` (column ``position``) are taken over, else they are numbered in ``order``.
     """
     if "position" not in df.columns:
-        df = with_ordinal(df, list(order), by=by, name="position")
+        # only keys are ordered; ``order`` must tell the rows apart
+        keys = [*order, *([by] if by and by not in order else [])]
+        numbered = with_ordinal(df.select(*keys), list(order), by=by, name="position").select(*order, "position")
+        df = df.join(numbered, list(order))
     shaped = df.withColumn("speaker_id", F.col("position"))
     for c in DEMOGRAPHICS:
         shaped = shaped.withColumn(c, column_or(df, c, UNKNOWN))

@@ -4,17 +4,15 @@ Every random choice is a hash of the seed and the row's key, so it does not depe
 a recomputed task draws the same rows.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from speechframe.functions.scalars import shuffle_key, uniform
-from speechframe.operators.filters import min_description, profile_candidates
+from speechframe.operators.filters import leading, min_description, profile_candidates
 from speechframe.operators.ordinal import with_ordinal
 
+# The split sizes of the published corpus, for callers that ask for them.
 SPLIT_CAPS = {"train": 10000, "validation": 3000, "test": 2000}
 
-# Up to this many rows one task numbers the split members; beyond it they are numbered in ranges.
-ONE_TASK_ROWS = 1_000_000
-
 
 def decaying_sample(df: DataFrame, max_n=None, seed: int = 0, already: int = 0, key: str = "idx", processed=None):
     """Walk rows i = 1, 2, ... and keep row i with probability min(1, max_n / (2 i)) until max_n rows are kept.
@@ -27,24 +25,19 @@ def decaying_sample(df: DataFrame, max_n=None, seed: int = 0, already: int = 0,
         df = df.where((i <= 1) | (uniform(seed, i) < chance))
     if processed is not None:
         df = df.join(processed.select(key), key, "left_anti")
-    return df.orderBy(key).limit(max(max_n - already, 0)) if max_n else df
+    return leading(df, max(max_n - already, 0), key) if max_n else df
 
 
-def split3(df: DataFrame, seed: int = 42, caps=SPLIT_CAPS, key: str = "idx", min_chars: int = 60) -> DataFrame:
-    """Shuffle the rows with a long enough description and deal them into train, validation and test.
+def split3(df: DataFrame, seed: int = 42, caps=None, key: str = "idx", min_chars: int = 60) -> DataFrame:
+    """Shuffle the rows with a long enough description and deal them all into train, validation and test.
 
-    Returns ``df`` with ``split`` and the 0-based ``position`` in it. With caps the rest is dropped and only
-    the leading rows of the shuffled order are ever sorted; ``caps=None`` deals out every row.
+    Returns ``df`` with ``split`` and the 0-based ``position`` in it. ``caps`` may bound the splits' sizes; what is over
+    a cap is then left out. ``key`` must tell the rows apart. Only keys are numbered, in ranges, at any size.
     """
     kept = min_description(df, min_chars)
     keys = kept.select(F.col(key), shuffle_key(seed, F.col(key)).alias("_order"))
     size = kept.agg(F.count("*").alias("n"))
-    few = caps and sum(caps.values()) <= ONE_TASK_ROWS
-    if few:
-        head = keys.orderBy("_order", key).limit(sum(caps.values()))
-        dealt = head.withColumn("_at", F.row_number().over(Window.orderBy("_order", key)) - 1)
-    else:
-        dealt = with_ordinal(keys, ["_order", key], name="_at")
+    dealt = with_ordinal(keys, ["_order", key], name="_at")
     n = F.col("_n")
     whole = lambda x: F.floor(x).cast("long")
     train, val = whole(n * 2 / 3), whole(n / 6)
@@ -62,8 +55,7 @@ def split3(df: DataFrame, seed: int = 42, caps=SPLIT_CAPS, key: str = "idx", min
         F.when(at < first, "train").when(at < second, "validation").otherwise("test").alias("split"),
         F.when(at < first, at).when(at < second, at - first).otherwise(at - second).cast("long").alias("position"),
     )
-    # with caps, ONE_TASK_ROWS bounds the members
-    return kept.join(F.broadcast(members) if few else members, key)
+    return kept.join(members, key)
 
 
 def split_sizes(df: DataFrame) -> DataFrame:
@@ -71,8 +63,8 @@ def split_sizes(df: DataFrame) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 0, key: str = "idx") -> DataFrame:
-    """At most ``n`` random rows without replacement: a top-n by hash, not a full sort."""
-    return df.orderBy(shuffle_key(seed, F.col(key)), key).limit(n)
+    """At most ``n`` random rows without replacement: those with the smallest hashes. ``key`` must tell the rows apart."""
+    return leading(df, n, shuffle_key(seed, F.col(key)), key)
 
 
 def pick_one(df: DataFrame, seed: int = 0, gender=None, age=None, personality=None, key: str = "idx") -> DataFrame:

@@ -14,7 +14,7 @@ from speechframe.functions.scalars import (
     word_count,
 )
 from speechframe.operators.ordinal import top_k_per_group
-from speechframe.operators.quantiles import median, value_table
+from speechframe.operators.quantiles import median
 from speechframe.schemas import DEMOGRAPHICS, UNKNOWN
 
 
@@ -72,15 +72,16 @@ def share_pct(df: DataFrame, column: str) -> DataFrame:
     return counted.withColumn("pct", F.col("count") / total * 100.0)
 
 
-def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Contingency table in long form ``(a, b, count)``; combinations that do not occur are 0.
+def crosstab(df: DataFrame, a: str, b: str, values=None) -> DataFrame:
+    """Contingency table in long form ``(a, b, count)`` of the combinations that occur.
 
-    The zeros are filled from the values of ``a`` and ``b`` that occur, of which there must be few.
+    With a list of ``values`` of ``b``, every ``a`` has a row for each of them, 0 where they do not occur together.
     """
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     counted = both.groupBy(a, b).agg(F.count("*").alias("count"))
-    columns = counted.agg(F.collect_set(b).alias("all")).select("all")
-    grid = counted.select(a).distinct().withColumn(b, F.explode(columns.scalar()))
+    if values is None:
+        return counted
+    grid = counted.select(a).distinct().withColumn(b, F.explode(F.array(*[F.lit(v) for v in values])))
     return grid.join(counted, [a, b], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
 
 
@@ -149,19 +150,17 @@ NUMERIC = ["duration", "transcript_length", "word_count", "description_length",
 def correlation(df: DataFrame, cols=NUMERIC) -> DataFrame:
     """Pearson matrix as rows ``(a, b, r)`` over the rows where both are present; null where one is constant.
 
-    One pass: every row yields its pairs, which are summed before the shuffle, so one row per pair and task moves.
+    One pass of plain aggregates; a task sends one row.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     numbers = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
-    cells = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y")) for i, (a, b) in enumerate(pairs)]
-    long = numbers.select(F.inline(F.array(*cells))).where("x IS NOT NULL AND y IS NOT NULL")
-    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
-    summed = long.groupBy("pair").agg(r.alias("r"))
-    both_ways = [F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in dict.fromkeys([(a, b), (b, a)])]) for a, b in pairs]
-    # a pair without any complete row is still listed
-    listed = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
-    named = listed.join(F.broadcast(summed), "pair", "left").withColumn("name", F.element_at(F.array(*both_ways), F.col("pair") + 1))
-    return named.select(F.explode("name").alias("name"), "r").select("name.a", "name.b", "r")
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+        sums.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"r{i}"))
+    cells = [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])]
+    return numbers.agg(*sums).select(F.inline(F.array(*cells)))
 
 
 # --- text metrics and descriptions -------------------------------------------------------------
@@ -188,8 +187,10 @@ def description_stats(df: DataFrame, cols=("voice_description",)) -> DataFrame:
         *[F.stddev_pop(x).alias(f"std_{c}_length") for c, x in lengths.items()],
     )
     out = unpivot(sizes, "lengths")
-    for field in [f for f in DEMOGRAPHICS if f in df.columns]:
-        out = out.unionByName(_section(df, field, f"distribution_{field}", F.coalesce(field, F.lit(UNKNOWN))))
+    for field in DEMOGRAPHICS:
+        # a column that is missing is unknown in every row
+        value = F.coalesce(field, F.lit(UNKNOWN)) if field in df.columns else F.lit(UNKNOWN)
+        out = out.unionByName(_section(df, field, f"distribution_{field}", value))
     if "processing_timestamp" in df.columns:
         dated = df.where(F.col("processing_timestamp").isNotNull())
         out = out.unionByName(_section(dated, "processing_timestamp", "processing_dates"))
@@ -224,7 +225,7 @@ def diversity_report(df: DataFrame) -> DataFrame:
         F.stddev_samp("duration").alias("std_duration"),
         hours(F.sum("duration")).alias("total_hours"),
     )
-    middle = median(value_table(df, "duration"))
+    middle = median(df, "duration")
     parts = [
         unpivot(sizes, "size"),
         unpivot(middle.withColumnRenamed("median", "median_duration"), "size"),
@@ -319,8 +320,10 @@ def corpus_card(df: DataFrame) -> DataFrame:
     row = df.agg(
         F.count("*").alias("total_samples"),
         hours(F.sum("duration")).alias("total_duration_hours"),
-        F.array_sort(F.collect_set("dataset")).alias("source_datasets"),
     )
+    # distinct first, so that the one task of the list gets each name once
+    names = df.where(F.col("dataset").isNotNull()).select("dataset").distinct().agg(F.array_sort(F.collect_list("dataset")))
+    row = row.withColumn("source_datasets", names.scalar())
     for name, value in fields.items():
         row = row.withColumn(name, F.lit(value))
     for name, values in lists.items():

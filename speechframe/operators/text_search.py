@@ -82,36 +82,36 @@ def _neighbours(words: Column, n: int) -> Column:
     return runs
 
 
-def terms(text: str, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> Column:
-    """All n-grams of the tokens, formed after the stop words are gone."""
+def grams_of(words: Column, ngrams=(1, 1)) -> Column:
+    """All n-grams of a list of words; bind the list when it is not a column."""
     low, high = ngrams
-    if high == 1:
-        return tokens_of(text, stop)
+    kinds = [words] if low == 1 else []
+    for n in range(max(low, 2), high + 1):
+        kinds.append(F.transform(_neighbours(words, n), lambda run: F.array_join(run, " ")))
+    return F.concat(*kinds)
 
-    def grams(words):
-        kinds = [words] if low == 1 else []
-        for n in range(max(low, 2), high + 1):
-            kinds.append(F.transform(_neighbours(words, n), lambda run: F.array_join(run, " ")))
-        return F.concat(*kinds)
 
-    return bind(tokens_of(text, stop), grams)
+def terms(text: str, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> Column:
+    """All n-grams of the tokens, formed after the stop words are gone."""
+    if ngrams == (1, 1):
+        return tokens_of(text, stop)
+    return bind(tokens_of(text, stop), lambda words: grams_of(words, ngrams))
 
 
-def _counted(df: DataFrame, text: str, ngrams, stop) -> DataFrame:
-    tokens = df.select(F.explode(terms(text, ngrams, stop)).alias("term"))
-    return tokens.groupBy("term").agg(F.count("*").alias("total"))
+def _counted(words: DataFrame, ngrams) -> DataFrame:
+    return words.select(F.explode(grams_of(F.col("words"), ngrams)).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
 
 
-def _counted_among(df: DataFrame, text: str, n: int, stop, words: DataFrame) -> DataFrame:
-    """Counts of the n-grams all of whose words are listed."""
-    runs = df.select(F.explode(bind(tokens_of(text, stop), lambda t: _neighbours(t, n))).alias("run"))
+def _counted_among(words: DataFrame, n: int, frequent: DataFrame) -> DataFrame:
+    """Counts of the n-grams all of whose words are listed. Spark broadcasts the list while it is small enough."""
+    runs = words.select(F.explode(_neighbours(F.col("words"), n)).alias("run"))
     for i in range(n):
-        runs = runs.withColumn("word", F.col("run")[i]).join(words.withColumnRenamed("term", "word"), "word", "left_semi")
+        runs = runs.withColumn("word", F.col("run")[i]).join(frequent.withColumnRenamed("term", "word"), "word", "left_semi")
     return runs.groupBy(F.array_join("run", " ").alias("term")).agg(F.count("*").alias("total"))
 
 
-def vocabulary(df: DataFrame, text: str, max_features: int, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> DataFrame:
-    """``term`` and ``total`` of the ``max_features`` most frequent terms of the corpus, ties by the term.
+def vocabulary(words: DataFrame, max_features: int, ngrams=(1, 1)) -> DataFrame:
+    """``term`` and ``total`` of the ``max_features`` most frequent terms of the lists ``words``, ties by the term.
 
     An n-gram is at most as frequent as its rarest word. The words are counted first, and an n-gram can only
     reach the vocabulary when all its words are as frequent as the last word that would; the many rare n-grams
@@ -119,34 +119,30 @@ def vocabulary(df: DataFrame, text: str, max_features: int, ngrams=(1, 1), stop=
     """
     low, high = ngrams
     if high == 1 or low > 1:
-        counted = _counted(df, text, ngrams, stop)
+        counted = _counted(words, ngrams)
     else:
-        words = materialize(_counted(df, text, (1, 1), stop), "words")
-        last = words.orderBy(F.desc("total")).limit(max_features).agg(F.min("total")).scalar()
-        frequent = words.where(F.col("total") >= last).select("term")
-        # Words that tie with the last one may be many: then every n-gram is counted
-        if frequent.limit(4 * max_features + 1).count() > 4 * max_features:
-            counted = words.unionByName(_counted(df, text, (2, high), stop))
-        else:
-            counted = words
-            for n in range(2, high + 1):
-                counted = counted.unionByName(_counted_among(df, text, n, stop, F.broadcast(frequent)))
+        counted = single = materialize(_counted(words, (1, 1)), "words")
+        last = single.orderBy(F.desc("total")).limit(max_features).agg(F.min("total")).scalar()
+        frequent = materialize(single.where(F.col("total") >= last).select("term"), "frequent")
+        for n in range(2, high + 1):
+            counted = counted.unionByName(_counted_among(words, n, frequent))
     return counted.orderBy(F.desc("total"), "term").limit(max_features)
 
 
-def term_weights(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS):
+def term_weights(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS, also=()):
     """(weights, idf): unnormalised ``(key, term, weight)`` and the vocabulary ``(term, idf)``.
 
-    The counts of the vocabulary's terms per row are written once and everything else reads them.
+    The texts are cut into words once. ``also`` names columns that tell rows apart besides the key.
     """
+    words = materialize(df.select(*also, F.col(key).alias("key"), tokens_of(text, stop).alias("words")), "tokens")
     # max_features bounds both broadcasts
-    kept = F.broadcast(vocabulary(df, text, max_features, ngrams, stop).select("term"))
-    tokens = df.select(F.col(key).alias("key"), F.explode(terms(text, ngrams, stop)).alias("term"))
-    tf = materialize(tokens.join(kept, "term", "left_semi").groupBy("key", "term").agg(F.count("*").alias("tf")), "terms")
-    size = df.agg(F.count("*").alias("n")).scalar()
+    kept = F.broadcast(vocabulary(words, max_features, ngrams).select("term"))
+    tokens = words.select(*also, "key", F.explode(grams_of(F.col("words"), ngrams)).alias("term"))
+    tf = materialize(tokens.join(kept, "term", "left_semi").groupBy(*also, "key", "term").agg(F.count("*").alias("tf")), "terms")
+    size = words.agg(F.count("*").alias("n")).scalar()
     seen = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = seen.select("term", (F.log((size + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
-    weights = tf.join(F.broadcast(idf), "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
+    weights = tf.join(F.broadcast(idf), "term").select(*also, "key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     return weights, idf
 
 
@@ -158,12 +154,16 @@ def tfidf(df: DataFrame, text: str = "voice_description", key: str = "idx", max_
 
 
 def _ranked(df: DataFrame, dots: DataFrame, key: str, k: int) -> DataFrame:
-    """The ``k`` best rows; rows without a common term score 0 and fill up by key."""
+    """The ``k`` best rows; rows without a common term score 0 and fill up by key.
+
+    At most 2 ``k`` keys are chosen before a description is read.
+    """
     best = dots.orderBy(F.desc("similarity"), "key").limit(k)
-    scored = df.join(F.broadcast(best), F.col(key) == F.col("key"), "left")
-    top = scored.withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
+    first = df.select(F.col(key).alias("key"), F.lit(0.0).alias("similarity")).orderBy("key").limit(k)
+    chosen = best.unionByName(first).groupBy("key").agg(F.max("similarity").alias("similarity"))
     return (
-        top.orderBy(F.desc("similarity"), key)
+        df.join(F.broadcast(chosen), F.col(key) == F.col("key"))
+        .orderBy(F.desc("similarity"), key)
         .limit(k)
         .select(key, "similarity", "speaker_id", F.col("voice_description").alias("description"), demographics().alias("demographics"))
     )
@@ -185,26 +185,35 @@ def _cosine(weights: DataFrame, query: DataFrame) -> DataFrame:
 
 def find_similar(df: DataFrame, query: str, k: int = 5, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 2), stop=ENGLISH_STOP_WORDS) -> DataFrame:
     """The ``k`` rows closest to ``query``, with the query part of the fitted corpus."""
-    asked = df.sparkSession.range(1).select(F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(query).alias(text))
-    corpus = df.select(key, text).unionByName(asked)
-    weights, _ = term_weights(corpus, text, key, max_features, ngrams, stop)
-    rows, own = weights.where(F.col("key").isNotNull()), weights.where(F.col("key").isNull())
-    return _ranked(df, _cosine(rows, own), key, k)
+    asked = df.sparkSession.range(1).select(F.lit(True).alias("_asked"), F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(query).alias(text))
+    corpus = df.select(F.lit(False).alias("_asked"), key, text).unionByName(asked)
+    weights, _ = term_weights(corpus, text, key, max_features, ngrams, stop, also=["_asked"])
+    return _ranked(df, _cosine(weights.where(~F.col("_asked")), weights.where("_asked")), key, k)
 
 
 def search_index(df: DataFrame, path: str, text: str = "voice_description", key: str = "idx", max_features: int = 200, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> str:
-    """Fit on the corpus once and write the weights and the vocabulary below ``path``."""
+    """Fit on the corpus once and write the normalised weights, in the order of their terms, and the vocabulary below ``path``."""
     weights, idf = term_weights(df, text, key, max_features, ngrams, stop)
-    weights.write.mode("overwrite").parquet(f"{path}/weights")
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("key")))
+    normed = weights.withColumn("weight", F.try_divide(F.col("weight"), norm))
+    normed.repartitionByRange("term", "key").sortWithinPartitions("term", "key").write.mode("overwrite").parquet(f"{path}/weights")
     idf.write.mode("overwrite").parquet(f"{path}/vocabulary")
     return path
 
 
 def search(df: DataFrame, path: str, query: str, k: int = 3, key: str = "idx", ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> DataFrame:
-    """The ``k`` rows closest to ``query`` by a written index; terms the corpus does not have are ignored."""
+    """The ``k`` rows closest to ``query`` by a written index; terms the corpus does not have are ignored.
+
+    Only the weights of the query's own terms are read.
+    """
     spark = df.sparkSession
     weights, idf = spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/vocabulary")
     asked = spark.range(1).select(F.lit(query).alias("query"))
-    counted = _counted(asked, "query", ngrams, stop).withColumnRenamed("total", "tf")
-    own = idf.join(F.broadcast(counted), "term").select("term", (F.col("tf") * F.col("idf")).alias("weight"))
-    return _ranked(df, _cosine(weights, own), key, k)
+    counted = _counted(asked.select(tokens_of("query", stop).alias("words")), ngrams).withColumnRenamed("total", "tf")
+    own = idf.join(F.broadcast(counted), "term").select("term", (F.col("tf") * F.col("idf")).alias("weight")).collect()
+    length = sum(r.weight * r.weight for r in own) ** 0.5 or 1.0
+    listed = spark.createDataFrame([(r.term, r.weight / length) for r in own], "term string, q double")
+    found = weights.where(F.col("term").isin([r.term for r in own])).join(F.broadcast(listed), "term")
+    # Sums run in any order: rounding keeps equal texts equal, so that ties fall to the key
+    dots = found.groupBy("key").agg(F.round(F.sum(F.col("weight") * F.col("q")), 12).alias("similarity"))
+    return _ranked(df, dots.where("similarity > 0"), key, k)

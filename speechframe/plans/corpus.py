@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechframe.operators.annotate import annotate, fill_metadata
 from speechframe.operators.filters import has_audio
-from speechframe.operators.joins import attach_audio, coalesce_audio, recover_audio, resume, without_file
+from speechframe.operators.joins import attach_audio, bounded, coalesce_audio, lookup, matched_originals, original_columns, recover_audio, resume, usable_audio, without_file
 from speechframe.operators.ordinal import with_ordinal
 from speechframe.operators.prompts import build_prompt
 from speechframe.operators.records import split_projection, to_combined, to_record
-from speechframe.operators.sampling import SPLIT_CAPS, decaying_sample, split3
+from speechframe.functions.scalars import basename
+from speechframe.functions.waveform import unify_audio
+from speechframe.operators.sampling import decaying_sample, split3
 from speechframe.schemas import SOURCE_ORDER
 from speechframe.session import materialize
 from speechframe.sources.adapters import normalize_source
@@ -46,11 +48,38 @@ def recover_source(records: DataFrame, files: DataFrame, originals: DataFrame |
     return present.unionByName(coalesce_audio(found))
 
 
-def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
-    """Usable rows of all sources in the fixed order under one 0-based ``index``; an absent source is skipped.
+def source_status(records: DataFrame, files: DataFrame, originals: DataFrame | None, source: str, key: str = "idx", by: str = "dataset") -> DataFrame:
+    """(key, dataset, status, usable) of the records of one source, as :func:`recover_source` would give them.
 
-    The rows are written once, so that their audio is looked up once. Then only keys are numbered, read from
-    two columns of that table, and the audio joins its number.
+    What is joined is keys, names and whether a clip has samples; no waveform leaves the task that reads it.
+    """
+    there = files.where(F.col("audio").isNotNull()).select("file_name", usable_audio(F.col("audio")).alias("_filed"))
+    named = records.select(key, by, "transcript", "speaker_id", basename("audio_path").alias("file_name"))
+    filed = materialize(lookup(named, there, "file_name", key), "filed")
+    present = filed.where(F.col("_filed").isNotNull()).select(key, by, F.lit("present").alias("status"), F.col("_filed").alias("usable"))
+    missing = filed.where(F.col("_filed").isNull())
+    if originals is None:
+        return present.unionByName(missing.select(key, by, F.lit("missing").alias("status"), F.lit(False).alias("usable")))
+    matched = matched_originals(missing, originals, source, key)
+    _, audio = original_columns(originals, source)
+    asked = materialize(matched.where(F.col("ordinal").isNotNull()).select("ordinal").distinct(), "asked")
+    wanted = originals.join(bounded(asked), "ordinal", "left_semi")
+    clip = unify_audio(wanted, audio)
+    sound = wanted.select("ordinal", clip.isNotNull().alias("_there"), usable_audio(clip).alias("_usable"))
+    outcome = lookup(matched, sound, "ordinal", key).select(key, "_there", "_usable")
+    found = F.coalesce("_there", F.lit(False))
+    rest = missing.select(key, by).join(outcome, key, "left").select(
+        key, by, F.when(found, "recovered").otherwise("missing").alias("status"), (found & F.coalesce("_usable", F.lit(False))).alias("usable")
+    )
+    return present.unionByName(rest)
+
+
+def combine_checked(sources: dict[str, DataFrame], key: str = "idx") -> tuple[DataFrame, DataFrame]:
+    """(corpus, rejected): the usable rows of all sources under one 0-based ``index``, and those that do not fit its shape.
+
+    Rows stand in the fixed order of the sources they come from, whatever their own ``dataset`` says, and by ``key`` within one;
+    an absent source is skipped. Every row has a number of its own before it is placed, so null or repeated keys and labels
+    neither lose nor multiply rows. The rows are written once; only ranks, keys and numbers are ordered.
     """
     parts = []
     for rank, name in enumerate(SOURCE_ORDER):
@@ -59,15 +88,18 @@ def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
-    good, _ = to_combined(has_audio(rows).withColumn("index", F.col(key)))
-    good = materialize(good, "combined")
-    order = F.element_at(F.create_map(*[x for i, s in enumerate(SOURCE_ORDER) for x in (F.lit(s), F.lit(i))]), F.col("dataset"))
-    keys = good.select("dataset", F.col("index").alias("_key"), order.alias("_rank"))
-    numbered = with_ordinal(keys, ["_rank", "_key"], name="_index").drop("_rank")
-    joined = good.withColumnRenamed("index", "_key").join(numbered, ["dataset", "_key"])
-    return joined.select(F.col("_index").alias("index"), *[c for c in good.columns if c != "index"])
+    good, rejected = to_combined(has_audio(rows).withColumn("index", F.col(key)), extra=["_rank"])
+    good = materialize(good.withColumn("_row", F.monotonically_increasing_id()), "combined")
+    numbered = with_ordinal(good.select("_rank", "index", "_row"), ["_rank", "index", "_row"], name="_index").select("_row", "_index")
+    joined = good.drop("index").join(numbered, "_row")
+    return joined.select(F.col("_index").alias("index"), *[c for c in good.columns if c not in ("index", "_rank", "_row")]), rejected
+
+
+def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
+    """The corpus of :func:`combine_checked`."""
+    return combine_checked(sources, key)[0]
 
 
-def update(corpus: DataFrame, seed: int = 42, caps=SPLIT_CAPS, key: str = "index") -> DataFrame:
+def update(corpus: DataFrame, seed: int = 42, caps=None, key: str = "index") -> DataFrame:
     """Filter by description length, deal the rows into splits and shape them for training."""
     return split_projection(split3(corpus, seed, caps, key))

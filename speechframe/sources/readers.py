@@ -36,16 +36,6 @@ def read_corpus(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a small table, one with at most half as many file splits as there are cores.
-
-    For work that is heavy per row, such as splitting texts. A split is at most
-    spark.sql.files.maxPartitionBytes, so what is dealt out is bounded; any larger table is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
-
-
 def concat_batches(dfs) -> DataFrame:
     """One table of homogeneous parts, older ones may lack columns."""
     first, *rest = dfs
@@ -64,12 +54,17 @@ def validate_table(spark: SparkSession, path: str, required=()) -> DataFrame:
 
 
 def _decode(content: bytes):
-    """(samples, rate) of PCM WAV bytes of 8, 16 or 32 bits; channels are averaged per frame."""
+    """(samples, rate) of PCM WAV bytes of 8, 16, 24 or 32 bits; channels are averaged per frame."""
     with wave.open(io.BytesIO(content)) as sound:
         width, rate, channels = sound.getsampwidth(), sound.getframerate(), sound.getnchannels()
         raw = sound.readframes(sound.getnframes())
     if width == 1:
         samples = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128.0) / 128.0
+    elif width == 3:
+        # three bytes become the upper ones of four
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        samples = wide.view("<i4").ravel().astype(np.float64) / float(1 << 31)
     else:
         samples = np.frombuffer(raw, {2: "<i2", 4: "<i4"}[width]).astype(np.float64) / float(1 << (8 * width - 1))
     if channels > 1:
@@ -78,21 +73,23 @@ def _decode(content: bytes):
 
 
 def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav") -> DataFrame:
-    """``(path, audio)`` of every WAV file in a folder; an unreadable file has null audio and does not fail the scan."""
+    """``(path, audio, error)`` of every WAV file in a folder; an unreadable file has null audio, says why and does not fail the scan."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sounds = []
+            sounds, errors = [], []
             for content in batch["content"]:
                 try:
                     samples, rate = _decode(content)
                     sounds.append({"array": samples, "sampling_rate": rate})
-                except Exception:
+                    errors.append(None)
+                except Exception as problem:
                     sounds.append(None)
-            yield pd.DataFrame({"path": batch["path"], "audio": pd.Series(sounds, index=batch.index, dtype=object)})
+                    errors.append(f"Error: {problem}")
+            yield pd.DataFrame({"path": batch["path"], "audio": pd.Series(sounds, index=batch.index, dtype=object), "error": errors})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select("path", "content")
-    return files.mapInPandas(decode, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO)]))
+    return files.mapInPandas(decode, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO), T.StructField("error", T.StringType())]))
 
 
 def stream_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, fmt: str = "json", files_per_batch: int | None = None) -> DataFrame:

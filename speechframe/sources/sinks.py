@@ -94,10 +94,11 @@ def write_wav(df: DataFrame, folder: str, file_name: Column | None = None, key:
                     try:
                         system.move(part, target)
                     except OSError:
-                        # some file systems do not replace; a file of this name already holds these bytes
+                        # some file systems do not replace: an older file of this name gives way
                         if system.get_file_info(target).type == fs.FileType.NotFound:
                             raise
-                        system.delete_file(part)
+                        system.delete_file(target)
+                        system.move(part, target)
                 except Exception as problem:
                     error = f"Error: {problem}"
                 paths.append(target if error is None else None)

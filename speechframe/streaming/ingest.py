@@ -4,13 +4,13 @@ Progress lives in the checkpoint location, which belongs in shared storage: a re
 after the last finished batch.
 """
 
-import threading
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from speechframe.operators.ordinal import running_sum
+from speechframe.sources.readers import path_exists
 
 
 def ingest(stream: DataFrame, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True):
@@ -22,42 +22,38 @@ def ingest(stream: DataFrame, sink: str, checkpoint: str, transform: Callable[[D
 
 
 LIMIT_REACHED = "batch limit reached"
+TOTALS = "rows long, batch_sum double, batch_id long"
 
 
 def batch_totals(stream: DataFrame, sink: str, checkpoint: str, value: str = "duration", max_batches: int | None = None) -> None:
     """Rows and sum of ``value`` of every micro-batch, written below ``sink`` under its batch id.
 
-    A repeated batch overwrites its own folder. With ``max_batches`` the query stops after that many; a
-    further batch is refused, so it stays unread and a later run without the limit goes on with it.
+    A repeated batch overwrites its own folder. With ``max_batches`` this run handles that many and refuses the next
+    one, which marks the last as finished and stays unread for a later run. The run ends with the refusal or the input.
     """
-    done = threading.Event()
-    over = lambda batch_id: max_batches is not None and batch_id >= max_batches
+    first: list[int] = []
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        if over(batch_id):
-            done.set()
+        first[:] = first or [batch_id]
+        if max_batches is not None and batch_id - first[0] >= max_batches:
             raise RuntimeError(LIMIT_REACHED)
         totals = batch.agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias("batch_sum"))
         totals.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-        if over(batch_id + 1):
-            done.set()
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     query = writer.trigger(availableNow=True).start()
     try:
-        while query.isActive and not done.is_set():
-            query.awaitTermination(1)
-        # ends at once, or when the next batch is refused: the last one that counts is then marked as finished
-        query.awaitTermination(30)
+        query.awaitTermination()
     except StreamingQueryException as error:
         if LIMIT_REACHED not in str(error):
             raise
-    query.stop()
 
 
 def running_batch_totals(spark, sink: str) -> DataFrame:
-    """The written batch totals with their running total."""
-    totals = spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long"))
+    """The written batch totals with their running total; no rows before the first batch."""
+    if not path_exists(spark, sink):
+        return spark.createDataFrame([], f"{TOTALS}, running_total double")
+    totals = spark.read.schema(TOTALS).parquet(sink)
     return running_sum(totals, ["batch_id"], "batch_sum", "running_total")
 
 
@@ -66,8 +62,14 @@ def max_batches(stream: DataFrame, n: int, sink: str, checkpoint: str, value: st
     batch_totals(stream, sink, checkpoint, value, max_batches=n)
 
 
-def dedup(stream: DataFrame, keys) -> DataFrame:
-    """Each key once over the life of the query. There is no event time to expire the state by."""
+def dedup(stream: DataFrame, keys, event_time: str | None = None, within: str = "1 day") -> DataFrame:
+    """Each key once.
+
+    With an event-time column, once within that time, after which a key's state is dropped; without one
+    for the life of the query, which keeps a state entry for every key it has seen.
+    """
+    if event_time:
+        return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
     return stream.dropDuplicates(list(keys))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from speechframe.operators import quantiles, sampling
+from speechframe.operators import filters, quantiles, sampling
 from speechframe.operators.ordinal import cumulative_hours, running_sum, running_total, with_ordinal
 
 
@@ -45,19 +45,18 @@ def test_running_total(spark):
     assert sorted(map(tuple, running_total(df, "b", "v").collect())) == [(1, 2, 5.0, 5.0), (2, 1, 4.0, 9.0)]
 
 
-@pytest.mark.parametrize("one_buffer", [0, 10**6])
-def test_percentiles_equal_numpy(numbers, one_buffer):
+# a coarse sketch leaves ranks outside their brackets, which are then widened
+@pytest.mark.parametrize("accuracy", [20, 20_000])
+def test_percentiles_equal_numpy(numbers, accuracy):
     ps = [0.1, 0.25, 0.5, 0.9, 0.99]
-    values = quantiles.value_table(numbers, "x")
-    row = quantiles.percentiles_of(values, ps, one_buffer=one_buffer).collect()[0]
+    row = quantiles.percentiles_of(numbers, "x", ps, accuracy=accuracy).collect()[0]
     x = np.array([r.x for r in numbers.collect()])
     assert row.n == 3000 and np.allclose(row.q, np.quantile(x, ps))
 
 
-@pytest.mark.parametrize("one_buffer", [0, 10**6])
-def test_percentiles_per_group(numbers, one_buffer):
-    values = quantiles.value_table(numbers, "x", ["g"])
-    got = {r.g: r.q for r in quantiles.percentiles_of(values, [0.25, 0.6], ["g"], one_buffer).collect()}
+@pytest.mark.parametrize("accuracy", [20, 20_000])
+def test_percentiles_per_group(numbers, accuracy):
+    got = {r.g: r.q for r in quantiles.percentiles_of(numbers, "x", [0.25, 0.6], ["g"], accuracy).collect()}
     for g, group in numbers.toPandas().groupby("g"):
         assert np.allclose(got[g], np.quantile(group["x"], [0.25, 0.6]))
 
@@ -72,11 +71,18 @@ def test_split3_sizes_and_disjoint(spark):
         assert sorted(part["position"]) == list(range(len(part)))
     whole = sampling.split3(df, caps=None).groupBy("split").count().toPandas().set_index("split")["count"].to_dict()
     assert whole == {"train": 600, "validation": 150, "test": 150}
-    # the ranges deal the same order as the one task does
-    far = dict.fromkeys(caps, sampling.ONE_TASK_ROWS)
-    same = sampling.split3(df, caps=far).select("idx", "split", "position").toPandas().sort_values("idx")
-    near = sampling.split3(df).select("idx", "split", "position").toPandas().sort_values("idx")
-    assert same.values.tolist() == near.values.tolist()
+
+
+def test_split3_deals_out_every_row(spark):
+    df = spark.range(20_000).select(F.col("id").alias("idx"), F.repeat(F.lit("x"), 60).alias("voice_description"))
+    sizes = {r.split: r["count"] for r in sampling.split3(df).groupBy("split").count().collect()}
+    assert sizes == {"train": 13_333, "validation": 3_333, "test": 3_334}
+
+
+def test_samples_keep_their_partitions(spark):
+    df = spark.range(0, 10_000, 1, 8).select(F.col("id").alias("idx"))
+    for few in (sampling.sample_n(df, 500, 3), filters.first_n(df, 500), sampling.decaying_sample(df, 500)):
+        assert few.count() <= 500 and few.rdd.getNumPartitions() == 8
 
 
 def test_decaying_sample(spark):
