@@ -35,7 +35,7 @@ def combined(s, d, which):
     return good.select("index", "dataset", "speaker_id", "transcript", "duration", "gender", "age", "accent", F.col("audio.sampling_rate").alias("sampling_rate"), F.size("audio.array").alias("length"))
 
 
-COMBINED_SQL = "SELECT doc_id AS idx, text, lang, source, n_chars, embedding FROM documents JOIN embeddings ON vec_id = doc_id"
+COMBINED_SQL = "SELECT doc_id AS idx, text, lang, source, n_chars, embedding FROM documents LEFT JOIN embeddings ON vec_id = doc_id"
 add(
     "to_combined_good",
     lambda s, d: combined(s, d, "good"),
@@ -196,7 +196,7 @@ add(
 
 
 def acoustic_input(s, d):
-    both = samples(s, d).join(waves(s, d).select("idx", "samples"), "idx")
+    both = samples(s, d).join(waves(s, d).select("idx", "samples"), "idx", "left")
     f0 = F.lit(100.0) + F.abs(F.element_at("samples", 1)).cast("double") * 600.0
     return both.select("idx", "transcript", "duration", f0.alias("f0"), rms_energy("samples", 16, 8).alias("energy"))
 
@@ -210,7 +210,7 @@ def sql_rms(column, frame, hop):
 
 
 ACOUSTIC = f""", a AS (SELECT idx, transcript, duration, 100 + abs(CAST(samples[1] AS DOUBLE)) * 600 AS f0,
-   list_avg({sql_rms('samples', 16, 8)}) AS energy FROM samples JOIN (SELECT idx, samples FROM wave) USING (idx)),
+   list_avg({sql_rms('samples', 16, 8)}) AS energy FROM samples LEFT JOIN (SELECT idx, samples FROM wave) USING (idx)),
  b AS (SELECT *, CASE WHEN duration > 0 THEN {sql_words('transcript')} / duration * 60 ELSE 0 END AS wpm FROM a),
  c AS (SELECT *, CASE WHEN f0 > 180 THEN 'high-pitched' WHEN f0 < 120 THEN 'low-pitched' ELSE 'medium-pitched' END AS pitch,
    CASE WHEN energy > 0.1 THEN 'energetic' WHEN energy < 0.05 THEN 'calm' ELSE 'moderate' END AS power,

@@ -261,21 +261,21 @@ add(
     ON_RAW
     + """SELECT idx, 'laions' AS dataset, CASE WHEN source <> 'src1' THEN concat('smp_', idx) ELSE concat('laions_', idx) END AS speaker_id,
     text AS transcript, round(CASE WHEN n_chars > 500 THEN n_chars / 100 ELSE len(embedding) / 24000 END, 6) AS duration,
-    CASE WHEN lang <> 'en' THEN lang ELSE 'unknown' END AS emotion, 24000 AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
+    CASE WHEN lang <> 'en' THEN lang ELSE 'unknown' END AS emotion, CASE WHEN embedding IS NOT NULL THEN 24000 END AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
 )
 add(
     "normalize_animevox",
     animevox,
     ON_RAW
     + """SELECT idx, 'animevox' AS dataset, concat(lang, '_', source) AS speaker_id, text AS transcript, round(len(embedding) / 16000, 6) AS duration,
-    source AS character_name, lang AS anime, 16000 AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
+    source AS character_name, lang AS anime, CASE WHEN embedding IS NOT NULL THEN 16000 END AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
 )
 add(
     "normalize_anispeech",
     anispeech,
     ON_RAW
     + """SELECT idx, 'anispeech' AS dataset, concat('anispeech_', source, '_', idx) AS speaker_id, text AS transcript,
-    round(len(embedding) / 16000, 6) AS duration, source AS voice_class, 16000 AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
+    round(len(embedding) / 16000, 6) AS duration, source AS voice_class, CASE WHEN embedding IS NOT NULL THEN 16000 END AS sampling_rate, CAST(len(embedding) AS INTEGER) AS length FROM raw""",
 )
 
 

@@ -112,6 +112,16 @@ add(
     "classifier_report",
     lambda s, d: rounded(classify.evaluate_classifier(samples(s, d))),
 )
+add(
+    "classifier_test_rows",
+    lambda s, d: classify.evaluate_classifier(samples(s, d), trees=5)
+    .where(~F.col("label").isin("accuracy", "macro avg", "weighted avg") & (F.col("support") > 0))
+    .select("label", "support", F.col("f1").between(0, 1).alias("scored")),
+    on_samples(
+        f"""SELECT label, count(*) AS support, true AS scored FROM (SELECT idx, {TYPE.format(c='voice_description')} AS label FROM samples)
+        WHERE label IS NOT NULL AND CAST('0x' || substr(md5(concat('42:', idx)), 1, 8) AS BIGINT) / 4294967296.0 < 0.2 GROUP BY 1"""
+    ),
+)
 add(
     "classification_report",
     lambda s, d: rounded(classify.classification_report(table(s, d, "labels"), "quality", "toxic")),

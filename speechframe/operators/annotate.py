@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from speechframe.functions.scalars import fmt_decimals, strip, word_count
 from speechframe.functions.tags import accent_of, age_of, gender_of, parse_profile, tag_value
 from speechframe.schemas import DEMOGRAPHICS, UNKNOWN
+from speechframe.session import ship_package
 
 # Band names and the thresholds between them (strict comparisons).
 PITCH_BANDS = ("high-pitched", "medium-pitched", "low-pitched", 180.0, 120.0)
@@ -43,6 +44,7 @@ def annotate(df: DataFrame, make_annotator: Callable[[], Callable], audio: str =
             rows = zip(sounds["array"], sounds["sampling_rate"], prompts)
             yield pd.Series([describe(s, None if pd.isna(r) else int(r), p) for s, r, p in rows], index=prompts.index, dtype=object)
 
+    ship_package(df.sparkSession)
     described = F.pandas_udf(run, T.StringType())
     sound = F.struct(F.col(audio)["array"].alias("array"), F.col(audio)["sampling_rate"].alias("sampling_rate"))
     return df.withColumn(out, described(sound, F.col(prompt)))

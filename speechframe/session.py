@@ -1,7 +1,9 @@
 """Session set-up and the shared folder that intermediate results are cut at."""
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,26 @@ def local_session(cpus="8", app="speechframe", shuffle_partitions="8"):
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once for each Spark context, so that Python functions can import it there.
+
+    Spark's own file server hands the archive out; nothing need be installed on the workers.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_has_speechframe", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="speechframe-"), "speechframe.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._has_speechframe = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it in ``spark.checkpoint.dir``.
 

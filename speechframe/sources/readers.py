@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from speechframe.schemas import AUDIO, RECORD
+from speechframe.session import ship_package
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -88,6 +89,7 @@ def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav") -> DataFram
                     errors.append(f"Error: {problem}")
             yield pd.DataFrame({"path": batch["path"], "audio": pd.Series(sounds, index=batch.index, dtype=object), "error": errors})
 
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select("path", "content")
     return files.mapInPandas(decode, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO), T.StructField("error", T.StringType())]))
 

@@ -12,6 +12,7 @@ from speechframe.functions.scalars import fmt_padded, strip
 from speechframe.operators.filters import DESCRIPTION_CHARS
 from speechframe.operators.ordinal import with_ordinal
 from speechframe.operators.records import TRAINING_FORMATS
+from speechframe.session import ship_package
 
 # Rows of a table that carries audio are large: keep its files to this many.
 AUDIO_ROWS_PER_FILE = 10_000
@@ -107,6 +108,7 @@ def write_wav(df: DataFrame, folder: str, file_name: Column | None = None, key:
 
     name = wav_name() if file_name is None else file_name
     rows = df.select(F.col(key).alias("idx"), name.alias("name"), "audio.array", "audio.sampling_rate")
+    ship_package(df.sparkSession)
     return rows.mapInPandas(save, "idx long, path string, error string")
 
 
