@@ -36,6 +36,8 @@ def annotate(df: DataFrame, make_annotator: Callable[[], Callable], audio: str =
 
         def describe(samples, rate, text):
             try:
+                if samples is None:
+                    raise ValueError("no audio")
                 return annotator(samples, rate, text).strip()
             except Exception as error:
                 return f"Error: {error}"

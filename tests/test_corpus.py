@@ -295,3 +295,77 @@ def test_export_training_formats(spark):
             assert [c["from"] for c in line["conversations"]] == ["human", "assistant"] and "duration" not in line["metadata"]
     with pytest.raises(ValueError):
         sinks.export_training(df, workspace(spark, "x"), "poem")
+
+
+# --- combination, recovery and packaging beyond the well-formed case ------------------------------
+
+
+def source_rows(spark, items):
+    """(key, label) rows of one source, all with audio."""
+    base = spark.createDataFrame(items, "idx long, dataset string")
+    audio = F.struct(F.array(F.lit(0.5).cast("float")).alias("array"), F.lit(16).alias("sampling_rate"))
+    return base.withColumns({"audio": audio, "speaker_id": F.lit("s"), "transcript": F.lit("t"), "duration": F.lit("1.0"), "voice_description": F.lit("v" * 70)})
+
+
+def test_combine_ranks_by_source_and_keeps_every_row(spark):
+    laions = source_rows(spark, [(1, "LAIONS"), (1, None), (None, "laions"), (1, "LAIONS")])
+    animevox = source_rows(spark, [(7, "laions"), (2, "x")])
+    got = sorted(rows(corpus.combine({"laions": laions, "animevox": animevox}), "index", "dataset"))
+    assert [i for i, _ in got] == list(range(6))
+    assert [d for _, d in got[:2]] == ["x", "laions"]
+    assert sorted(str(d) for _, d in got[2:]) == ["LAIONS", "LAIONS", "None", "laions"]
+
+
+def test_combine_returns_what_it_rejects(spark):
+    bad = source_rows(spark, [(3, "laions")]).withColumn("duration", F.lit("long"))
+    good, rejected = corpus.combine_checked({"laions": source_rows(spark, [(1, "laions")]).unionByName(bad)})
+    assert rows(good, "index") == [(0,)] and rows(rejected, "idx", "duration") == [(3, "long")]
+
+
+def test_recovery_reads_the_sources_own_shape(spark, lost):
+    records_, files, originals = lost
+    nested = originals.select("ordinal", F.struct("text").alias("json"), "wav")
+    as_text = originals.select("ordinal", F.to_json(F.struct("text")).alias("json"), "wav")
+    for shape in (nested, as_text):
+        got = joins.recover_audio(joins.without_file(records_, files), shape, "laions")
+        assert {r.idx: r.recovered_audio and list(r.recovered_audio.array) for r in got.collect()} == {2: [5.0], 3: None, 5: [5.0]}
+
+
+def test_status_without_audio_agrees_with_recovery(lost):
+    records_, files, originals = lost
+    narrow = {r.idx: (r.status, r.usable) for r in corpus.source_status(records_, files, originals, "laions").collect()}
+    whole = corpus.recover_source(records_, files, originals, "laions", audio="wav")
+    assert narrow == {r.idx: (r.status, bool(r.audio and r.audio.array)) for r in whole.collect()}
+    none = {r.status for r in corpus.source_status(records_, files, None, "laions").collect()}
+    assert none == {"present", "missing"}
+
+
+def test_wav_of_24_bits_and_the_reason_of_a_failure(spark, tmp_path):
+    _write_wav(tmp_path / "w3.wav", 3, 1, (1 << 22).to_bytes(3, "little") + (-(1 << 23)).to_bytes(3, "little", signed=True))
+    (tmp_path / "bad.wav").write_bytes(b"nothing")
+    got = {os.path.basename(r.path): r for r in readers.scan_wav(spark, str(tmp_path)).collect()}
+    assert list(got["w3.wav"].audio.array) == [0.5, -1.0] and got["w3.wav"].error is None
+    assert got["bad.wav"].audio is None and got["bad.wav"].error.startswith("Error: ")
+
+
+def test_write_wav_replaces_an_older_file(spark):
+    folder = workspace(spark, "replaced")
+    for level in (0.5, -0.25):
+        df = spark.createDataFrame([(1, "d", "s", ([level], 16))], f"idx long, dataset string, speaker_id string, audio {AUDIO}")
+        assert [r.error for r in sinks.write_wav(df, folder).collect()] == [None]
+    assert [list(r.audio.array) for r in readers.scan_wav(spark, folder).collect()] == [[-0.25]]
+
+
+def test_positions_are_numbered_over_keys(spark):
+    df = spark.createDataFrame([(i, "a" if i % 2 else "b", "t", 1.0, "v") for i in range(10)], "index long, split string, transcript string, duration double, voice_description string")
+    got = sorted(rows(records.split_projection(df), "split", "speaker_id"))
+    assert got == [("a", i) for i in range(5)] + [("b", i) for i in range(5)]
+
+
+def test_package_is_shipped_once(spark):
+    from speechframe.session import ship_package
+
+    ship_package(spark)
+    before = len(spark.sparkContext._python_includes)
+    ship_package(spark)
+    assert "speechframe.zip" in spark.sparkContext._python_includes and len(spark.sparkContext._python_includes) == before

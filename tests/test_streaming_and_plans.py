@@ -152,3 +152,33 @@ def test_approximate_counts_are_close(spark, sf):
     exact, approx = stats.basic_stats(samples(spark, sf)).collect()[0], stats.basic_stats(samples(spark, sf), approx=True).collect()[0]
     assert abs(exact.unique_speakers - approx.unique_speakers) <= 0.1 * exact.unique_speakers
     assert quality.unknown_counts(samples(spark, sf)).count() == 1
+
+
+def test_dedup_with_an_event_time_drops_old_keys(spark, folder):
+    place = workspace(spark, "dedup")
+    timed = feed(spark, folder).select((F.col("id") % 3).alias("k"), F.timestamp_seconds("id").alias("at"))
+    unique = streams.dedup(timed, ["k"], "at", "1 hour")
+    streams.ingest(unique, f"{place}/sink", f"{place}/ck").awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(f"{place}/sink").collect()) == [0, 1, 2]
+
+
+def test_search_reads_only_the_terms_asked_for(spark, sf):
+    from speechframe.operators import text_search
+
+    df = samples(spark, sf)
+    path = text_search.search_index(df, workspace(spark, "index"))
+    text = plan(text_search.search(df, path, "warm clear voice", 3))
+    assert "In(term" in text or "IN (" in text
+    assert not any("LeftOuter" in line and "term" in line for line in text.split("\n"))
+
+
+def test_missing_columns_count_as_unknown(spark):
+    rows = spark.createDataFrame([("abc",), (None,)], "voice_description string")
+    got = {(r.section, r.key): r.value for r in stats.description_stats(rows).collect()}
+    assert got["distribution_gender", "unknown"] == 2 and got["distribution_accent", "unknown"] == 2
+
+
+def test_crosstab_lists_what_occurs(spark):
+    df = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), (None, "q")], "a string, b string")
+    assert sorted(map(tuple, stats.crosstab(df, "a", "b").collect())) == [("x", "p", 2), ("y", "q", 1)]
+    assert sorted(map(tuple, stats.crosstab(df, "a", "b", ["p", "q"]).collect())) == [("x", "p", 2), ("x", "q", 0), ("y", "p", 0), ("y", "q", 1)]
