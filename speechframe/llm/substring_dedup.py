@@ -12,7 +12,8 @@ ambiguous: their stretches make up the text of the shard's suffix array (Larsson
 8 bytes), neighbours with a common prefix (Kasai) of ``LENGTH`` bytes are one window, and the sorted windows of all shards are
 merged by binary search. A shard learns of each window only whether a smaller document elsewhere has it.
 
-Anchors, stretches and windows are told apart by hashes of 64 bits and more.
+Anchors and stretches are told apart by hashes of 46 bits and more, which a part of the exchange adds to (two anchors taken for one
+are merely ambiguous), windows by 96 bits.
 
 A null text counts as empty. Rows that share a doc_id do not count as repeats of each other; each is judged and returned on its
 own. Matches never cross documents. Other columns are not read.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from speechframe.session import materialize, workspace
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 #: Bytes of text for which a shard and a part of the exchange are laid out.
 SHARD_BYTES = 12_000_000
 #: Bytes whose anchors are worked out at a time (a longer text is taken whole).
@@ -124,20 +125,31 @@ def _anchors_of(texts, first, stop):
     return of + first, turn - begin, last - begin, key, stretch
 
 
+def _order(values: np.ndarray, width: int) -> np.ndarray:
+    """Places of ``values`` (whole numbers below 2**width) in ascending order, the first of equals first."""
+    bits = max(1, (len(values) - 1).bit_length())
+    if width + bits > 64:
+        return np.argsort(values, kind="stable")
+    # value and place in one number: sorting numbers is several times faster than sorting places
+    packed = (values.astype(np.uint64) << _U(bits)) | np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    return (packed & ((_U(1) << _U(bits)) - _U(1))).astype(np.int64)
+
+
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Suffixes of ``data`` in their order.
 
     Larsson-Sadakane: groups of equal prefixes are refined by the ranks ``h`` bytes on, ``h`` doubles, and groups of one are left alone.
     """
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    n, h = len(data), 5
+    padded = np.concatenate([data, np.zeros(h, dtype=np.uint8)])
     first = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
+    for k in range(h):
         first = (first << _U(8)) | padded[k : k + n]
-    order = np.argsort(first, kind="stable")
+    order = _order(first, 8 * h)
     fresh = np.concatenate([[True], first[order][1:] != first[order][:-1]]) if n else np.empty(0, dtype=bool)
-    h = 8
     rank = np.zeros(2 * n + 8, dtype=np.int64)  # beyond the end lies what is smaller than anything
+    bits = max(1, n.bit_length())
     while True:
         starts = np.flatnonzero(fresh)
         group = np.cumsum(fresh) - 1
@@ -147,9 +159,10 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         if not len(open_):
             return order
         suffixes = order[open_]
-        by = np.lexsort((rank[suffixes + h], group[open_]))
+        beyond = rank[suffixes + h]
+        by = _order((group[open_].astype(np.uint64) << _U(bits)) | beyond.astype(np.uint64), 2 * bits)
         order[open_] = suffixes[by]
-        beyond = rank[order[open_] + h]
+        beyond = beyond[by]
         fresh[open_[1:]] |= beyond[1:] != beyond[:-1]
         h *= 2
 
@@ -188,6 +201,11 @@ def _between(shared: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(np.concatenate([shared, [0]]), np.stack([begins, places + 1], axis=1).ravel())[::2]
 
 
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the exchange that a hash belongs to: ranges of the upper half."""
+    return (((hashes >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
+
+
 class Shard:
     """One shard's texts with their anchors, and what other shards know about them."""
 
@@ -198,8 +216,13 @@ class Shard:
         self.texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in table.column("text").to_pylist()]
         self.parts = parts
         self.text, self.start, self.end, self.key, self.stretch = anchors(self.texts)
-        # keys in the order of part and value; within a key the stretches, within a stretch the documents in order
-        self.order = np.lexsort((self.text, self.stretch, self.key, self.key % _U(parts)))
+        # in the order of keys; within a key of stretches, within a stretch of documents
+        self.order = _order(self.key >> _U(20), 44)
+        top = self.key[self.order] >> _U(20)
+        same = top[1:] == top[:-1]
+        again = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(top) else top
+        among = self.order[again]
+        self.order[again] = among[np.lexsort((self.stretch[among], self.key[among]))]
         key, stretch, doc = self.key[self.order], self.stretch[self.order], self.ids[self.text[self.order]]
         self.new_key = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=bool)
         self.new_class = self.new_key | np.concatenate([[True], stretch[1:] != stretch[:-1]]) if len(key) else self.new_key
@@ -209,7 +232,13 @@ class Shard:
         self.stretches = np.where(several, _U(0), stretch[self.at]) if len(key) else np.empty(0, dtype=np.uint64)
         self.smallest = np.minimum.reduceat(doc, self.at) if len(key) else np.empty(0, dtype=np.int64)
         self.largest = np.maximum.reduceat(doc, self.at) if len(key) else np.empty(0, dtype=np.int64)
-        self.part = (self.keys % _U(parts)).astype(np.int64)
+        self.part = _part(self.keys, parts)
+
+    def sent(self, number: int) -> pa.Table:
+        """What other shards have to know of the keys: 48 bits of each within its part, 46 of its stretch, 0 for several ones, and whether several documents have it."""
+        stretch = np.where(self.stretches == 0, _U(0), (self.stretches & _U(2**47 - 1)) | _U(1 << 46))
+        several = (self.smallest != self.largest).astype(np.uint64)
+        return _sent(number, self.part, [(self.keys & _U(2**48 - 1), 6), ((stretch << _U(1)) | several, 6)], self.smallest)
 
     def ambiguous_windows(self, codes: np.ndarray):
         """The classes of ambiguous anchors, their windows in suffix order and what identifies each distinct one."""
@@ -232,12 +261,13 @@ class Shard:
             fresh[1:] = low[1:] < LENGTH
         group = np.cumsum(fresh) - 1
         first = at[fresh]
-        smallest = np.full(len(first), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, group, doc[at])
-        identity = _mixed(Hashes(data).of(first, LENGTH)) if len(first) else np.empty(0, dtype=np.uint64)
-        check = np.zeros(len(first), dtype=np.uint32)
-        for k in range(0, 16, 4):
-            check = check * np.uint32(2654435761) + data[first + k].astype(np.uint32) * np.uint32(65599) + data[first + 49 - k]
+        smallest = np.minimum.reduceat(doc[at], np.flatnonzero(fresh)) if len(first) else doc[:0]
+        identity = check = np.empty(0, dtype=np.uint64)
+        if len(first):
+            hashes = Hashes(data)
+            identity = _mixed(hashes.of(first, LENGTH))
+            halves = [_mixed(hashes.of(first + k, LENGTH // 2)) for k in (0, LENGTH // 2)]
+            check = (halves[0] * _BASE + halves[1]) >> _U(32)
         return heads, begins, ends, at, group, smallest, identity, check, doc
 
 
@@ -246,6 +276,17 @@ REPLIED = "shard int, part int, step int, codes binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """The lower ``width`` bytes of whole numbers."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _wide(content: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(content) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(content, dtype=np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Whole numbers as byte planes: those that are all zero shrink to nothing."""
     return zlib.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
@@ -256,22 +297,22 @@ def _from_planes(content: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
-def _sent(shard: int, part: np.ndarray, columns: list[np.ndarray], smallest: np.ndarray) -> pa.Table:
-    """One row for each part, of the rows that belong to it (``part`` is ascending)."""
+def _sent(shard: int, part: np.ndarray, columns: list[tuple[np.ndarray, int]], smallest: np.ndarray) -> pa.Table:
+    """One row for each part, of the rows that belong to it (``part`` is ascending); columns come with their width in bytes."""
     names, starts = np.unique(part, return_index=True)
     rows = []
-    for name, a, b in zip(names.tolist(), starts, [*starts[1:], len(part)]):
-        rows.append(pickle.dumps(([c[a:b].tobytes() for c in columns], _planes(smallest[a:b]))))
+    for a, b in zip(starts, [*starts[1:], len(part)]):
+        rows.append(pickle.dumps(([_narrow(c[a:b], w) for c, w in columns], _planes(smallest[a:b]))))
     return pa.table({"part": pa.array(names, pa.int32()), "shard": pa.array([shard] * len(names), pa.int32()), "content": pa.array(rows, pa.binary())})
 
 
-def _received(table: pa.Table, kinds: list):
+def _received(table: pa.Table, widths: list[int]):
     """The rows that shards have sent to a part, and (shard, from, to) of each shard's."""
-    columns, smallest, whose, at = [[] for _ in kinds], [], [], 0
+    columns, smallest, whose, at = [[] for _ in widths], [], [], 0
     for shard, content in zip(table.column("shard").to_pylist(), table.column("content").to_pylist()):
         own, planes = pickle.loads(content)
-        for column, data, kind in zip(columns, own, kinds):
-            column.append(np.frombuffer(data, dtype=kind))
+        for column, data, width in zip(columns, own, widths):
+            column.append(_wide(data, width))
         smallest.append(_from_planes(planes))
         whose.append((shard, at, at + len(smallest[-1])))
         at += len(smallest[-1])
@@ -297,8 +338,9 @@ def _codes(replies: pa.Table, step: int) -> np.ndarray:
 
 def _compare_anchors(table: pa.Table) -> pa.Table:
     """0: what the shard knows itself is all there is; 1: a smaller document elsewhere has the same stretch; 2: ambiguous."""
-    (key, stretch, several), smallest, whose = _received(table, [np.uint64, np.uint64, np.uint8])
-    order = np.argsort(key, kind="stable")
+    (key, stretch), smallest, whose = _received(table, [6, 6])
+    several, stretch = stretch & _U(1), stretch >> _U(1)
+    order = _order(key, 48)
     starts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
     group = np.repeat(np.arange(len(starts)), sizes)
@@ -314,24 +356,26 @@ def _compare_anchors(table: pa.Table) -> pa.Table:
 
 def _merge_windows(table: pa.Table) -> pa.Table:
     """1 for each window of a shard that a document elsewhere, smaller than all of the shard's, has too."""
-    (identity, check), smallest, whose = _received(table, [np.uint64, np.uint32])
-    merged = identity ^ (check.astype(np.uint64) << _U(32))  # one order for both
-    order = np.lexsort((identity, merged))
-    m, x, doc = merged[order], identity[order], smallest[order]
+    (identity, check), smallest, whose = _received(table, [8, 4])
+    order = np.lexsort((check, identity))
+    m, x, doc = identity[order], check[order], smallest[order]
     starts = np.flatnonzero(np.concatenate([[True], (m[1:] != m[:-1]) | (x[1:] != x[:-1])]))
-    low = np.minimum.reduceat(doc, starts)
+    low, m, x = np.minimum.reduceat(doc, starts), m[starts], x[starts]
     # each shard's run finds its windows among the merged ones by binary search
-    heads = np.empty(len(starts), dtype=[("m", np.uint64), ("x", np.uint64)])
-    heads["m"], heads["x"] = m[starts], x[starts]
-    codes = np.empty(len(merged), dtype=np.uint8)
+    codes = np.empty(len(identity), dtype=np.uint8)
     for _, a, b in whose:
-        at = np.searchsorted(heads["m"], merged[a:b])
-        while len(step := np.flatnonzero(heads["x"][at] != identity[a:b])):
+        at = np.searchsorted(m, identity[a:b])
+        while len(step := np.flatnonzero(x[at] != check[a:b])):
             at[step] += 1
         codes[a:b] = low[at] < smallest[a:b]
     return _replies(table.column("part")[0].as_py(), 2, codes, whose)
 
 
+def sending_order(identity: np.ndarray) -> np.ndarray:
+    """Windows are sent in the order of their hashes, so that parts are ranges of it."""
+    return np.argsort(identity, kind="stable")
+
+
 def _removed(shard: Shard, codes: np.ndarray, windows, answers: np.ndarray) -> np.ndarray:
     """For each run of the shard (in its order) and each of its windows: whether it is repeated, as a list of (text, from, to)."""
     sizes = np.diff(np.concatenate([shard.at, [len(shard.order)]]))
@@ -418,24 +462,21 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     def send_anchors(table: pa.Table) -> pa.Table:
         own = Shard(table, parts)
-        return _sent(number(table), own.part, [own.keys, own.stretches, (own.smallest != own.largest).astype(np.uint8)], own.smallest)
+        return own.sent(number(table))
 
     def send_windows(table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Shard(table, parts)
         windows = own.ambiguous_windows(_codes(replies, 1))
         smallest, identity, check = windows[5:8]
-        part = (identity % _U(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        return _sent(number(table), part[order], [identity[order], check[order]], smallest[order])
+        order = sending_order(identity)
+        return _sent(number(table), _part(identity[order], parts), [(identity[order], 8), (check[order], 4)], smallest[order])
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Shard(table, parts)
         codes, answers = _codes(replies, 1), _codes(replies, 2)
         windows = own.ambiguous_windows(codes)
-        # answers come in the order of sending, by part
-        order = np.argsort((windows[6] % _U(parts)).astype(np.int64), kind="stable")
         placed = np.empty(len(answers), dtype=np.uint8)
-        placed[order] = answers
+        placed[sending_order(windows[6])] = answers
         return _cut(own, _removed(own, codes, windows, placed))
 
     first = materialize(shards.groupBy("shard").applyInArrow(send_anchors, EXCHANGED).groupBy("part").applyInArrow(_compare_anchors, REPLIED), "anchor_replies")
