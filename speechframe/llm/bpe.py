@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from speechframe.llm.common import per_text, sha256_hex
 
 #: Distinct words kept by a task; beyond it the table is begun anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 
 SCHEMA = T.StructType(
     [

@@ -25,9 +25,10 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def per_text(fn, schema, id_col="doc_id", text_col="text"):
+def per_text(fn, schema, begin=None, id_col="doc_id", text_col="text"):
     """A ``mapInArrow`` function that calls ``fn(ids, texts)`` on lists and yields the dict of columns that it returns.
 
+    With ``begin``, what it returns at the start of a task is handed over third, and goes with the task.
     A null text is handed over as an empty one. Columns of ``schema`` that ``fn`` does not return are passed on as they came. Batches are bounded by Spark in rows and in bytes.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -35,9 +36,10 @@ def per_text(fn, schema, id_col="doc_id", text_col="text"):
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        own = [begin()] if begin else []
         for batch in batches:
             ids, texts = batch.column(id_col), batch.column(text_col).to_pylist()
-            out = fn(ids.to_pylist(), [t if t is not None else "" for t in texts])
+            out = fn(ids.to_pylist(), [t if t is not None else "" for t in texts], *own)
             yield pa.RecordBatch.from_pydict({f.name: out[f.name] if f.name in out else batch.column(f.name) for f in arrow}, schema=arrow)
 
     return run

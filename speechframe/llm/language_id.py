@@ -28,7 +28,7 @@ FIT_ROWS = 8_000
 LEAST_COUNT = 2
 LONGEST_GRAM = 5
 #: Words scored with their own vector are remembered by a task up to this many.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 WORDS = re.compile(r"[^\W\d_]+")
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -58,7 +58,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> dict:
     order = F.xxhash64("doc_id")
     chosen = labelled.select(order.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     if chosen is None:
-        return {"langs": [], "words": {}, "grams": {}}
+        return {"langs": [], "first": None, "words": ([], None), "grams": ([], None)}
     sample = labelled.filter(order <= chosen).select("lang", "text")
     counts = sample.mapInArrow(_count_words, COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     by_lang: dict[str, Counter] = defaultdict(Counter)
@@ -75,33 +75,37 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> dict:
                     own[g] += n
 
     def logs(tables, sizes):
-        kept = {k for c in tables.values() for k, n in c.items() if n >= LEAST_COUNT}
-        return {k: [math.log((tables[lang][k] + 0.1) / (sizes(lang, k) + 1)) for lang in langs] for k in kept}
+        kept = sorted({k for c in tables.values() for k, n in c.items() if n >= LEAST_COUNT})
+        return kept, np.array([[math.log((tables[lang][k] + 0.1) / (sizes(lang, k) + 1)) for lang in langs] for k in kept], dtype=np.float32)
 
     by_size = {lang: Counter() for lang in langs}
     for lang, c in pieces.items():
         for g, n in c.items():
             by_size[lang][len(g)] += n
-    first = sorted(langs, key=lambda lang: -totals[lang])
-    return {"langs": langs, "first": first[:1], "words": logs(by_lang, lambda lang, _: totals[lang]), "grams": logs(pieces, lambda lang, g: by_size[lang][len(g)])}
+    first = max(langs, key=lambda lang: (totals[lang], lang))
+    return {"langs": langs, "first": first, "words": logs(by_lang, lambda lang, _: totals[lang]), "grams": logs(pieces, lambda lang, g: by_size[lang][len(g)])}
 
 
 class Scorer:
+    """Scores texts in one task. ``words`` and ``grams`` of the model are a list and the log frequencies of each by language."""
+
     def __init__(self, model):
-        self.model = model  # held, so that its identity stays its own
-        self.langs, self.grams = model["langs"], model["grams"]
-        self.first = self.langs.index(model["first"][0]) if self.langs else 0
-        self.rows = np.array(list(model["words"].values()), dtype=np.float64).reshape(-1, max(1, len(self.langs)))
-        self.fixed = {w: i for i, w in enumerate(model["words"])}
+        self.langs = model["langs"]
+        self.first = self.langs.index(model["first"]) if self.langs else 0
+        names, rows = model["words"]
+        self.fixed = {w: i for i, w in enumerate(names)}
         self.known = dict(self.fixed)
-        self.table = np.zeros((len(self.rows) + KEPT_WORDS + 100_000, max(1, len(self.langs))))
-        self.table[: len(self.rows)] = self.rows
+        self.table = np.zeros((len(names) + KEPT_WORDS + 50_000, max(1, len(self.langs))), dtype=np.float32)
+        if len(names):
+            self.table[: len(names)] = rows
+        names, self.gram_rows = model["grams"]
+        self.grams = {g: i for i, g in enumerate(names)}
 
     def _back_off(self, word: str):
         for size in range(LONGEST_GRAM, 0, -1):
             found = [self.grams[g] for g in grams(word, size) if g in self.grams]
             if found:
-                return np.mean(found, axis=0)
+                return self.gram_rows[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
     def score(self, text: str) -> tuple[str, float]:
@@ -114,7 +118,7 @@ class Scorer:
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.table[len(known)] = self._back_off(w)
             known[w] = len(known)
-        sums = self.table[list(map(known.__getitem__, words))].sum(axis=0)
+        sums = self.table[list(map(known.__getitem__, words))].sum(axis=0, dtype=np.float64)
         if len(known) > len(self.fixed) + KEPT_WORDS:
             self.known = dict(self.fixed)
         best = int(sums.argmax()) if sums.any() else self.first
@@ -123,23 +127,16 @@ class Scorer:
         return self.langs[best], float(share[best] / share.sum())
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def identify(docs: DataFrame, model: dict, extra=()) -> DataFrame:
     """(doc_id, lang_pred, score) of every text, and the columns named in ``extra``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(ids, texts):
-        key = id(shared.value)
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        found = list(map(_scorers[key].score, texts))
+    def run(ids, texts, scorer):
+        found = list(map(scorer.score, texts))
         return {"doc_id": ids, "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
     schema = T.StructType([*SCHEMA, *(docs.schema[c] for c in extra)])
-    return docs.select("doc_id", "text", *(c for c in extra if c != "text")).mapInArrow(per_text(run, schema), schema)
+    return docs.select("doc_id", "text", *(c for c in extra if c != "text")).mapInArrow(per_text(run, schema, lambda: Scorer(shared.value)), schema)
 
 
 def language_id(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:

@@ -289,8 +289,10 @@ def test_texts_without_letters_and_without_labels(docs, nothing):
 
 
 def test_back_off_to_shorter_grams():
-    logs = {"langs": ["a", "b"], "first": ["b"], "words": {"known": [-1.0, -9.0]}, "grams": {"ing": [-9.0, -1.0], "x": [-1.0, -5.0]}}
-    scorer = language_id.Scorer(logs)
+    import numpy as np
+
+    model = {"langs": ["a", "b"], "first": "b", "words": (["known"], np.array([[-1.0, -9.0]])), "grams": (["ing", "x"], np.array([[-9.0, -1.0], [-1.0, -5.0]]))}
+    scorer = language_id.Scorer(model)
     assert [scorer.score(t)[0] for t in ("known", "zing", "x", "qqq", "known zing x", "1 2")] == ["a", "b", "a", "b", "a", "und"]
 
 
@@ -359,6 +361,8 @@ def test_near_copies_match_brute_force(docs, n):
 
 def test_near_copies_that_are_linked_in_a_chain(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 7)  # lists are cut into blocks
+    monkeypatch.setattr(near_dedup, "FEW", 1)  # components are compared in parts
+    monkeypatch.setattr(near_dedup, "MEMBERS", 5)
     rng = random.Random(8)
     words = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
     rows, text = [], list(words)
