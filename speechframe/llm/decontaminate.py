@@ -40,10 +40,10 @@ def words_of(df: DataFrame, *keys) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Postings (term_id, doc_id, tag, pos) of the listed terms (term, term_id), written in term order within each part."""
+    """Postings (term_id, doc_id, tag, pos) of the listed terms (term, term_id), written as a table."""
     tokens = words_of(docs, F.col(doc_id).alias("doc_id"), F.hash("text").alias("tag"))
     postings = tokens.join(small(terms), "term").select("term_id", *DOC, "pos")
-    return materialize(postings.sortWithinPartitions("term_id"), "postings")
+    return materialize(postings, "postings")
 
 
 def _items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
