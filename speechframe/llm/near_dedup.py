@@ -3,14 +3,15 @@
 Every text becomes the set of its word shingles, and the set a MinHash signature of ``COORDINATES`` values. Texts with the same
 set are one class from then on. A class is posted under its coordinate-value pairs, rarest first: two signatures that agree in
 ``MATCHES`` coordinates must meet in the first ``COORDINATES - MATCHES + 1`` of any common order, so the rest is skipped.
-Pairs that meet count their collisions over short forms of the signatures (four bits a coordinate, which can only overstate
+Pairs that meet count their collisions over sketches (two bits of each of ``SKETCHED`` coordinates, which can only overstate
 them), and those above the threshold are confirmed on the full shingle sets.
 
 A list never emits all its pairs. Its members are first compared with its smallest member, then only members of different
-components are compared, so a group of near copies costs about its size. Components are found by alternating large-star and
+components are compared, and with all of a large component at once, so a group of near copies costs about its size. Components are found by alternating large-star and
 small-star steps over written tables.
 
-Two sets of similarity 0.8 agree in fewer than ``MATCHES`` of 64 coordinates with a probability of about 4e-7.
+Two sets of similarity 0.8 agree in fewer than ``MATCHES`` of 64 coordinates with a probability of 8e-8, and their sketches in
+fewer than ``ALIKE`` of 128 with one of 4e-7.
 
 A text without words is linked with nothing and stays; a null text is an empty one. Rows that share a doc_id are one node:
 they are linked whatever their texts. Other columns are not read.
@@ -30,12 +31,16 @@ from speechframe.session import materialize
 
 COORDINATES = 64
 MATCHES = 33
+#: A sketch holds two bits of each of so many coordinates; sketches of a link agree in ``ALIKE`` of them.
+SKETCHED = 128
+ALIKE = 87
 POSTED = COORDINATES - MATCHES + 1
 #: The order of coordinate-value pairs is taken from so many classes; any order gives the same links.
 ORDER_ROWS = 4_096
-KEPT_WORDS = 500_000
+#: Word hashes, and rows already given, that a task remembers.
+KEPT_WORDS = KEPT_ROWS = 200_000
 
-SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()), T.StructField("signature", T.BinaryType())])
+SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()), T.StructField("signature", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
 
@@ -43,7 +48,7 @@ SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shing
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
     """Multipliers and offsets of the coordinates' hash functions, from a fixed seed."""
     rng = np.random.default_rng(20_240_229)
-    draw = lambda: rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
+    draw = lambda: rng.integers(0, 2**63, SKETCHED, dtype=np.uint64)
     return (draw() * np.uint64(2) + np.uint64(1))[:, None], draw()[:, None]
 
 
@@ -78,7 +83,7 @@ class Shingler:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     a, b = _coefficients()
-    low = np.full(COORDINATES, 2**32 - 1, dtype=np.uint32)
+    low = np.full(SKETCHED, 2**32 - 1, dtype=np.uint32)
     for at in range(0, len(shingles), 8192):
         values = (shingles[None, at : at + 8192] * a + b) >> np.uint64(32)
         np.minimum(low, values.min(axis=1).astype(np.uint32), out=low)
@@ -86,33 +91,33 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, signature) of every row; the last two are null without words."""
+    """(doc_id, n_shingles, set_hash, signature, sketch) of every row; the last three are null without words."""
 
-    def run(ids, texts):
-        own = Shingler(words)
+    def run(ids, texts, own):
         sets = list(map(own.shingles, texts))
+        signatures = [signature(s) if len(s) else None for s in sets]
         return {
             "doc_id": ids,
             "n_shingles": list(map(len, sets)),
             "set_hash": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-            "signature": [signature(s).tobytes() if len(s) else None for s in sets],
+            "signature": [None if s is None else s[:COORDINATES].tobytes() for s in signatures],
+            "sketch": [None if s is None else sketch(s) for s in signatures],
         }
 
-    return docs.select("doc_id", "text").mapInArrow(per_text(run, SIGNED), SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(per_text(run, SIGNED, lambda: Shingler(words)), SIGNED)
 
 
-def _sketch(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of each coordinate, as rows of 32 bytes."""
-    bits = (_mixed(signatures.astype(np.uint64)) >> np.uint64(40)).astype(np.uint8) & 15
-    return (bits[:, ::2] << 4) | bits[:, 1::2]
+def sketch(values: np.ndarray) -> bytes:
+    """Two bits of each coordinate."""
+    bits = (_mixed(values.astype(np.uint64)) >> np.uint64(40)).astype(np.uint8) & 3
+    return (bits[::4] | (bits[1::4] << 2) | (bits[2::4] << 4) | (bits[3::4] << 6)).tobytes()
 
 
 def collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Coordinates that agree, for rows of sketches as four 64-bit words; never fewer than those of the signatures."""
+    """Coordinates whose bits agree, for rows of sketches as 64-bit words; never fewer than those that are equal."""
     differ = a ^ b
     differ |= differ >> np.uint64(1)
-    differ |= differ >> np.uint64(2)
-    return COORDINATES - np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(axis=1)
+    return SKETCHED - np.bitwise_count(differ & np.uint64(0x5555555555555555)).sum(axis=1)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -165,8 +170,7 @@ def post(classes: DataFrame) -> DataFrame:
             other = np.arange(len(row)) - np.repeat(np.cumsum(again) - again, again)
             low, high = np.minimum(block, other), np.maximum(block, other)
             key = key ^ (_mixed((low * 1_000_003 + high).astype(np.uint64)) * (blocks > 1).astype(np.uint64))
-            sketches = np.ascontiguousarray(_sketch(signatures))
-            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(sketches), [None, pa.py_buffer(sketches.tobytes())])
+            sketches = batch.column("sketch")
             for i in range(0, len(row), 50_000):
                 part = slice(i, i + 50_000)
                 yield pa.RecordBatch.from_pydict(
@@ -176,11 +180,11 @@ def post(classes: DataFrame) -> DataFrame:
                         "n": n[row[part]],
                         "block": block[part].astype(np.int32),
                         "same": low[part] == high[part],
-                        "sketch": flat.take(pa.array(row[part])).cast(pa.binary()),
+                        "sketch": sketches.take(pa.array(row[part])),
                     }
                 )
 
-    return classes.select("rep", "n_shingles", "signature").mapInArrow(run, POSTING)
+    return classes.select("rep", "n_shingles", "signature", "sketch").mapInArrow(run, POSTING)
 
 
 def _whole_lists(batches, columns):
@@ -207,7 +211,7 @@ def _alike(rows, a, b, share):
     small_, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
     fits = 100 * small_ >= share * large
     a, b = a[fits], b[fits]
-    enough = collisions(rows["sketch"][a], rows["sketch"][b]) >= MATCHES
+    enough = collisions(rows["sketch"][a], rows["sketch"][b]) >= ALIKE
     return a[enough], b[enough]
 
 
@@ -243,37 +247,100 @@ def merge_lists(postings: DataFrame, share: int) -> DataFrame:
     return dealt.mapInArrow(run, LISTS)
 
 
+#: Members of a component that are compared with a class one pair at a time; of larger ones, up to ``MEMBERS`` are compared at once.
+FEW, MEMBERS = 8, 1_000
+ASKED = "a long, b long, comp long, part int"
+
+
 def merge_components(lists: DataFrame, share: int) -> DataFrame:
-    """(a, b) with a > b: members of one list in different components (column ``comp``) that may be linked."""
+    """Members of one list in different components (``comp``, of ``members`` classes) that may be linked.
+
+    A class and a small component give pairs (a, b). With a large component it gives one row (a, comp, part) for all members of
+    the component's part that it may be linked with, so that rows do not grow with the square of a group.
+    """
 
     def run(batches):
-        for rows in _whole_lists(batches, ("key", "rep", "n", "block", "same", "comp", "sketch")):
-            key, n = rows["key"], len(rows["key"])
-            for lag in range(1, n):
+        seen = set()
+        for rows in _whole_lists(batches, ("key", "rep", "n", "block", "same", "comp", "members", "part", "sketch")):
+            key, found = rows["key"], []
+            for lag in range(1, len(key)):
                 i = np.flatnonzero(key[lag:] == key[:-lag])
                 if not len(i):
                     break
                 j = i + lag
                 apart = (rows["comp"][i] != rows["comp"][j]) & (rows["same"][i] | (rows["block"][i] != rows["block"][j]))
-                a, b = _alike(rows, j[apart], i[apart], share)
-                if len(a):
-                    pairs = np.unique(np.sort(np.stack([rows["rep"][a], rows["rep"][b]]), axis=0), axis=1)
-                    yield pa.RecordBatch.from_pydict({"a": pairs[1], "b": pairs[0]})
+                x, y = _alike(rows, j[apart], i[apart], share)
+                if not len(x):
+                    continue
+                # y is in the larger component, of equal ones in that of the smaller number
+                swap = (rows["members"][x] > rows["members"][y]) | ((rows["members"][x] == rows["members"][y]) & (rows["comp"][x] < rows["comp"][y]))
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                large = rows["members"][y] > FEW
+                asked = np.stack([rows["rep"][x], np.where(large, -1, rows["rep"][y]), np.where(large, rows["comp"][y], -1), np.where(large, rows["part"][y], 0)], axis=1)
+                found.append(np.unique(asked, axis=0))
+            if not found:
+                continue
+            new = [r for r in map(tuple, np.unique(np.concatenate(found), axis=0).tolist()) if r not in seen]
+            if len(seen) < KEPT_ROWS:
+                seen.update(new)
+            columns = list(zip(*new)) if new else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "comp", "part"])
 
-    dealt = lists.select("key", "rep", "n", "block", "same", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = lists.select("key", "rep", "n", "block", "same", "comp", "members", "part", "sketch").repartition("key").sortWithinPartitions("key", "rep")
+    return dealt.mapInArrow(run, ASKED).distinct()
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, words: int, share: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have a similarity of ``share`` percent or more. ``pairs`` is a written table."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """Written (doc_id, shingles) of the documents listed in ``ids``."""
 
-    def sets(ids, texts):
-        own = Shingler(words)
+    def sets(ids, texts, own):
         return {"doc_id": ids, "shingles": [own.shingles(t).tobytes() for t in texts]}
 
-    chosen = docs.select("doc_id", "text").join(small(materialize(ids, "ids")), "doc_id", "left_semi")
-    full = materialize(chosen.mapInArrow(per_text(sets, SETS), SETS), "sets")
+    chosen = docs.select("doc_id", "text").join(small(materialize(ids.distinct(), "ids")), "doc_id", "left_semi")
+    return materialize(chosen.mapInArrow(per_text(sets, SETS, lambda: Shingler(words)), SETS), "sets")
+
+
+def confirm_with_components(docs: DataFrame, asked: DataFrame, labels: DataFrame, words: int, share: int) -> DataFrame:
+    """A link (a, b) for each class and component part of ``asked`` (a, comp, part) that has one.
+
+    A part's sets form an inverted list of shingles in the task, in which the classes' shingles are looked up.
+    """
+    members = labels.select("comp", "part", F.col("rep").alias("b")).join(asked.select("comp", "part").distinct(), ["comp", "part"], "left_semi")
+    members = materialize(members, "members")
+    sets = shingle_sets(docs, asked.select(F.col("a").alias("doc_id")).unionByName(members.select(F.col("b").alias("doc_id"))), words)
+    sizes = materialize(asked.groupBy("comp", "part").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("chunks")), "chunks")
+    left = asked.join(sizes, ["comp", "part"]).join(sets.toDF("a", "x"), "a").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int")).select("comp", "part", "chunk", "a", "x")
+    right = members.join(sizes, ["comp", "part"]).join(sets.toDF("b", "y"), "b").select("comp", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "b", "y")
+
+    def compare(asked, members):
+        links = {"a": [], "b": []}
+        if asked.num_rows and members.num_rows:
+            own = [np.frombuffer(y.as_buffer(), dtype=np.uint64) for y in members.column("y")]
+            sizes = np.array(list(map(len, own)))
+            shingles = np.concatenate(own)
+            order = np.argsort(shingles, kind="stable")
+            shingles, owner = shingles[order], np.repeat(np.arange(len(own)), sizes)[order]
+            names = members.column("b").to_pylist()
+            for a, x in zip(asked.column("a").to_pylist(), asked.column("x")):
+                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
+                low, high = np.searchsorted(shingles, x), np.searchsorted(shingles, x, side="right")
+                n = high - low
+                at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+                both = np.bincount(owner[at], minlength=len(own))
+                near = np.flatnonzero(100 * both >= share * (len(x) + sizes - both))
+                if len(near):  # the part's members are linked already: one is enough
+                    links["a"].append(a)
+                    links["b"].append(names[near[0]])
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in links.items()})
+
+    keys = ["comp", "part", "chunk"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
+    return materialize(found.distinct(), "links")
+
+
+def confirm(docs: DataFrame, pairs: DataFrame, words: int, share: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have a similarity of ``share`` percent or more. ``pairs`` is a written table."""
+    full = shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), words)
 
     def compare(batches):
         for batch in batches:
@@ -312,7 +379,7 @@ def near_dedup(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: texts whose sets of ``words``-word shingles are similar by ``share`` percent are linked."""
     signed = materialize(sign(docs, words), "signed")
     classes = materialize(
-        signed.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")),
+        signed.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")),
         "classes",
     )
     lists = materialize(merge_lists(post(classes), share), "lists")
@@ -329,10 +396,16 @@ def near_dedup(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     apart = labelled(labelled(stars, found, "a", "ca"), found, "b", "cb").filter("ca <> cb").select("a", "b")
     links = links.unionByName(confirm(docs, materialize(apart, "pairs"), words, share))
     found = components(links)
-    mixed = labelled(lists, found, "rep", "comp")
+    roots = found.select(F.col("comp").alias("rep"), "comp").distinct()
+    sizes = found.groupBy("comp").agg((F.count("*") + 1).alias("members"))
+    parts = F.ceil(F.col("members") / MEMBERS)
+    labels = found.unionByName(roots).join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+    labels = materialize(labels, "labels")
+    mixed = lists.join(small(labels), "rep", "left").withColumns({"comp": F.coalesce("comp", "rep"), "members": F.coalesce("members", F.lit(1)), "part": F.coalesce("part", F.lit(0))})
     several = mixed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-    rest = merge_components(mixed.join(several, "key", "left_semi"), share)
-    links = links.unionByName(confirm(docs, materialize(rest, "pairs"), words, share))
+    rest = materialize(merge_components(mixed.join(several, "key", "left_semi"), share), "rest")
+    links = links.unionByName(confirm(docs, materialize(rest.filter("comp = -1").select("a", "b"), "pairs"), words, share))
+    links = links.unionByName(confirm_with_components(docs, rest.filter("comp <> -1").select("a", "comp", "part"), labels, words, share))
     found = components(links)
     groups = materialize(labelled(classes.select("set_hash", "size", "rep"), found, "rep", "component_id").drop("rep"), "components")
     rows = signed.select("doc_id", "n_shingles", "set_hash")
