@@ -33,7 +33,7 @@ from speechframe.session import materialize, workspace
 LENGTH = 50
 GRAM = 24
 #: Bytes of text for which a shard and a part of the exchange are laid out.
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 9_000_000
 #: Bytes whose anchors are worked out at a time (a longer text is taken whole).
 PIECE = 1 << 20
 
