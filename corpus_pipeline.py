@@ -22,8 +22,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their site's boilerplate lines; a document of nothing else goes."""
-    cleaned = line_dedup.line_dedup(docs, ratio=LINE_RATIO, least=LINE_LEAST)
+    """Documents without their site's boilerplate lines; a document of nothing else goes.
+
+    Copies count once here, as one of them is to be left for the next stage to keep.
+    """
+    cleaned = line_dedup.line_dedup(docs, ratio=LINE_RATIO, least=LINE_LEAST, copies=False)
     return cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != "")).withColumn("n_chars", F.char_length("text").cast("long")).select(DOCUMENTS)
 
 

@@ -34,6 +34,20 @@ def test_each_stage_takes_what_it_should(spark, tmp_path):
         assert r.n_tokens == len(encoder.encode(text))
 
 
+def test_one_of_a_large_group_of_copies_stays(spark, tmp_path):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(400)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    copied = f"{prose(40)}\n{prose(40)}"
+    texts = [f"Boilerplate of the site\n{prose(60)}" for _ in range(20)] + [f"Boilerplate of the site\n{copied}"] * 8 + [f"{copied}\n"] * 4
+    write(spark, tmp_path, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    cleaned = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, str(tmp_path)).collect()}
+    assert cleaned == {i: t.removeprefix("Boilerplate of the site\n") for i, t in enumerate(texts)}
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [r.doc_id for r in rows if r.doc_id >= 20] == [20] and len(rows) == 21
+
+
 def test_stages_return_the_columns_of_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "byte_bpe"]
