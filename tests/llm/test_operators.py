@@ -321,6 +321,13 @@ def test_site_furniture_goes_by_the_style_tree(spark):
     assert tree["/div.top"].content == 0 and tree["/div.body"].content == pytest.approx(1) and tree["/div.top"].presentation == 0
 
 
+def test_a_body_under_many_titles_stays_in_the_main_part(spark):
+    page = lambda i, tag: f"<div class='top'><p>Welcome</p></div><{tag}><h1>title {i}</h1><p>the same body</p></{tag}>"
+    rows = [(i, "http://copies.org/x", page(i, ("article", "main")[i % 2])) for i in range(24)]
+    found = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"title {i}\nthe same body" for i in range(24)}
+
+
 def test_pages_of_the_given_tables_keep_their_articles(spark, sf):
     import html
 
