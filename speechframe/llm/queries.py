@@ -1,9 +1,9 @@
 """The registered queries of this folder, each over its whole table with production parameters, and their SQL where there is any."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speechframe.llm import bpe, decontaminate, exact_dedup, html_text, language_id, line_dedup, near_dedup, secret_scan, substring_dedup, tokens
+from speechframe.llm import bpe, decontaminate, exact_dedup, fill_middle, html_text, language_id, line_dedup, near_dedup, secret_scan, substring_dedup, tokens
 from speechframe.llm.common import table
 
 COUNTED = "byte_bpe_50k.json"
@@ -55,6 +55,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,6 +74,7 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_line_dedup,
         op10_byte_bpe,
+        op13_fill_in_middle,
     )
 }
 
@@ -78,4 +85,5 @@ g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)""",
     "op5_decontamination": decontaminate.SQL,
     "op9_line_dedup": line_dedup.SQL.format(ratio=LINE_RATIO, least=LINE_LEAST),
+    "op13_fill_in_middle": fill_middle.SQL,
 }
