@@ -5,6 +5,8 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from speechframe.session import ship_package
+
 #: A side is broadcast when it has at most this many narrow rows (ids, words, digests); beyond it the join is shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -21,6 +23,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow``, after the executors have been given this package, which ``fn`` imports there."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
