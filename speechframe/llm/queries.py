@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speechframe.llm import bpe, decontaminate, exact_dedup, fill_middle, html_text, language_id, line_dedup, near_dedup, secret_scan, substring_dedup, tokens, whitening
+from speechframe.llm import bpe, decontaminate, exact_dedup, fill_middle, html_text, language_id, line_dedup, near_dedup, quality, secret_scan, substring_dedup, tokens, whitening
 from speechframe.llm.common import table
 
 COUNTED = "byte_bpe_50k.json"
@@ -55,6 +55,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
@@ -78,6 +82,7 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_line_dedup,
         op10_byte_bpe,
+        op11_quality_classifier,
         op12_embedding_whitening,
         op13_fill_in_middle,
     )
