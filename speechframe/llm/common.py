@@ -29,6 +29,36 @@ def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+class Recent:
+    """A bounded table of what a task has computed. When it is full, the older half goes, but for what is still looked up."""
+
+    def __init__(self, size: int):
+        self.half, self.now, self.before = size // 2, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """Those of ``keys`` that are to be computed and put in ``now``; the others are in ``now`` afterwards."""
+        if len(self.now) > self.half:
+            self.before, self.now = self.now, {}
+        now, before = self.now, self.before
+        new = keys.difference(now)
+        if before:
+            for k in before.keys() & new:
+                now[k] = before[k]
+                new.discard(k)
+        return new
+
+    def get(self, key, make):
+        found = self.now.get(key)
+        if found is None:
+            if len(self.now) > self.half:
+                self.before, self.now = self.now, {}
+            found = self.before.get(key)
+            if found is None:
+                found = make(key)
+            self.now[key] = found
+        return found
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

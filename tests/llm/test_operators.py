@@ -6,13 +6,14 @@ import random
 import re
 import string
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from speechframe.llm import bpe, decontaminate, exact_dedup, html_text, language_id, line_dedup, near_dedup, secret_scan, substring_dedup, tokens
+from speechframe.llm import bpe, common, decontaminate, exact_dedup, html_text, language_id, line_dedup, near_dedup, secret_scan, substring_dedup, tokens
 from speechframe.llm.common import small, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -469,3 +470,34 @@ def test_empty_tables(spark, nothing):
 def test_broadcasts_are_checked(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(small(spark.range(5), 5)) and not hinted(small(spark.range(6), 5))
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, " " * 1_000_000, "é" * 300_000, "a  b\n" * 100_000])
+def test_very_long_words_and_blanks(library, text):
+    own = tokens.counter(tokens._content(COUNTED), public_tokenizers.PATTERN)
+    assert own.prefix_counts(text)[-1] == len(library.encode(text, add_special_tokens=False).ids)
+    encoder = bpe.encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    ids = encoder.encode(text)
+    assert encoder.decode(ids).decode() == text
+
+
+def test_batches_of_words_are_folded_like_single_ones():
+    rng = random.Random(8)
+    encoder, own = bpe.encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN), tokens.counter(tokens._content(COUNTED), public_tokenizers.PATTERN)
+    words = [" " + "".join(rng.choices("etaoinshrdé日", k=rng.randint(1, 14))) for _ in range(2_000)]
+    ids, sizes = encoder.fold([w.encode() for w in words])
+    assert [encoder.pieces[i] for i in ids] == [p for w in words for p in bpe.merge(w.encode(), encoder.ranks)] and sizes.sum() == len(ids)
+    counts, chars = own._batch([w.encode() for w in words])
+    assert counts.tolist() == [n for w in words for n in own._dynamic(w)] and chars.tolist() == list(map(len, words))
+    pairs = [(a, b) for a, b in zip(rng.choices(sorted(own.ranks), k=4_000), rng.choices(sorted(own.ranks), k=4_000))]
+    apart = own._all_stay_apart(np.array([own.ranks[a] << 32 | own.ranks[b] for a, b in pairs]))
+    assert apart.tolist() == [own._stay_apart(own.ranks[a] << 32 | own.ranks[b]) for a, b in pairs] == [bpe.merge(a + b, own.ranks) == [a, b] for a, b in pairs]
+
+
+def test_recent_forgets_what_is_not_asked_for():
+    kept = common.Recent(20)
+    for k in range(200):
+        for key in kept.missing({"always", k}):
+            kept.now[key] = 1
+        assert "always" in kept.now and len(kept.now) + len(kept.before) <= 24
+    assert kept.get("new", len) == 3 and kept.get("new", None) == 3
