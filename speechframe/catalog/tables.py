@@ -33,6 +33,13 @@ def records_round_trip(s, d):
     return rounded(readers.read_records(s, path, RECORD, lines=True))
 
 
+def record_arrays(s, d):
+    """Two files of one array each, cut into ranges of 128 kB, most of which begin inside an object or a string."""
+    path = workspace(s, "arrays")
+    sinks.write_record_arrays(records(s, d), path, files=2)
+    return rounded(readers.read_records(s, path, RECORD, range_bytes=128 << 10))
+
+
 def corpus_round_trip(s, d):
     path = workspace(s, "corpus")
     sinks.write_corpus(records(s, d), path)
@@ -101,6 +108,7 @@ def exported_subset(s, d):
 
 
 add("records_round_trip", records_round_trip, on_samples(RECORD_SQL))
+add("record_arrays_in_ranges", record_arrays, on_samples(RECORD_SQL))
 add("corpus_round_trip", corpus_round_trip, on_samples(RECORD_SQL))
 add(
     "validated_corpus",

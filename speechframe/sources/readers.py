@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from speechframe.schemas import AUDIO, RECORD
 from speechframe.session import ship_package
+from speechframe.sources.json_arrays import RANGE_BYTES, read_arrays
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -22,14 +23,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, lines: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, lines: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Record files holding a JSON array each, whatever their suffix; ``lines=True`` for JSON lines.
 
-    No file gives no rows.
+    An array file of more than ``range_bytes`` is read by several tasks. No file gives no rows.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    return spark.read.schema(schema).json(path) if lines else read_arrays(spark, path, schema, range_bytes)
 
 
 def read_corpus(spark: SparkSession, path: str, columns=None) -> DataFrame:

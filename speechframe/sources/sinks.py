@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from speechframe.functions.scalars import fmt_padded, strip
@@ -23,6 +24,24 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_record_arrays(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Records as files that hold one JSON array each, in as many files as there are partitions, or ``files``."""
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            lines = []
+            for value in batch.column("value").to_pylist():
+                lines.append(lead + value)
+                lead = ","
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["]" if lead == "," else "[]"]})
+
+    rows = (df.repartition(files) if files else df).select(F.to_json(F.struct(*df.columns)).alias("value"))
+    ship_package(df.sparkSession)
+    rows.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
+
+
 def write_corpus(df: DataFrame, path: str, measured: bool = False) -> None:
     """Overwrite a table. ``measured`` adds the length of the stripped description, which a scan can filter on."""
     if measured:
