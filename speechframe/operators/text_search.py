@@ -1,13 +1,19 @@
 """Trait and word counts, TF-IDF weights and similarity search over descriptions."""
 
+from functools import reduce
+from operator import or_
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from speechframe.functions.scalars import words
 from speechframe.functions.waveform import bind
+from speechframe.operators.joins import bounded
 from speechframe.operators.ordinal import top_k_per_group
 from speechframe.operators.records import demographics
 from speechframe.operators.stats import top_k
-from speechframe.session import materialize
+from speechframe.session import materialize, ship_package
 
 # Trait words by category, and the flat list.
 TRAITS = {
@@ -191,29 +197,119 @@ def find_similar(df: DataFrame, query: str, k: int = 5, text: str = "voice_descr
     return _ranked(df, _cosine(weights.where(~F.col("_asked")), weights.where("_asked")), key, k)
 
 
-def search_index(df: DataFrame, path: str, text: str = "voice_description", key: str = "idx", max_features: int = 200, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> str:
-    """Fit on the corpus once and write the normalised weights, in the order of their terms, and the vocabulary below ``path``."""
+# Postings in a block of the search index, and folders that its row vectors are dealt out to.
+BLOCK_ROWS = 1_024
+VECTOR_FOLDERS = 16
+# Contributions are compared with this much room, so that rounding leaves no row out.
+ROOM = 1e-9
+
+
+def search_index(df: DataFrame, path: str, text: str = "voice_description", key: str = "idx", max_features: int = 200, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS, block_rows: int = BLOCK_ROWS, folders: int = VECTOR_FOLDERS) -> str:
+    """Fit on the corpus once and write an index below ``path``.
+
+    ``blocks``: the postings of each term by falling weight, up to ``block_rows`` in one row with the largest weight, in the
+    order of terms and weights. ``vectors``: the normalised weights of each row, in ``folders`` folders by the key's hash. ``vocabulary``: term and idf.
+    """
     weights, idf = term_weights(df, text, key, max_features, ngrams, stop)
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("key")))
-    normed = weights.withColumn("weight", F.try_divide(F.col("weight"), norm))
-    normed.repartitionByRange("term", "key").sortWithinPartitions("term", "key").write.mode("overwrite").parquet(f"{path}/weights")
+    vectors = weights.groupBy("key").agg(F.collect_list(F.struct("term", "weight")).alias("v"))  # at most max_features entries
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
+    normed = F.transform("v", lambda x: F.struct(x["term"].alias("term"), F.try_divide(x["weight"], F.col("norm")).alias("weight")))
+    folder = F.pmod(F.xxhash64("key"), F.lit(folders)).cast("int")
+    vectors = vectors.withColumn("norm", norm).select("key", normed.alias("v"), folder.alias("folder"))
+    vectors.repartition("folder").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/vectors")
+    postings = df.sparkSession.read.parquet(f"{path}/vectors").select("key", F.inline("v"))
+    # a frequent term is spread over several ranges of its weights
+    ordered = postings.select("term", "key", "weight").repartitionByRange("term", F.desc("weight"), "key").sortWithinPartitions("term", F.desc("weight"), "key")
+    _in_blocks(ordered, block_rows).write.mode("overwrite").parquet(f"{path}/blocks")
     idf.write.mode("overwrite").parquet(f"{path}/vocabulary")
+    df.sparkSession.range(1).select(F.lit(folders).cast("long").alias("folders")).write.mode("overwrite").parquet(f"{path}/layout")
     return path
 
 
+def _in_blocks(ordered: DataFrame, block_rows: int) -> DataFrame:
+    """Rows (term, top, keys, weights) of up to ``block_rows`` postings, from partitions in the order of terms and falling weights."""
+    key_type = ordered.schema["key"].dataType.simpleString()
+
+    def cut(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            term, n = batch.column("term").dictionary_encode().indices.to_numpy(), batch.num_rows
+            first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+            sizes = np.diff(np.append(first, n))
+            starts = np.concatenate([np.arange(a, a + size, block_rows) for a, size in zip(first, sizes)])
+            offsets = pa.array(np.append(starts, n), pa.int32())
+            at = pa.array(starts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("term").take(at), batch.column("weight").take(at), pa.ListArray.from_arrays(offsets, batch.column("key")), pa.ListArray.from_arrays(offsets, batch.column("weight"))],
+                ["term", "top", "keys", "weights"],
+            )
+
+    ship_package(ordered.sparkSession)
+    return ordered.mapInArrow(cut, f"term string, top double, keys array<{key_type}>, weights array<double>")
+
+
+def _asked(spark, path: str, query: str, ngrams, stop) -> dict[str, float]:
+    """The query's terms that the corpus has, with their normalised weights; at most the vocabulary."""
+    idf = spark.read.parquet(f"{path}/vocabulary")
+    asked = spark.range(1).select(F.lit(query).alias("query"))
+    counted = _counted(asked.select(tokens_of("query", stop).alias("words")), ngrams).withColumnRenamed("total", "tf")
+    own = idf.join(F.broadcast(counted), "term").select("term", (F.col("tf") * F.col("idf")).alias("weight")).collect()
+    length = sum(r.weight * r.weight for r in own) ** 0.5 or 1.0
+    return {r.term: r.weight / length for r in own}
+
+
+def _postings(blocks: DataFrame) -> DataFrame:
+    """(key, part) of every posting in ``blocks``: its share of the similarity."""
+    each = blocks.select("q", F.inline(F.arrays_zip("keys", "weights")))
+    return each.select(F.col("keys").alias("key"), (F.col("q") * F.col("weights")).alias("part"))
+
+
+def blocks_above(spark, path: str, asked: dict[str, float], k: int) -> tuple[DataFrame, float]:
+    """(blocks, least): the blocks that a row among the ``k`` best can be found in, and a bound that its similarity reaches.
+
+    The blocks that promise most give ``k`` rows, the last of which sets the bound. A row that reaches it has a term that
+    contributes the bound divided by the number of terms, or more; blocks whose largest weight is too small for that are skipped.
+    """
+    blocks = spark.read.parquet(f"{path}/blocks")
+    weight = F.create_map(*(F.lit(x) for item in asked.items() for x in item))[F.col("term")]
+
+    def promising(least: float) -> DataFrame:
+        # a plain condition on both columns, which the scan can skip row groups by
+        return blocks.where(reduce(or_, ((F.col("term") == t) & (F.col("top") >= least / q) for t, q in asked.items()))).withColumn("q", weight)
+
+    tops = promising(0.0).select((F.col("q") * F.col("top")).alias("top")).orderBy(F.desc("top")).limit(len(asked) + k)
+    edge = tops.agg(F.min("top")).first()[0]
+    if edge is None:
+        return promising(0.0), 0.0
+    leading = _postings(promising(edge - ROOM)).groupBy("key").agg(F.sum("part").alias("part"))
+    best = leading.select("part").orderBy(F.desc("part")).limit(k).agg(F.count("*").alias("n"), F.min("part").alias("least")).first()
+    least = max(0.0, best["least"] - ROOM) if best["n"] == k else 0.0
+    return promising(least / len(asked) - ROOM), least
+
+
 def search(df: DataFrame, path: str, query: str, k: int = 3, key: str = "idx", ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> DataFrame:
     """The ``k`` rows closest to ``query`` by a written index; terms the corpus does not have are ignored.
 
-    Only the weights of the query's own terms are read.
+    Postings are read from the blocks that matter, and of the rows found so the vectors of those that can still be among the best.
     """
     spark = df.sparkSession
-    weights, idf = spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/vocabulary")
-    asked = spark.range(1).select(F.lit(query).alias("query"))
-    counted = _counted(asked.select(tokens_of("query", stop).alias("words")), ngrams).withColumnRenamed("total", "tf")
-    own = idf.join(F.broadcast(counted), "term").select("term", (F.col("tf") * F.col("idf")).alias("weight")).collect()
-    length = sum(r.weight * r.weight for r in own) ** 0.5 or 1.0
-    listed = spark.createDataFrame([(r.term, r.weight / length) for r in own], "term string, q double")
-    found = weights.where(F.col("term").isin([r.term for r in own])).join(F.broadcast(listed), "term")
+    asked = _asked(spark, path, query, ngrams, stop)
+    none = df.select(F.col(key).alias("key"), F.lit(0.0).alias("similarity")).limit(0)
+    if not asked:
+        return _ranked(df, none, key, k)
+    blocks, least = blocks_above(spark, path, asked, k)
+    share = least / len(asked) - ROOM
+    found = _postings(blocks).where(F.col("part") >= share).groupBy("key").agg(F.sum("part").alias("part"), F.count("*").alias("terms"))
+    # a term that was not found contributes less than the share
+    hopeful = found.where(F.col("part") + (len(asked) - F.col("terms")) * (share + ROOM) >= least - ROOM)
+    folders = spark.read.parquet(f"{path}/layout").scalar()
+    hopeful = materialize(hopeful.select("key", F.pmod(F.xxhash64("key"), folders).cast("int").alias("folder")), "hopeful")
+    vectors = spark.read.parquet(f"{path}/vectors")
+    listed = F.create_map(*(F.lit(x) for item in asked.items() for x in item))
+    score = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.coalesce(listed[x["term"]], F.lit(0.0)) * x["weight"])
     # Sums run in any order: rounding keeps equal texts equal, so that ties fall to the key
-    dots = found.groupBy("key").agg(F.round(F.sum(F.col("weight") * F.col("q")), 12).alias("similarity"))
+    read = [r.folder for r in hopeful.select("folder").distinct().collect()]  # of a fixed number
+    kept = vectors.where(F.col("folder").isin(read)).join(bounded(hopeful), ["folder", "key"], "left_semi")
+    dots = kept.select("key", F.round(score, 12).alias("similarity"))
     return _ranked(df, dots.where("similarity > 0"), key, k)

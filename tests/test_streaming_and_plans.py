@@ -167,9 +167,11 @@ def test_search_reads_only_the_terms_asked_for(spark, sf):
 
     df = samples(spark, sf)
     path = text_search.search_index(df, workspace(spark, "index"))
-    text = plan(text_search.search(df, path, "warm clear voice", 3))
-    assert "In(term" in text or "IN (" in text
-    assert not any("LeftOuter" in line and "term" in line for line in text.split("\n"))
+    asked = text_search._asked(spark, path, "warm clear voice", (1, 1), text_search.ENGLISH_STOP_WORDS)
+    text = plan(text_search.blocks_above(spark, path, asked, 3)[0])
+    # the conditions on terms and on largest weights reach the scan
+    assert "PushedFilters" in text and "EqualTo(term" in text and "GreaterThanOrEqual(top" in text
+    assert not any("LeftOuter" in line and "term" in line for line in plan(text_search.search(df, path, "warm clear voice", 3)).split("\n"))
 
 
 def test_missing_columns_count_as_unknown(spark):
