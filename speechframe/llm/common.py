@@ -5,7 +5,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speechframe.session import ship_package
+from speechframe.session import materialize, ship_package
 
 #: A side is broadcast when it has at most this many narrow rows (ids, words, digests); beyond it the join is shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -23,6 +23,22 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Rows without a doc_id are numbered from here on, above all ids.
+NO_ID = 1 << 62
+
+
+def with_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row whose doc_id is null; written once if there is such a row."""
+    if not docs.filter(F.col("doc_id").isNull()).limit(1).count():
+        return docs
+    return materialize(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID) + F.monotonically_increasing_id())), "numbered")
+
+
+def without_number(doc_id):
+    """A doc_id as it came: null for the numbers of ``with_ids``."""
+    return F.when(F.col(doc_id) < NO_ID, F.col(doc_id))
+
+
 def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow``, after the executors have been given this package, which ``fn`` imports there."""
     ship_package(df.sparkSession)

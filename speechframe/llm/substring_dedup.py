@@ -15,7 +15,7 @@ merged by binary search. A shard learns of each window only whether a smaller do
 Anchors and stretches are told apart by hashes of 46 bits and more, which a part of the exchange adds to (two anchors taken for one
 are merely ambiguous), windows by 96 bits.
 
-A null text counts as empty. Rows that share a doc_id do not count as repeats of each other; each is judged and returned on its
+A null text counts as empty. A null doc_id counts as greater than any other, and is returned as null. Rows that share a doc_id, or have none, do not count as repeats of each other; each is judged and returned on its
 own. Matches never cross documents. Other columns are not read.
 """
 
@@ -26,14 +26,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
-from speechframe.session import materialize, workspace
+from speechframe.session import materialize, ship_package, workspace
 
 LENGTH = 50
 GRAM = 24
 #: Bytes of text for which a shard and a part of the exchange are laid out.
 SHARD_BYTES = 9_000_000
+#: A null doc_id counts as the greatest one.
+NULL_ID = 2**63 - 1
 #: Bytes whose anchors are worked out at a time (a longer text is taken whole).
 PIECE = 1 << 20
 
@@ -116,7 +119,7 @@ def _anchors_of(texts, first, stop):
     turn = np.flatnonzero(whole & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | ~whole[:-1]]))
     last = np.flatnonzero(whole & np.concatenate([(anchor[1:] != anchor[:-1]) | ~whole[1:], [True]])) + 1
     q = anchor[turn]
-    key = grams[q]
+    key = _mixed(grams[q])  # mixed again: the lowest of many hashes is a low one, and parts are ranges of keys
     length = last - turn + LENGTH - 1
     stretch = _mixed(hashes.of(turn, length) ^ _mixed((length * 64 + (q - turn)).astype(np.uint64)))
     stretch[stretch == 0] = 1
@@ -240,15 +243,20 @@ class Shard:
         several = (self.smallest != self.largest).astype(np.uint64)
         return _sent(number, self.part, [(self.keys & _U(2**48 - 1), 6), ((stretch << _U(1)) | several, 6)], self.smallest)
 
-    def ambiguous_windows(self, codes: np.ndarray):
-        """The classes of ambiguous anchors, their windows in suffix order and what identifies each distinct one."""
+    def ambiguous_classes(self, codes: np.ndarray):
+        """The classes of ambiguous anchors, by their first occurrence, and where the stretch of each begins and ends in their text."""
         code = np.repeat(codes, np.diff(np.concatenate([self.at, [len(self.order)]])))
         heads = np.flatnonzero(self.new_class & (code == 2))  # a class's first occurrence is in its smallest document
         run = self.order[heads]
+        lengths = self.end[run] - self.start[run] + LENGTH - 1
+        ends = np.cumsum(lengths)
+        return heads, ends - lengths, ends
+
+    def windows(self, heads: np.ndarray, begins: np.ndarray, ends: np.ndarray):
+        """The windows of these classes in suffix order, the group of equal ones, and each group's smallest document and identity."""
+        run = self.order[heads]
         pieces = [self.texts[t][a : b + LENGTH - 1] for t, a, b in zip(self.text[run].tolist(), self.start[run].tolist(), self.end[run].tolist())]
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        ends = np.cumsum([len(p) for p in pieces], dtype=np.int64) if pieces else np.empty(0, dtype=np.int64)
-        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
         order = suffix_array(data)
         shared = common_prefixes(data, order, begins, ends)
         windows = np.repeat(ends, ends - begins) - np.arange(len(data)) >= LENGTH
@@ -268,11 +276,48 @@ class Shard:
             identity = _mixed(hashes.of(first, LENGTH))
             halves = [_mixed(hashes.of(first + k, LENGTH // 2)) for k in (0, LENGTH // 2)]
             check = (halves[0] * _BASE + halves[1]) >> _U(32)
-        return heads, begins, ends, at, group, smallest, identity, check, doc
+        return at, group, smallest, identity, check, doc
+
+
+class Open:
+    """What a shard keeps of its windows until the answers come: which repeat by the shard's own documents, and where the others stand."""
+
+    def __init__(self, hit: np.ndarray, places: np.ndarray, answer: np.ndarray):
+        self.hit, self.places, self.answer = hit, places, answer
+
+    @classmethod
+    def of(cls, at, group, smallest, doc, order) -> "Open":
+        hit, own = np.zeros(len(doc), dtype=bool), smallest[group] < doc[at]
+        hit[at[own]] = True
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        places, answer = at[~own], rank[group[~own]]
+        by = np.argsort(answer, kind="stable")
+        return cls(hit, places[by], answer[by])
+
+    def packed(self) -> bytes:
+        # every group has a window in its smallest document, so the answers' numbers have no gap
+        fresh = np.diff(self.answer, prepend=-1) > 0
+        return pickle.dumps((len(self.hit), zlib.compress(np.packbits(self.hit).tobytes(), 1), _narrow(self.places, 4), zlib.compress(np.packbits(fresh).tobytes(), 1)))
+
+    @classmethod
+    def unpacked(cls, content: bytes) -> "Open":
+        n, hit, places, fresh = pickle.loads(content)
+        places = _wide(places, 4).astype(np.int64)
+        bits = lambda packed, count: np.unpackbits(np.frombuffer(zlib.decompress(packed), dtype=np.uint8), count=count)
+        return cls(bits(hit, n).astype(bool), places, np.cumsum(bits(fresh, len(places)).astype(np.int64)) - 1)
+
+    def answered(self, answers: np.ndarray) -> np.ndarray:
+        """For each byte of the stretches whether the window that begins there is repeated."""
+        hit = self.hit.copy()
+        hit[self.places[answers[self.answer] == 1]] = True
+        return hit
 
 
 EXCHANGED = "part int, shard int, content binary"
 REPLIED = "shard int, part int, step int, codes binary"
+#: Steps of the replies: to the anchors, to the windows, and what a shard has sent itself.
+TO_ANCHORS, TO_WINDOWS, TO_ITSELF = 1, 2, 3
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -351,11 +396,14 @@ def _compare_anchors(table: pa.Table) -> pa.Table:
     code = np.where(same, (smallest[order] > low).astype(np.uint8), np.where(alone & (several[order] == 0), 0, 2)).astype(np.uint8)
     codes = np.empty(len(key), dtype=np.uint8)
     codes[order] = code
-    return _replies(table.column("part")[0].as_py(), 1, codes, whose)
+    return _replies(table.column("part")[0].as_py(), TO_ANCHORS, codes, whose)
 
 
 def _merge_windows(table: pa.Table) -> pa.Table:
     """1 for each window of a shard that a document elsewhere, smaller than all of the shard's, has too."""
+    part = table.column("part")[0].as_py()
+    if part < 0:
+        return pa.table({"shard": table.column("shard"), "part": table.column("part"), "step": pa.array([TO_ITSELF] * len(table), pa.int32()), "codes": table.column("content")})
     (identity, check), smallest, whose = _received(table, [8, 4])
     order = np.lexsort((check, identity))
     m, x, doc = identity[order], check[order], smallest[order]
@@ -368,7 +416,7 @@ def _merge_windows(table: pa.Table) -> pa.Table:
         while len(step := np.flatnonzero(x[at] != check[a:b])):
             at[step] += 1
         codes[a:b] = low[at] < smallest[a:b]
-    return _replies(table.column("part")[0].as_py(), 2, codes, whose)
+    return _replies(part, TO_WINDOWS, codes, whose)
 
 
 def sending_order(identity: np.ndarray) -> np.ndarray:
@@ -376,8 +424,8 @@ def sending_order(identity: np.ndarray) -> np.ndarray:
     return np.argsort(identity, kind="stable")
 
 
-def _removed(shard: Shard, codes: np.ndarray, windows, answers: np.ndarray) -> np.ndarray:
-    """For each run of the shard (in its order) and each of its windows: whether it is repeated, as a list of (text, from, to)."""
+def _removed(shard: Shard, codes: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Runs of repeated windows as rows (text, from, to); ``hit`` says it of the windows of ambiguous anchors."""
     sizes = np.diff(np.concatenate([shard.at, [len(shard.order)]]))
     code = np.repeat(codes, sizes)
     doc = shard.ids[shard.text[shard.order]]
@@ -386,10 +434,8 @@ def _removed(shard: Shard, codes: np.ndarray, windows, answers: np.ndarray) -> n
     gone = (code == 1) | (doc > smallest)
     whole = shard.order[gone]
     found = [np.stack([shard.text[whole], shard.start[whole], shard.end[whole]], axis=1)]
-    heads, begins, ends, at, group, low, _, _, of = windows
+    heads, begins, ends = shard.ambiguous_classes(codes)
     if len(heads):
-        hit = np.zeros(int(ends[-1]), dtype=bool)
-        hit[at] = (answers[group] == 1) | (low[group] < of[at])
         # a class that stands several times in its smallest document shares the answer
         place = np.full(int(number[-1]) + 1, -1)
         place[number[heads]] = np.arange(len(heads))
@@ -431,31 +477,30 @@ def _cut(shard: Shard, spans: np.ndarray) -> pa.Table:
     )
 
 
-def _bytes_setting(spark, name: str) -> int:
-    text = spark.conf.get(name).lower().rstrip("b")
-    return int(text[:-1]) << {"k": 10, "m": 20, "g": 30}[text[-1]] if text[-1] in "kmg" else int(text)
+def write_shards(docs: DataFrame) -> tuple[str, int]:
+    """The name of a table of the texts, bucketed by the number of their shard, and their bytes in all.
 
-
-def write_shards(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The texts with the number of their shard, as a table bucketed by it, and their bytes in all.
-
-    A shard is a part of one task's rows, so that writing needs no shuffle; the bound on a task's input bounds a shard.
+    A shard is a part of one task's rows, so that writing needs no shuffle. Into how many a task's rows are cut follows from
+    the bytes of text in the fullest task.
     """
     spark = docs.sparkSession
-    pieces = max(1, 3 * _bytes_setting(spark, "spark.sql.files.maxPartitionBytes") // SHARD_BYTES)
+    size = F.sum(F.octet_length("text").cast("long"))
+    tasks = docs.groupBy(F.spark_partition_id().alias("task")).agg(size.alias("bytes")).agg(F.max("bytes").alias("most"), F.sum("bytes").alias("all")).first()
+    pieces = max(1, -(-(tasks["most"] or 0) // SHARD_BYTES))
     shard = F.spark_partition_id() * pieces + F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int")
-    seen = Observation()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).observe(seen, F.sum(F.octet_length("text")).alias("bytes"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"shards_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.withColumn("shard", shard).write.bucketBy(buckets, "shard").option("path", workspace(spark, "shards")).option("compression", "zstd").format("parquet").saveAsTable(name)
-    return spark.table(name), seen.get["bytes"] or 0
+    return name, tasks["all"] or 0
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    shards, size = write_shards(docs)
-    parts = max(4, size // SHARD_BYTES)
+    spark = docs.sparkSession
+    ship_package(spark)
+    name, size = write_shards(docs)
+    shards, parts = spark.table(name), max(4, size // SHARD_BYTES)
 
     def number(table: pa.Table) -> int:
         return table.column("shard")[0].as_py()
@@ -466,20 +511,22 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     def send_windows(table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Shard(table, parts)
-        windows = own.ambiguous_windows(_codes(replies, 1))
-        smallest, identity, check = windows[5:8]
+        at, group, smallest, identity, check, doc = own.windows(*own.ambiguous_classes(_codes(replies, TO_ANCHORS)))
         order = sending_order(identity)
-        return _sent(number(table), _part(identity[order], parts), [(identity[order], 8), (check[order], 4)], smallest[order])
+        sent = _sent(number(table), _part(identity[order], parts), [(identity[order], 8), (check[order], 4)], smallest[order])
+        kept = Open.of(at, group, smallest, doc, order).packed()
+        # to a part of its own, so that it comes back with the answers
+        itself = pa.table({"part": pa.array([-1 - number(table)], pa.int32()), "shard": pa.array([number(table)], pa.int32()), "content": pa.array([kept], pa.binary())})
+        return pa.concat_tables([sent, itself])
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Shard(table, parts)
-        codes, answers = _codes(replies, 1), _codes(replies, 2)
-        windows = own.ambiguous_windows(codes)
-        placed = np.empty(len(answers), dtype=np.uint8)
-        placed[sending_order(windows[6])] = answers
-        return _cut(own, _removed(own, codes, windows, placed))
+        windows = Open.unpacked(replies.filter(pc.equal(replies.column("step"), TO_ITSELF)).column("codes")[0].as_py())
+        return _cut(own, _removed(own, _codes(replies, TO_ANCHORS), windows.answered(_codes(replies, TO_WINDOWS))))
 
     first = materialize(shards.groupBy("shard").applyInArrow(send_anchors, EXCHANGED).groupBy("part").applyInArrow(_compare_anchors, REPLIED), "anchor_replies")
     sent = shards.groupBy("shard").cogroup(first.groupBy("shard")).applyInArrow(send_windows, EXCHANGED)
     second = materialize(sent.groupBy("part").applyInArrow(_merge_windows, REPLIED), "window_replies")
-    return shards.groupBy("shard").cogroup(first.unionByName(second).groupBy("shard")).applyInArrow(finish, RESULT)
+    rows = materialize(shards.groupBy("shard").cogroup(first.unionByName(second).groupBy("shard")).applyInArrow(finish, RESULT), "cut")
+    spark.sql(f"DROP TABLE {name}")
+    return rows.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
