@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from speechframe.llm import bpe, decontaminate, language_id, line_dedup, near_dedup
-from speechframe.llm.common import table
+from speechframe.llm.common import small, table, with_ids, without_number
 from speechframe.llm.queries import DOCUMENTS, LINE_LEAST, LINE_RATIO, RANKS
 from speechframe.session import materialize
 
@@ -31,16 +31,26 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words to a shingle, a similarity of 0.8 or more."""
-    kept = near_dedup.near_dedup(docs, words=5, share=80).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(DOCUMENTS)
+    """One document of each group of near copies: five words to a shingle, a similarity of 0.8 or more.
+
+    Rows that share a doc_id are one document, of which the row with the greatest text stays; rows without an id are each their own.
+    """
+    docs = with_ids(docs)
+    kept = near_dedup.numbered_components(docs, words=5, share=80).filter("kept").select("doc_id")
+    rows = docs.join(kept, "doc_id", "left_semi").select(DOCUMENTS)
+    repeated = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    greatest = rows.join(small(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(*DOCUMENTS[1:])).alias("row"))
+    once = rows.join(small(repeated), "doc_id", "left_anti").unionByName(greatest.select("doc_id", "row.*"))
+    return once.withColumn("doc_id", without_number("doc_id"))
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words stand inside windows of benchmark items."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    docs = with_ids(docs)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     contaminated = found.filter("contaminated").select("doc_id", "tag").distinct()
-    return docs.withColumn("tag", F.hash("text")).join(contaminated, ["doc_id", "tag"], "left_anti").select(DOCUMENTS)
+    clean = docs.withColumn("tag", F.hash("text")).join(contaminated, ["doc_id", "tag"], "left_anti").select(DOCUMENTS)
+    return clean.withColumn("doc_id", without_number("doc_id"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

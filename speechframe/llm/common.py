@@ -2,7 +2,9 @@
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from speechframe.session import materialize, ship_package
@@ -23,6 +25,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes of text that a Python function is given at a time.
+PIECE_BYTES = 4 << 20
 #: Rows without a doc_id are numbered from here on, above all ids.
 NO_ID = 1 << 62
 
@@ -79,11 +83,22 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def pieces(batch: pa.RecordBatch, column: str):
+    """The batch in successive pieces with at most ``PIECE_BYTES`` in ``column`` each, or one row."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(upto):
+        stop = max(at + 1, int(np.searchsorted(upto, PIECE_BYTES + (upto[at - 1] if at else 0), side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def per_text(fn, schema, begin=None, id_col="doc_id", text_col="text"):
     """A ``mapInArrow`` function that calls ``fn(ids, texts)`` on lists and yields the dict of columns that it returns.
 
     With ``begin``, what it returns at the start of a task is handed over third, and goes with the task.
-    A null text is handed over as an empty one. Columns of ``schema`` that ``fn`` does not return are passed on as they came. Batches are bounded by Spark in rows and in bytes.
+    A null text is handed over as an empty one. Columns of ``schema`` that ``fn`` does not return are passed on as they came. Batches
+    are cut into pieces of at most ``PIECE_BYTES`` of text (a longer text comes alone), which bounds what ``fn`` holds at a time.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -91,7 +106,7 @@ def per_text(fn, schema, begin=None, id_col="doc_id", text_col="text"):
 
     def run(batches):
         own = [begin()] if begin else []
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, text_col)):
             ids, texts = batch.column(id_col), batch.column(text_col).to_pylist()
             out = fn(ids.to_pylist(), [t if t is not None else "" for t in texts], *own)
             yield pa.RecordBatch.from_pydict({f.name: out[f.name] if f.name in out else batch.column(f.name) for f in arrow}, schema=arrow)

@@ -9,7 +9,7 @@ places where all terms of a query stand near each other, from the rarest term's
 
 Words are cut as the contract says: A-Z become lower case, every other ASCII character but a digit or a letter separates.
 A null text has no words; an item of no words matches nothing. Rows that share a doc_id are told apart by their text, and
-identical rows give identical results, one for each. A null item_id counts as the empty string; an id that occurs in several
+identical rows give identical results, one for each; a row without a doc_id is judged like any other, its doc_id is null. A null item_id counts as the empty string; an id that occurs in several
 rows of the benchmark counts once. Other columns are not read.
 """
 
@@ -18,7 +18,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from speechframe.llm.common import small
+from speechframe.llm.common import small, with_ids, without_number
 from speechframe.session import materialize
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -115,6 +115,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     A document is contaminated when at least one word in ``share`` stands inside an occurrence of a window.
     """
+    return contamination(with_ids(docs), benchmark, window, share).withColumn("doc_id", without_number("doc_id"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+    """The rows of ``decontaminate`` for documents that all have an id."""
     words, terms = _items(benchmark)
     words = materialize(words.join(small(terms), "term").drop("term"), "item_terms")
     index = build_index(docs, terms)

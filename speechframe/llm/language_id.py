@@ -6,21 +6,21 @@ that are known, from five characters down to one. The sums over a text's words a
 The model is fitted on labelled rows that are not held out: of these, the ``FIT_ROWS`` rows with the smallest hash of their
 id, which is a bounded sample at any size. So the model is bounded too and travels with the scoring tasks; every row is scored.
 
-A text that is null or has no letter is ``und`` with score 0. A text of letters that the model has never seen gets the most
+A text that is null or has no letter is ``und`` with score 0; other signs that can stand in words, like ½ or ², are no letters. A text of letters that the model has never seen gets the most
 frequent language. With no labelled rows at all every text is ``und``. Repeated rows are scored each on their own; only the
 text is read in scoring.
 """
 
 import math
-import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from speechframe.llm.common import per_text
+from speechframe.llm.common import map_batches, per_text
 from speechframe.session import materialize
 
 FIT_ROWS = 8_000
@@ -30,7 +30,8 @@ LONGEST_GRAM = 5
 #: Words scored with their own vector are remembered by a task up to this many.
 KEPT_WORDS = 200_000
 
-WORDS = re.compile(r"[^\W\d_]+")
+#: A letter and what follows of letters and the marks on them.
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 COUNTS = "lang string, word string, n long"
 
@@ -60,7 +61,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> dict:
     if chosen is None:
         return {"langs": [], "first": None, "words": ([], None), "grams": ([], None)}
     sample = labelled.filter(order <= chosen).select("lang", "text")
-    counts = sample.mapInArrow(_count_words, COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = map_batches(sample, _count_words, COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     by_lang: dict[str, Counter] = defaultdict(Counter)
     for lang, word, n in materialize(counts, "words").toLocalIterator():
         by_lang[lang][word] = n
@@ -136,7 +137,7 @@ def identify(docs: DataFrame, model: dict, extra=()) -> DataFrame:
         return {"doc_id": ids, "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
     schema = T.StructType([*SCHEMA, *(docs.schema[c] for c in extra)])
-    return docs.select("doc_id", "text", *(c for c in extra if c != "text")).mapInArrow(per_text(run, schema, lambda: Scorer(shared.value)), schema)
+    return map_batches(docs.select("doc_id", "text", *(c for c in extra if c != "text")), per_text(run, schema, lambda: Scorer(shared.value)), schema)
 
 
 def language_id(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:

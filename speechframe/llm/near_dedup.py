@@ -6,28 +6,31 @@ set are one class from then on. A class is posted under its coordinate-value pai
 Pairs that meet count their collisions over sketches (two bits of each of ``SKETCHED`` coordinates, which can only overstate
 them), and those above the threshold are confirmed on the full shingle sets.
 
-A list never emits all its pairs. Its members are first compared with its smallest member, then only members of different
-components are compared, and with all of a large component at once, so a group of near copies costs about its size. Components are found by alternating large-star and
-small-star steps over written tables.
+A list never emits all its pairs. Its members are first compared with its smallest member. Then a list gives the components that
+may be linked by members of it as a star; components that hang together so form a group, and the members of a group are compared
+with each other inside tasks that give only the links they need. So rows follow the members, whether near copies of a text are
+linked or just miss the threshold. Components are found by alternating large-star and small-star steps over written tables.
 
 Two sets of similarity 0.8 agree in fewer than ``MATCHES`` of 64 coordinates with a probability of 8e-8, and their sketches in
 fewer than ``ALIKE`` of 128 with one of 4e-7.
 
 A text without words is linked with nothing and stays; a null text is an empty one. Rows that share a doc_id are one node:
-they are linked whatever their texts. Other columns are not read.
+they are linked whatever their texts. A row without a doc_id is a node of its own, greater than all ids: its doc_id is null, and so is
+the component_id of a component of such rows alone, the first of which is kept. Other columns are not read.
 """
 
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from speechframe.llm.common import per_text, small
+from speechframe.llm.common import map_batches, per_text, small, with_ids, without_number
 from speechframe.llm.exact_dedup import join_groups
-from speechframe.session import materialize
+from speechframe.session import materialize, ship_package
 
 COORDINATES = 64
 MATCHES = 33
@@ -37,8 +40,8 @@ ALIKE = 87
 POSTED = COORDINATES - MATCHES + 1
 #: The order of coordinate-value pairs is taken from so many classes; any order gives the same links.
 ORDER_ROWS = 4_096
-#: Word hashes, and rows already given, that a task remembers.
-KEPT_WORDS = KEPT_ROWS = 200_000
+#: Word hashes that a task remembers.
+KEPT_WORDS = 200_000
 
 SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()), T.StructField("signature", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.BinaryType())])
@@ -104,7 +107,7 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
             "sketch": [None if s is None else sketch(s) for s in signatures],
         }
 
-    return docs.select("doc_id", "text").mapInArrow(per_text(run, SIGNED, lambda: Shingler(words)), SIGNED)
+    return map_batches(docs.select("doc_id", "text"), per_text(run, SIGNED, lambda: Shingler(words)), SIGNED)
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -130,6 +133,8 @@ def _pairs_of_coordinates(signatures: np.ndarray) -> np.ndarray:
 
 #: Members of a list that one task compares with each other; longer lists are cut into blocks that meet pairwise.
 BLOCK = 20_000
+#: Up to so many sets are compared one by one, more through the inverted list.
+FEW = 8
 POSTING = "key long, rep long, n long, block int, same boolean, sketch binary"
 
 
@@ -184,7 +189,7 @@ def post(classes: DataFrame) -> DataFrame:
                     }
                 )
 
-    return classes.select("rep", "n_shingles", "signature", "sketch").mapInArrow(run, POSTING)
+    return map_batches(classes.select("rep", "n_shingles", "signature", "sketch"), run, POSTING)
 
 
 def _whole_lists(batches, columns):
@@ -244,50 +249,59 @@ def merge_lists(postings: DataFrame, share: int) -> DataFrame:
                 )
 
     dealt = postings.repartition("key").sortWithinPartitions("key", "rep")
-    return dealt.mapInArrow(run, LISTS)
+    return map_batches(dealt, run, LISTS)
 
 
-#: Members of a component that are compared with a class one pair at a time; of larger ones, up to ``MEMBERS`` are compared at once.
-FEW, MEMBERS = 8, 1_000
-ASKED = "a long, b long, comp long, part int"
+#: Members and shingles of a group's part, all of which one task compares with those of another part.
+MEMBERS, SHINGLES = 1_000, 2_000_000
+#: Pairs of rows that are held at a time before they are joined to sets.
+HELD = 1_000_000
+
+
+def _join_up(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels of rows after the pairs x, y are joined: rows that are connected get the smallest label among them."""
+    while True:
+        low = np.minimum(labels[x], labels[y])
+        before = labels.copy()
+        np.minimum.at(labels, labels[x], low)
+        np.minimum.at(labels, labels[y], low)
+        labels = labels[labels]
+        if np.array_equal(labels, before):
+            return labels
 
 
 def merge_components(lists: DataFrame, share: int) -> DataFrame:
-    """Members of one list in different components (``comp``, of ``members`` classes) that may be linked.
+    """Pairs of components (a, b) that lists show members of which may be linked.
 
-    A class and a small component give pairs (a, b). With a large component it gives one row (a, comp, part) for all members of
-    the component's part that it may be linked with, so that rows do not grow with the square of a group.
+    A list gives its components that hang together by such members as a star, so its rows are at most its members.
     """
 
     def run(batches):
-        seen = set()
-        for rows in _whole_lists(batches, ("key", "rep", "n", "block", "same", "comp", "members", "part", "sketch")):
-            key, found = rows["key"], []
+        for rows in _whole_lists(batches, ("key", "rep", "n", "block", "same", "comp", "sketch")):
+            key, comp = rows["key"], rows["comp"]
+            labels, held, size = np.arange(len(key)), [], 0
             for lag in range(1, len(key)):
                 i = np.flatnonzero(key[lag:] == key[:-lag])
                 if not len(i):
                     break
                 j = i + lag
-                apart = (rows["comp"][i] != rows["comp"][j]) & (rows["same"][i] | (rows["block"][i] != rows["block"][j]))
+                apart = (comp[i] != comp[j]) & (rows["same"][i] | (rows["block"][i] != rows["block"][j]))
+                i, j = i[apart], j[apart]
+                apart = labels[i] != labels[j]
                 x, y = _alike(rows, j[apart], i[apart], share)
-                if not len(x):
-                    continue
-                # y is in the larger component, of equal ones in that of the smaller number
-                swap = (rows["members"][x] > rows["members"][y]) | ((rows["members"][x] == rows["members"][y]) & (rows["comp"][x] < rows["comp"][y]))
-                x, y = np.where(swap, y, x), np.where(swap, x, y)
-                large = rows["members"][y] > FEW
-                asked = np.stack([rows["rep"][x], np.where(large, -1, rows["rep"][y]), np.where(large, rows["comp"][y], -1), np.where(large, rows["part"][y], 0)], axis=1)
-                found.append(np.unique(asked, axis=0))
-            if not found:
-                continue
-            new = [r for r in map(tuple, np.unique(np.concatenate(found), axis=0).tolist()) if r not in seen]
-            if len(seen) < KEPT_ROWS:
-                seen.update(new)
-            columns = list(zip(*new)) if new else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "comp", "part"])
+                held.append((x, y))
+                size += len(x)
+                if size > HELD:
+                    labels, held, size = _join_up(labels, *map(np.concatenate, zip(*held))), [], 0
+            if size:
+                labels = _join_up(labels, *map(np.concatenate, zip(*held)))
+            moved = np.flatnonzero(comp != comp[labels])
+            if len(moved):
+                found = np.unique(np.stack([comp[moved], comp[labels[moved]]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
-    dealt = lists.select("key", "rep", "n", "block", "same", "comp", "members", "part", "sketch").repartition("key").sortWithinPartitions("key", "rep")
-    return dealt.mapInArrow(run, ASKED).distinct()
+    dealt = lists.select("key", "rep", "n", "block", "same", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep")
+    return map_batches(dealt, run, "a long, b long").distinct()
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -297,45 +311,62 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         return {"doc_id": ids, "shingles": [own.shingles(t).tobytes() for t in texts]}
 
     chosen = docs.select("doc_id", "text").join(small(materialize(ids.distinct(), "ids")), "doc_id", "left_semi")
-    return materialize(chosen.mapInArrow(per_text(sets, SETS, lambda: Shingler(words)), SETS), "sets")
+    return materialize(map_batches(chosen, per_text(sets, SETS, lambda: Shingler(words)), SETS), "sets")
 
 
-def confirm_with_components(docs: DataFrame, asked: DataFrame, labels: DataFrame, words: int, share: int) -> DataFrame:
-    """A link (a, b) for each class and component part of ``asked`` (a, comp, part) that has one.
+def compare_groups(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, share: int) -> DataFrame:
+    """Links (a, b) that join the components within each group; ``groups`` is (comp, grp), ``classes`` (rep, comp, n_shingles, sketch).
 
-    A part's sets form an inverted list of shingles in the task, in which the classes' shingles are looked up.
+    A group is cut into parts, every two of which meet in one task with their shingle sets, as an inverted list. A task gives only
+    links between what is not yet joined in it, so rows follow the members and not their pairs.
     """
-    members = labels.select("comp", "part", F.col("rep").alias("b")).join(asked.select("comp", "part").distinct(), ["comp", "part"], "left_semi")
-    members = materialize(members, "members")
-    sets = shingle_sets(docs, asked.select(F.col("a").alias("doc_id")).unionByName(members.select(F.col("b").alias("doc_id"))), words)
-    sizes = materialize(asked.groupBy("comp", "part").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("chunks")), "chunks")
-    left = asked.join(sizes, ["comp", "part"]).join(sets.toDF("a", "x"), "a").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int")).select("comp", "part", "chunk", "a", "x")
-    right = members.join(sizes, ["comp", "part"]).join(sets.toDF("b", "y"), "b").select("comp", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "b", "y")
-
-    def compare(asked, members):
-        links = {"a": [], "b": []}
-        if asked.num_rows and members.num_rows:
-            own = [np.frombuffer(y.as_buffer(), dtype=np.uint64) for y in members.column("y")]
-            sizes = np.array(list(map(len, own)))
-            shingles = np.concatenate(own)
-            order = np.argsort(shingles, kind="stable")
-            shingles, owner = shingles[order], np.repeat(np.arange(len(own)), sizes)[order]
-            names = members.column("b").to_pylist()
-            for a, x in zip(asked.column("a").to_pylist(), asked.column("x")):
-                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
-                low, high = np.searchsorted(shingles, x), np.searchsorted(shingles, x, side="right")
-                n = high - low
-                at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
-                both = np.bincount(owner[at], minlength=len(own))
-                near = np.flatnonzero(100 * both >= share * (len(x) + sizes - both))
-                if len(near):  # the part's members are linked already: one is enough
-                    links["a"].append(a)
-                    links["b"].append(names[near[0]])
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in links.items()})
-
-    keys = ["comp", "part", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
-    return materialize(found.distinct(), "links")
+    members = materialize(classes.join(small(groups), "comp"), "members")
+    parts = F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int")
+    sizes = materialize(members.groupBy("grp").agg(parts.alias("parts")), "parts")
+    sets = shingle_sets(docs, members.select(F.col("rep").alias("doc_id")), words)
+    own = members.join(small(sizes), "grp").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.select("grp", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "rep", "comp", "sketch")
+    rows = met.join(sets.toDF("rep", "x"), "rep")
+
+    def compare(key, table):
+        low, high = key[1].as_py(), key[2].as_py()
+        table = table.take(pc.sort_indices(table, [("part", "ascending"), ("rep", "ascending")]))
+        own = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("x")]
+        rep, part, sizes = table.column("rep").to_numpy(), table.column("part").to_numpy(), np.array(list(map(len, own)))
+        root = table.column("comp").to_numpy().copy()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, 4)
+        # the inverted list of those that are looked up in
+        listed = np.flatnonzero(part == high)
+        shingles = np.concatenate([own[k] for k in listed])
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], np.repeat(np.arange(len(listed), dtype=np.int32), sizes[listed])[order]
+        links = []
+        for a in np.flatnonzero(part == low):
+            fits = (root[listed] != root[a]) & (100 * np.minimum(sizes[listed], sizes[a]) >= share * np.maximum(sizes[listed], sizes[a]))
+            if low == high:
+                fits &= listed > a
+            fits[fits] = collisions(sketches[listed[fits]], sketches[a]) >= ALIKE
+            if not fits.any():
+                continue
+            x = own[a]
+            if fits.sum() <= FEW:
+                both = np.zeros(len(listed), dtype=np.int64)
+                for b in np.flatnonzero(fits):
+                    both[b] = len(np.intersect1d(x, own[listed[b]], assume_unique=True))
+            else:
+                first, last = np.searchsorted(shingles, x), np.searchsorted(shingles, x, side="right")
+                n = last - first
+                at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+                both = np.bincount(owner[at], minlength=len(listed))
+            for b in listed[fits & (100 * both >= share * (sizes[a] + sizes[listed] - both))]:
+                if root[a] != root[b]:
+                    links.append((rep[a], rep[b]))
+                    root[root == root[b]] = root[a]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    ship_package(docs.sparkSession)
+    return materialize(rows.groupBy("grp", "low", "high").applyInArrow(compare, "a long, b long"), "links")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, share: int) -> DataFrame:
@@ -353,7 +384,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, share: int) -> DataFr
             yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(mask) for c in ("a", "b")})
 
     sides = pairs.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
-    return materialize(sides.mapInArrow(compare, "a long, b long").distinct(), "links")
+    return materialize(map_batches(sides, compare, "a long, b long").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -377,6 +408,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: texts whose sets of ``words``-word shingles are similar by ``share`` percent are linked."""
+    return numbered_components(with_ids(docs), words, share).withColumns({c: without_number(c) for c in ("doc_id", "component_id")})
+
+
+def numbered_components(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
+    """The rows of ``near_dedup`` for documents that all have an id."""
     signed = materialize(sign(docs, words), "signed")
     classes = materialize(
         signed.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")),
@@ -388,24 +424,17 @@ def near_dedup(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
         labels = small(found.select(F.col("rep").alias(node), F.col("comp").alias(name)))
         return df.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
 
-    stars = materialize(lists.filter("center IS NOT NULL").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct(), "stars")
     # first each class with the smallest center it has; most links are found so
-    links = confirm(docs, materialize(stars.groupBy("a").agg(F.min("b").alias("b")), "pairs"), words, share)
-    found = components(links)
-    # then what lies between components: the other centers, and at last any two members of a list
-    apart = labelled(labelled(stars, found, "a", "ca"), found, "b", "cb").filter("ca <> cb").select("a", "b")
-    links = links.unionByName(confirm(docs, materialize(apart, "pairs"), words, share))
+    stars = lists.filter("center IS NOT NULL").groupBy(F.col("rep").alias("a")).agg(F.min("center").alias("b"))
+    links = confirm(docs, materialize(stars, "pairs"), words, share)
     found = components(links)
-    roots = found.select(F.col("comp").alias("rep"), "comp").distinct()
-    sizes = found.groupBy("comp").agg((F.count("*") + 1).alias("members"))
-    parts = F.ceil(F.col("members") / MEMBERS)
-    labels = found.unionByName(roots).join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-    labels = materialize(labels, "labels")
-    mixed = lists.join(small(labels), "rep", "left").withColumns({"comp": F.coalesce("comp", "rep"), "members": F.coalesce("members", F.lit(1)), "part": F.coalesce("part", F.lit(0))})
+    # then what lists show between components: these hang together as groups, in which all are compared
+    mixed = labelled(lists, found, "rep", "comp")
     several = mixed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-    rest = materialize(merge_components(mixed.join(several, "key", "left_semi"), share), "rest")
-    links = links.unionByName(confirm(docs, materialize(rest.filter("comp = -1").select("a", "b"), "pairs"), words, share))
-    links = links.unionByName(confirm_with_components(docs, rest.filter("comp <> -1").select("a", "comp", "part"), labels, words, share))
+    edges = materialize(merge_components(mixed.join(several, "key", "left_semi"), share), "rest")
+    joined = components(edges).toDF("comp", "grp")
+    groups = materialize(joined.unionByName(joined.select(F.col("grp").alias("comp"), "grp").distinct()), "groups")
+    links = links.unionByName(compare_groups(docs, labelled(classes.select("rep", "n_shingles", "sketch"), found, "rep", "comp"), groups, words, share))
     found = components(links)
     groups = materialize(labelled(classes.select("set_hash", "size", "rep"), found, "rep", "component_id").drop("rep"), "components")
     rows = signed.select("doc_id", "n_shingles", "set_hash")

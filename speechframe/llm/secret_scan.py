@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from speechframe.llm.common import per_text, sha256_hex
+from speechframe.llm.common import map_batches, per_text, sha256_hex
 
 #: Bytes of text that one segment of the index covers at most (a longer text is a segment of its own).
 SEGMENT_BYTES = 4_000_000
@@ -228,7 +228,7 @@ def secret_spans(docs: DataFrame, rules=RULES) -> DataFrame:
         found = _scanner(own).scan(texts)
         return {"doc_id": ids, "spans": [[{"kind": own[n].kind, "start": a, "end": b, "secret": t[a:b]} for a, b, n in spans] for t, spans in zip(texts, found)]}
 
-    return docs.select("doc_id", "text").mapInArrow(per_text(run, schema), schema)
+    return map_batches(docs.select("doc_id", "text"), per_text(run, schema), schema)
 
 
 def secret_scan(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -252,4 +252,4 @@ def secret_scan(docs: DataFrame, rules=RULES) -> DataFrame:
             "n_spans": list(map(len, found)),
         }
 
-    return docs.select("doc_id", "text").mapInArrow(per_text(run, SCHEMA), SCHEMA)
+    return map_batches(docs.select("doc_id", "text"), per_text(run, SCHEMA), SCHEMA)

@@ -298,12 +298,14 @@ class Open:
     def packed(self) -> bytes:
         # every group has a window in its smallest document, so the answers' numbers have no gap
         fresh = np.diff(self.answer, prepend=-1) > 0
-        return pickle.dumps((len(self.hit), zlib.compress(np.packbits(self.hit).tobytes(), 1), _narrow(self.places, 4), zlib.compress(np.packbits(fresh).tobytes(), 1)))
+        width = -(-len(self.hit).bit_length() // 8)
+        # answers are numbered by hashes, so their places do not shrink
+        return pickle.dumps((len(self.hit), zlib.compress(np.packbits(self.hit).tobytes(), 1), width, _narrow(self.places, width), zlib.compress(np.packbits(fresh).tobytes(), 1)))
 
     @classmethod
     def unpacked(cls, content: bytes) -> "Open":
-        n, hit, places, fresh = pickle.loads(content)
-        places = _wide(places, 4).astype(np.int64)
+        n, hit, width, places, fresh = pickle.loads(content)
+        places = _wide(places, width).astype(np.int64)
         bits = lambda packed, count: np.unpackbits(np.frombuffer(zlib.decompress(packed), dtype=np.uint8), count=count)
         return cls(bits(hit, n).astype(bool), places, np.cumsum(bits(fresh, len(places)).astype(np.int64)) - 1)
 

@@ -501,3 +501,79 @@ def test_recent_forgets_what_is_not_asked_for():
             kept.now[key] = 1
         assert "always" in kept.now and len(kept.now) + len(kept.before) <= 24
     assert kept.get("new", len) == 3 and kept.get("new", None) == 3
+
+
+# rows without an id, and delivery
+
+
+def test_rows_without_an_id(spark):
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choices("etaoinshr", k=rng.randint(2, 8))) for _ in range(n))
+    alone, copied = prose(60), prose(60)
+    rows = [(1, prose(60)), (None, alone), (None, copied), (7, copied), (None, PASSAGE), (None, None), (None, PASSAGE + " " + prose(600)), (2**53 + 1, prose(50))]
+    df = spark.createDataFrame([(i, t, *[None] * 13) for i, t in rows], SCHEMA)
+    size = lambda t: len((t or "").encode())
+    cut = {(r.doc_id, r.n_bytes): r.n_removed for r in substring_dedup.substring_dedup(df).collect()}
+    assert cut[None, size(copied)] == size(copied) and cut[7, size(copied)] == 0 and cut[None, size(alone)] == 0 and cut[None, size(PASSAGE)] == 0
+    assert (2**53 + 1, size(rows[-1][1])) in cut and len(cut) == len(rows)
+    groups = near_dedup.near_dedup(df, words=2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in groups if r.doc_id is not None) == [(1, 1, True), (7, 7, True), (2**53 + 1, 2**53 + 1, True)]
+    assert sorted((r.component_id is None, r.component_id, r.kept) for r in groups if r.doc_id is None and r.component_id == 7) == [(False, 7, False)]
+    assert sum(r.doc_id is None and r.component_id is None and r.kept for r in groups) == 4
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    found = decontaminate.decontaminate(df, items).collect()
+    assert sorted(r.contaminated for r in found if r.doc_id is None) == [False] * 4 + [True] and len(found) == len(rows)
+    assert not any(r.contaminated for r in found if r.doc_id is not None)
+
+
+def test_signs_that_are_no_letters(spark):
+    df = spark.createDataFrame([(1, "½ ² ①", "en"), (2, "the quick", "en"), (3, "der schnelle", "de"), (4, "हिन्दी", "hi")] * 3, "doc_id long, text string, lang string")
+    found = {(r.doc_id, r.lang_pred, r.score) for r in language_id.language_id(df).select("doc_id", "lang_pred", "score").collect()}
+    assert (1, "und", 0.0) in found and language_id.WORDS.findall("हिन्दी x²y") == ["हिन्दी", "x", "y"]
+
+
+@pytest.mark.parametrize("size", [100])
+def test_rows_follow_the_members_of_a_group(spark, monkeypatch, size):
+    """Near copies of a text that mostly miss the threshold: what is written grows with their number, not with their pairs."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 9))) for _ in range(3_000)]
+    base = rng.choices(words, k=200)
+
+    def group(n):
+        out = []
+        for _ in range(n):
+            text = list(base)
+            for at in rng.sample(range(200), 9):
+                text[at] = rng.choice(words)
+            out.append(" ".join(text))
+        return out
+
+    def written(n):
+        rows, plain = {}, near_dedup.materialize
+
+        def counting(df, name="stage"):
+            out = plain(df, name)
+            rows[name] = rows.get(name, 0) + out.count()
+            return out
+
+        texts = group(n)
+        monkeypatch.setattr(near_dedup, "materialize", counting)
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        found = {r.doc_id: r.component_id for r in near_dedup.near_dedup(df, words=2).collect()}
+        monkeypatch.setattr(near_dedup, "materialize", plain)
+        assert found == plain_components(texts)
+        return rows
+
+    def plain_components(texts):
+        sets = [set(zip(t.split(), t.split()[1:])) for t in texts]
+        root = list(range(len(texts)))
+        for i in range(len(texts)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                    low, high = sorted((root[i], root[j]))
+                    root = [low if r == high else r for r in root]
+        return dict(enumerate(root))
+
+    few, many = written(size), written(2 * size)
+    assert all(many[name] <= 2.5 * few[name] + 20 for name in ("pairs", "rest", "links", "members", "groups", "ids", "sets", "edges"))

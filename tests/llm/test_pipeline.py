@@ -58,3 +58,16 @@ def test_stages_return_the_columns_of_documents(spark, sf):
 def test_an_empty_corpus(spark, tmp_path):
     write(spark, tmp_path, [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_missing_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(400)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    alone, copied, twice = prose(60), prose(60), prose(60)
+    docs = [(i, prose(60)) for i in range(10)] + [(None, alone), (None, copied), (3_000, copied), (None, PASSAGE), (40, twice), (40, twice), (41, twice)]
+    write(spark, tmp_path, [(i, t, "en", "s", len(t)) for i, t in docs])
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # the copy with an id stays, of the repeated row one; the text without an id that is like no other stays too
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [*range(10), 40, 3_000]
+    assert len([r for r in rows if r.doc_id is None]) == 1
