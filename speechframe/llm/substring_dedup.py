@@ -298,7 +298,7 @@ class Open:
     def packed(self) -> bytes:
         # every group has a window in its smallest document, so the answers' numbers have no gap
         fresh = np.diff(self.answer, prepend=-1) > 0
-        width = -(-len(self.hit).bit_length() // 8)
+        width = max(1, -(-len(self.hit).bit_length() // 8))
         # answers are numbered by hashes, so their places do not shrink
         return pickle.dumps((len(self.hit), zlib.compress(np.packbits(self.hit).tobytes(), 1), width, _narrow(self.places, width), zlib.compress(np.packbits(fresh).tobytes(), 1)))
 
