@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from speechframe.catalog.base import Catalog, on_samples, samples, sql_strip, table, waves, with_views
 from speechframe.operators import joins, sampling, stats
 from speechframe.plans import corpus
+from speechframe.session import workspace
+from speechframe.sources.key_tables import read_key_table, write_key_table
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -68,6 +70,19 @@ add(
     ),
     on_recovery("SELECT idx, CAST(recovered_audio[1] AS DOUBLE) AS first_sample FROM recovered WHERE file_audio IS NULL"),
 )
+def recovered_by_keys(s, d):
+    """The originals' digests are written once; the run that recovers reads them from their buckets."""
+    path = workspace(s, "keys")
+    write_key_table(joins.original_keys(originals(s, d), "laions"), path, ["_key"])
+    missing = joins.without_file(records(s, d), files(s, d))
+    return joins.recover_audio(missing, originals(s, d), "laions", keys=read_key_table(s, path)).select("idx", _first("recovered_audio").alias("first_sample"))
+
+
+add(
+    "recover_audio_by_key_table",
+    recovered_by_keys,
+    on_recovery("SELECT idx, CAST(recovered_audio[1] AS DOUBLE) AS first_sample FROM recovered WHERE file_audio IS NULL"),
+)
 add(
     "recover_audio_by_speaker",
     lambda s, d: joins.recover_audio(joins.without_file(records(s, d), files(s, d)), originals(s, d), "globe_v2").select(
@@ -102,6 +117,15 @@ add(
     ).select("idx", "dataset"),
     on_samples("SELECT idx, dataset FROM samples WHERE idx NOT IN (SELECT doc_id FROM labels)"),
 )
+def resumed_by_keys(s, d):
+    """The keys that are done stand in buckets."""
+    path = workspace(s, "done")
+    done = table(s, d, "labels").join(table(s, d, "documents"), "doc_id").select(F.col("source").alias("dataset"), F.col("doc_id").alias("idx"))
+    write_key_table(done, path, ["dataset", "idx"])
+    return joins.resume(samples(s, d), read_key_table(s, path)).select("idx", "dataset")
+
+
+add("resume_by_key_table", resumed_by_keys, on_samples("SELECT idx, dataset FROM samples WHERE idx NOT IN (SELECT doc_id FROM labels)"))
 add(
     "only_top_speakers",
     lambda s, d: joins.only_speakers(

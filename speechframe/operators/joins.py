@@ -80,27 +80,43 @@ def original_columns(originals: DataFrame, source: str, audio: str = "audio"):
     return found, audio if audio in originals.columns else "wav"
 
 
-def matched_originals(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal") -> DataFrame:
+def _checked_source(source: str) -> str:
+    if source not in RECOVERY_TEXT:
+        raise ValueError(f"unknown source: {source}. Available: {sorted(RECOVERY_TEXT)}")
+    return source
+
+
+def original_keys(originals: DataFrame, source: str, ordinal: str = "ordinal") -> DataFrame:
+    """(_key, ordinal): the digest of each original text, with the first original that has it."""
+    text, _ = original_columns(originals, _checked_source(source))
+    keyed = originals.select(F.col(ordinal).alias("ordinal"), recovery_key(source, text).alias("_key")).where(F.col("_key").isNotNull())
+    return keyed.groupBy("_key").agg(F.min("ordinal").alias("ordinal"))
+
+
+def matched_originals(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", keys: DataFrame | None = None) -> DataFrame:
     """Written (key, ordinal): the first original that agrees with each missing record, null without one; reads no audio.
 
     Only digests and ordinals are shuffled, and both steps are written once because the search for frequent
-    keys reads them too.
+    keys reads them too. ``keys`` are the :func:`original_keys` of an earlier run, written as a key table: they
+    stay where they are, and no original text is read.
     """
-    if source not in RECOVERY_TEXT:
-        raise ValueError(f"unknown source: {source}. Available: {sorted(RECOVERY_TEXT)}")
-    text, _ = original_columns(originals, source)
-    keyed = originals.select(ordinal, recovery_key(source, text).alias("_key")).where(F.col("_key").isNotNull())
-    firsts = keyed.groupBy("_key").agg(F.min(ordinal).alias(ordinal))
-    wanted = materialize(missing.select(key, recovery_key(source, "transcript").alias("_key")), "wanted")
-    return materialize(lookup(wanted, firsts, "_key", key).drop("_key"), "matched")
+    wanted = materialize(missing.select(key, recovery_key(_checked_source(source), "transcript").alias("_key")), "wanted")
+    if keys is None:
+        firsts = original_keys(originals, source, ordinal)
+    else:
+        # each wanted key once, so that a frequent one is not joined row by row here
+        asked = wanted.select("_key").where(F.col("_key").isNotNull()).distinct()
+        firsts = materialize(asked.hint("shuffle_merge").join(keys, "_key"), "found_keys")
+    found = firsts.select("_key", F.col("ordinal").alias(ordinal))
+    return materialize(lookup(wanted, found, "_key", key).drop("_key"), "matched")
 
 
-def recover_audio(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", audio: str = "audio", default_rate: int = 16000):
+def recover_audio(missing: DataFrame, originals: DataFrame, source: str, key: str = "idx", ordinal: str = "ordinal", audio: str = "audio", default_rate: int = 16000, keys: DataFrame | None = None):
     """``recovered_audio`` of every missing record from the first original that agrees with it.
 
-    The audio is fetched last, by ordinal, and only that of originals which are wanted.
+    The audio is fetched last, by ordinal, and only that of originals which are wanted. ``keys`` as for :func:`matched_originals`.
     """
-    matched = matched_originals(missing, originals, source, key, ordinal)
+    matched = matched_originals(missing, originals, source, key, ordinal, keys)
     _, audio = original_columns(originals, source, audio)
     # only originals that are wanted go on with their audio
     asked = materialize(matched.where(F.col(ordinal).isNotNull()).select(ordinal).distinct(), "asked")

@@ -12,8 +12,14 @@ from speechframe.functions.scalars import basename
 from speechframe.functions.waveform import unify_audio
 from speechframe.operators.sampling import decaying_sample, split3
 from speechframe.schemas import SOURCE_ORDER
-from speechframe.session import materialize
+from speechframe.session import materialize, workspace
 from speechframe.sources.adapters import normalize_source
+from speechframe.sources.key_tables import in_buckets
+
+# Rows whose numbers come back together, as a power of two.
+UNIT_BITS = 13
+# Spark's own bound on the buckets of a table.
+MAX_BUCKETS = 100_000
 
 
 def process_source(raw: DataFrame, name: str, make_annotator, max_n=None, seed=0, processed=None, timestamp=None) -> DataFrame:
@@ -79,7 +85,8 @@ def combine_checked(sources: dict[str, DataFrame], key: str = "idx") -> tuple[Da
 
     Rows stand in the fixed order of the sources they come from, whatever their own ``dataset`` says, and by ``key`` within one;
     an absent source is skipped. Every row has a number of its own before it is placed, so null or repeated keys and labels
-    neither lose nor multiply rows. The rows are written once; only ranks, keys and numbers are ordered.
+    neither lose nor multiply rows. The rows are written once, in units of at most 2 ** ``UNIT_BITS``, and read where they were
+    written: what is ordered and joined are ranks, keys and numbers, and the numbers of a unit come back as one list.
     """
     parts = []
     for rank, name in enumerate(SOURCE_ORDER):
@@ -89,10 +96,20 @@ def combine_checked(sources: dict[str, DataFrame], key: str = "idx") -> tuple[Da
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
     good, rejected = to_combined(has_audio(rows).withColumn("index", F.col(key)), extra=["_rank"])
-    good = materialize(good.withColumn("_row", F.monotonically_increasing_id()), "combined")
-    numbered = with_ordinal(good.select("_rank", "index", "_row"), ["_rank", "index", "_row"], name="_index").select("_row", "_index")
-    joined = good.drop("index").join(numbered, "_row")
-    return joined.select(F.col("_index").alias("index"), *[c for c in good.columns if c not in ("index", "_rank", "_row")]), rejected
+    # the lower 33 bits of the generated id count the rows of one task, the others tell the task
+    row = F.monotonically_increasing_id()
+    placed = good.withColumn("_row", row).withColumn("_unit", F.shiftright("_row", UNIT_BITS))
+    spark = good.sparkSession
+    # no fewer tasks read the rows than wrote them
+    buckets = min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), placed.rdd.getNumPartitions()))
+    stored = in_buckets(placed, workspace(spark, "combined"), "_unit", buckets)
+    numbered = with_ordinal(stored.select("_rank", "index", "_unit", "_row"), ["_rank", "index", "_row"], name="_index")
+    entries = F.array_sort(F.collect_list(F.struct("_row", "_index")))  # of one unit
+    lists = numbered.groupBy("_unit").agg(F.transform(entries, lambda e: e["_index"]).alias("_numbers"))
+    place = F.col("_row").bitwiseAND(F.lit((1 << UNIT_BITS) - 1)).cast("int")
+    # the lists are the built side of the join, so the rows are neither moved nor sorted
+    joined = stored.join(lists.hint("shuffle_hash"), "_unit").withColumn("_index", F.col("_numbers")[place])
+    return joined.select(F.col("_index").alias("index"), *[c for c in good.columns if c not in ("index", "_rank")]), rejected
 
 
 def combine(sources: dict[str, DataFrame], key: str = "idx") -> DataFrame:
