@@ -10,7 +10,10 @@ from speechframe.catalog.base import Catalog, on_samples, samples, sql_strip, ta
 from speechframe.operators import joins, sampling, stats
 from speechframe.plans import corpus
 from speechframe.session import workspace
+from speechframe.functions.scalars import basename
 from speechframe.sources.key_tables import read_key_table, write_key_table
+from speechframe.sources.readers import scan_wav
+from speechframe.sources.wav_sink import write_back
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -98,6 +101,23 @@ add(
     lambda s, d: statuses(s, d).select("idx", "dataset", "status", _first("audio").alias("first_sample")),
     on_recovery("SELECT idx, dataset, status, CAST(coalesce(file_audio, recovered_audio)[1] AS DOUBLE) AS first_sample FROM status"),
 )
+def written_back(s, d):
+    """Recovered clips are written under the names that the records give them; the next run finds every one of them in place."""
+    folder = workspace(s, "recovered")
+    write_back(statuses(s, d), folder)
+    added = scan_wav(s, folder, nested=True).select(basename("path").alias("file_name"), "audio")
+    again = corpus.recover_source(records(s, d), files(s, d).unionByName(added), None, "laions")
+    return again.select("idx", "dataset", "status", F.rint(_first("audio") * 32768).cast("long").alias("first_level"))
+
+
+add(
+    "recovered_audio_written_back",
+    written_back,
+    on_recovery(
+        """SELECT idx, dataset, CASE WHEN status = 'missing' THEN 'missing' ELSE 'present' END AS status,
+        CAST(round(round_even(CAST(coalesce(file_audio, recovered_audio)[1] AS DOUBLE) * 32768, 0)) AS BIGINT) AS first_level FROM status"""
+    ),
+)
 add(
     "audio_counters",
     lambda s, d: joins.pipeline_counters(corpus.source_status(records(s, d), files(s, d), originals(s, d), "laions")),

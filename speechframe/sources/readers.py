@@ -1,10 +1,7 @@
 """Record files, corpus tables, WAV files and growing folders."""
 
-import io
-import wave
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -12,6 +9,7 @@ from pyspark.sql import types as T
 from speechframe.schemas import AUDIO, RECORD
 from speechframe.session import ship_package
 from speechframe.sources.json_arrays import RANGE_BYTES, read_arrays
+from speechframe.sources.wav_codec import decode
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -55,34 +53,15 @@ def validate_table(spark: SparkSession, path: str, required=()) -> DataFrame:
     return spark.createDataFrame(checks, "check string, ok boolean")
 
 
-def _decode(content: bytes):
-    """(samples, rate) of PCM WAV bytes of 8, 16, 24 or 32 bits; channels are averaged per frame."""
-    with wave.open(io.BytesIO(content)) as sound:
-        width, rate, channels = sound.getsampwidth(), sound.getframerate(), sound.getnchannels()
-        raw = sound.readframes(sound.getnframes())
-    if width == 1:
-        samples = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128.0) / 128.0
-    elif width == 3:
-        # three bytes become the upper ones of four
-        wide = np.zeros((len(raw) // 3, 4), np.uint8)
-        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
-        samples = wide.view("<i4").ravel().astype(np.float64) / float(1 << 31)
-    else:
-        samples = np.frombuffer(raw, {2: "<i2", 4: "<i4"}[width]).astype(np.float64) / float(1 << (8 * width - 1))
-    if channels > 1:
-        samples = samples.reshape(-1, channels).mean(axis=1)
-    return samples.astype(np.float32), rate
-
-
-def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav") -> DataFrame:
-    """``(path, audio, error)`` of every WAV file in a folder; an unreadable file has null audio, says why and does not fail the scan."""
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav", nested: bool = False) -> DataFrame:
+    """``(path, audio, error)`` of every WAV file in a folder, with ``nested`` also in folders below it; an unreadable file has null audio, says why and does not fail the scan."""
+
+    def decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sounds, errors = [], []
             for content in batch["content"]:
                 try:
-                    samples, rate = _decode(content)
+                    samples, rate = decode(content)
                     sounds.append({"array": samples, "sampling_rate": rate})
                     errors.append(None)
                 except Exception as problem:
@@ -91,8 +70,8 @@ def scan_wav(spark: SparkSession, folder: str, names: str = "*.wav") -> DataFram
             yield pd.DataFrame({"path": batch["path"], "audio": pd.Series(sounds, index=batch.index, dtype=object), "error": errors})
 
     ship_package(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select("path", "content")
-    return files.mapInPandas(decode, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO), T.StructField("error", T.StringType())]))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", nested).load(folder).select("path", "content")
+    return files.mapInPandas(decode_all, T.StructType([T.StructField("path", T.StringType()), T.StructField("audio", AUDIO), T.StructField("error", T.StringType())]))
 
 
 def stream_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, fmt: str = "json", files_per_batch: int | None = None) -> DataFrame:

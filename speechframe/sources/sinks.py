@@ -1,10 +1,7 @@
 """Writers: records, tables, splits, WAV files, training exports and statistics."""
 
-import io
-import wave
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -14,6 +11,7 @@ from speechframe.operators.filters import DESCRIPTION_CHARS
 from speechframe.operators.ordinal import with_ordinal
 from speechframe.operators.records import TRAINING_FORMATS
 from speechframe.session import ship_package
+from speechframe.sources.wav_codec import encode
 
 # Rows of a table that carries audio are large: keep its files to this many.
 AUDIO_ROWS_PER_FILE = 10_000
@@ -74,20 +72,6 @@ def wav_name() -> Column:
     return F.concat(F.regexp_replace(F.concat_ws("_", "dataset", F.col("idx").cast("string"), "speaker_id"), r'[:/\\*?"<>|]', "_"), F.lit(".wav"))
 
 
-def _encode(samples, rate: int) -> bytes:
-    """16-bit PCM WAV bytes."""
-    if samples is None:
-        raise ValueError("no audio")
-    pcm = np.clip(np.rint(np.asarray(samples, np.float64) * 32768.0), -32768, 32767).astype("<i2")
-    out = io.BytesIO()
-    with wave.open(out, "wb") as sound:
-        sound.setnchannels(1)
-        sound.setsampwidth(2)
-        sound.setframerate(int(rate))
-        sound.writeframes(pcm.tobytes())
-    return out.getvalue()
-
-
 def write_wav(df: DataFrame, folder: str, file_name: Column | None = None, key: str = "idx") -> DataFrame:
     """Write one WAV per row below ``folder`` and return the manifest ``(idx, path, error)``.
 
@@ -110,7 +94,7 @@ def write_wav(df: DataFrame, folder: str, file_name: Column | None = None, key:
                 try:
                     part = f"{root}/.{uuid.uuid4().hex}.part"
                     with system.open_output_stream(part) as out:
-                        out.write(_encode(samples, rate))
+                        out.write(encode(samples, rate))
                     try:
                         system.move(part, target)
                     except OSError:
