@@ -1,10 +1,12 @@
 """Exact percentiles, box statistics and outlier bounds, without sorting the column.
 
-One scan sketches a narrow bracket round each wanted rank. The next one counts what lies below the brackets and keeps only the
-values inside them, counted; the rank's value is found among these. Should a rank lie outside its bracket, the brackets are
+One scan sketches a narrow bracket round each wanted rank. A second one counts the values inside the brackets, each by itself,
+and all others by where they lie between the brackets; the rank's value is found in these counts. Should a rank lie outside its bracket, the brackets are
 widened and the scans repeated, so the result is exact at any size.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from speechframe.operators.joins import bounded
@@ -31,23 +33,25 @@ def percentiles_of(df: DataFrame, column: str, ps, by=(), accuracy: int = ACCURA
         shares = [min(1.0, max(0.0, p + d)) for p in ps for d in (-wide, wide)]
         # NaN counts as the largest value, as in sorting
         sketch = F.percentile_approx("value", shares, accuracy)
-        brackets = rows.groupBy(*by).agg(F.count("*").alias("n"), sketch.alias("s"))
+        brackets = rows.groupBy(*by).agg(sketch.alias("s"))
         edges = F.array(*[F.struct(F.col("s")[2 * i].alias("lo"), F.col("s")[2 * i + 1].alias("hi")) for i in range(len(ps))])
-        brackets = materialize(brackets.select(*by, "n", edges.alias("edges")), "brackets")
-        marked = _with_groups(rows, brackets, by)
-        # values up to the lower edge's and inside any bracket; below: how many values are smaller than each lower edge
-        below = [F.count_if(F.col("value") < F.col("edges")[i]["lo"]).alias(f"b{i}") for i in range(len(ps))]
-        counted = materialize(marked.groupBy(*by).agg(F.first("n").alias("n"), F.first("edges").alias("edges"), *below), "below")
+        brackets = materialize(brackets.select(*by, edges.alias("edges")), "brackets")
         inside = F.exists("edges", lambda e: (F.col("value") >= e["lo"]) & (F.col("value") <= e["hi"]))
-        kept = materialize(marked.where(inside).groupBy(*by, "value").agg(F.count("*").alias("c")), "inside")
-        found = materialize(_pick(kept, counted, ps, by), "picked")
+        # bit i: the value is smaller than the lower edge of bracket i
+        smaller = [F.when(F.col("value") < F.col("edges")[i]["lo"], F.lit(1 << i)).otherwise(0) for i in range(len(ps))]
+        marked = _with_groups(rows, brackets, by)
+        cells = marked.groupBy(*by, F.when(inside, F.col("value")).alias("value"), reduce(lambda x, y: x + y, smaller).cast("long").alias("smaller"))
+        cells = materialize(cells.agg(F.count("*").alias("c")), "cells")
+        below = [F.sum(F.when(F.shiftright("smaller", i).bitwiseAND(F.lit(1)) == 1, F.col("c")).otherwise(0)).alias(f"b{i}") for i in range(len(ps))]
+        counted = _with_groups(cells.groupBy(*by).agg(F.sum("c").alias("n"), *below), brackets, by)
+        found = materialize(_pick(cells.where("value IS NOT NULL"), counted, ps, by), "picked")
         if not found.where(F.exists("q", lambda x: x.isNull())).limit(1).count():
             return found
         wide *= 8
 
 
 def _with_groups(rows: DataFrame, groups: DataFrame, by) -> DataFrame:
-    """``rows`` with their group's row; one row without groups. ``groups`` is a written table."""
+    """``rows`` with their group's row; one row without groups. ``groups`` is a small or written table."""
     if not by:
         one = groups.select(F.struct(*groups.columns).alias("g")).scalar()
         return rows.withColumn("g", one).select(*rows.columns, "g.*")
