@@ -95,16 +95,24 @@ def exported_training(s, d):
     return read.agg(F.count("*").alias("rows"), F.sum(F.length("input")).alias("chars"), F.lit(rows).cast("bigint").alias("reported"))
 
 
+def exported_conversations(s, d):
+    """The conversation form, read back turn by turn."""
+    path = workspace(s, "conversations")
+    sinks.export_training(samples(s, d), path, "conversation")
+    schema = "conversations array<struct<from: string, value: string>>, metadata struct<speaker_id: string, accent: string, age: string, gender: string>"
+    return s.read.schema(schema).json(path).select(F.posexplode("conversations").alias("turn", "c"), "metadata").select("turn", "c.from", "c.value", "metadata.*")
+
+
 def exported_subset(s, d):
-    """Whole export: audio, metadata and manifest; the metadata is read back."""
+    """Whole export: audio, metadata and manifest; the metadata is read back. Rows without a waveform are in it, without a file."""
     folder = workspace(s, "subset")
-    corpus = samples(s, d).join(waves(s, d).select("idx", "audio"), "idx")
+    corpus = samples(s, d).join(waves(s, d).select("idx", "audio"), "idx", "left")
     manifest = sinks.export_subset(corpus, (F.col("gender") == "female") & (F.col("duration") < 5.0), folder, "source")
     meta = s.read.schema("audio_file string, speaker_id string, duration double").json(f"{folder}/metadata")
     # the files are in place: every manifest line names one that can be read
     sounds = readers.scan_wav(s, f"{folder}/audio").select(F.element_at(F.split("path", "/"), -1).alias("audio_file"), F.size("audio.array").alias("length"))
     done = manifest.where("error IS NULL").select(F.element_at(F.split("path", "/"), -1).alias("audio_file"))
-    return rounded(meta.join(done, "audio_file").join(sounds, "audio_file"))
+    return rounded(meta.join(done.join(sounds, "audio_file"), "audio_file", "left"))
 
 
 add("records_round_trip", records_round_trip, on_samples(RECORD_SQL))
@@ -179,6 +187,16 @@ add(
     ),
 )
 
+add(
+    "exported_conversations",
+    exported_conversations,
+    on_samples(
+        """SELECT 0 AS turn, 'human' AS "from", concat('Please analyze this voice recording. The speaker says: ''', coalesce(transcript, 'None'), '''') AS value,
+        speaker_id, accent, age, gender FROM samples
+        UNION ALL SELECT 1, 'assistant', voice_description, speaker_id, accent, age, gender FROM samples"""
+    ),
+)
+
 MANIFEST = """, o AS (SELECT idx, row_number() OVER (ORDER BY idx) - 1 AS n FROM {base})
 SELECT {columns} FROM samples JOIN o USING (idx) WHERE {predicate}"""
 QUALITY = lambda: (F.col("duration") > 1.0) & (F.col("duration") < 10.0) & known("gender")
@@ -206,7 +224,7 @@ add(
     "exported_subset",
     exported_subset,
     with_views(
-        """, c AS (SELECT *, row_number() OVER (ORDER BY samples.idx) - 1 AS n FROM samples JOIN (SELECT idx, len(samples) AS length FROM wave) USING (idx))
+        """, c AS (SELECT *, row_number() OVER (ORDER BY samples.idx) - 1 AS n FROM samples LEFT JOIN (SELECT idx, len(samples) AS length FROM wave) USING (idx))
     SELECT concat('voice_', lpad(CAST(n AS VARCHAR), 6, '0'), '.wav') AS audio_file, speaker_id, round(duration, 6) AS duration, CAST(length AS INTEGER) AS length
     FROM c WHERE gender = 'female' AND duration < 5""",
         "samples",
@@ -299,3 +317,18 @@ add(
     """SELECT event_id AS idx, 'laions' AS dataset, concat('laions_', event_id) AS speaker_id, '' AS transcript, round(1 / 24000, 6) AS duration,
     'unknown' AS emotion, 24000 AS sampling_rate, 1 AS length FROM events""",
 )
+
+
+def event_metadata(s, d):
+    """The number in the events' JSON, handed over as the duration that the source's metadata has."""
+    meta = F.regexp_replace("props", '"k"', '"duration"')
+    events = table(s, d, "events").select(F.col("event_id").alias("idx"), F.array(F.col("value").cast("float")).alias("wav"), meta.alias("json"))
+    return _flat(normalize_source(events, "laions"))
+
+
+add(
+    "normalize_event_metadata",
+    event_metadata,
+    """SELECT event_id AS idx, 'laions' AS dataset, concat('laions_', event_id) AS speaker_id, '' AS transcript,
+    round(CAST(json_extract(props, '$.k') AS DOUBLE), 6) AS duration, 'unknown' AS emotion, 24000 AS sampling_rate, 1 AS length FROM events""",
+)

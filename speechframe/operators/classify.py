@@ -35,12 +35,17 @@ def train_classifier(df: DataFrame, max_features: int = 500, trees: int = 100, s
     return PipelineModel([*text.stages, forest.fit(features), names])
 
 
-def evaluate_classifier(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> DataFrame:
-    """Train on 80 % of the labelled rows and report on the rest."""
+def predict_test_rows(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> tuple[DataFrame, DataFrame]:
+    """(predicted, trained): the test rows with ``label`` and ``prediction_label`` of a model of the other rows, and those."""
     labelled = label_characters(df, key).where(F.col("label").isNotNull())
     split = train_test(labelled, test_share, seed, key)
-    model = train_classifier(split.where(~F.col("is_test")), seed=seed, **options)
-    return classification_report(model.transform(split.where("is_test")), "label", "prediction_label")
+    trained = split.where(~F.col("is_test"))
+    return train_classifier(trained, seed=seed, **options).transform(split.where("is_test")), trained
+
+
+def evaluate_classifier(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> DataFrame:
+    """Train on 80 % of the labelled rows and report on the rest."""
+    return classification_report(predict_test_rows(df, test_share, seed, key, **options)[0], "label", "prediction_label")
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
