@@ -6,7 +6,9 @@ from speechframe.catalog.base import Catalog, rounded, table
 from speechframe.session import workspace
 from speechframe.sources.adapters import normalize_source
 from speechframe.sources.readers import stream_records
+from speechframe.operators.records import to_combined
 from speechframe.streaming import ingest as streams
+from speechframe.streaming import state
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -103,3 +105,47 @@ for name, column in [("events", "event_type"), ("conversations", "role"), ("docu
         lambda s, d, n=name, c=column: counted(s, d, n, c),
         f"SELECT {column} AS value, count(*) AS count FROM {name} GROUP BY 1",
     )
+
+
+def state_totals(s, d):
+    """Eight files, one to a batch; the query stops after five of them and is started again when the rest has come."""
+    place, whole = workspace(s, "state"), parts(s, d, "events", "event_id", 8)
+    schema = table(s, d, "events").schema
+    half = workspace(s, "half")
+    pieces = [r.path for r in s.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(whole).select("path").orderBy("path").collect()]
+    for arrived in (pieces[:5], pieces[5:]):
+        s.read.schema(schema).parquet(*arrived).write.mode("append").parquet(half)
+        source = stream_records(s, half, schema, "parquet", 1)
+        state.save_batches(state.running_totals(source, "event_type", "value", "event_id"), f"{place}/sink", f"{place}/checkpoint")
+    return rounded(state.latest_totals(s.read.parquet(f"{place}/sink")), 3)
+
+
+add("stream_state_totals", state_totals, "SELECT event_type AS key, count(*) AS rows, round(sum(value), 3) AS total FROM events GROUP BY 1")
+
+
+def checked(s, d):
+    """Event rows in the combined shape; purchases bring a duration that is no number and are rejected."""
+    place = workspace(s, "checked")
+    source = stream_records(s, parts(s, d, "events", "event_id", 4), table(s, d, "events").schema, "parquet", 1)
+
+    def split(batch):
+        duration = F.when(F.col("event_type") == "purchase", F.concat(F.col("value").cast("string"), F.lit(" s"))).otherwise(F.col("value").cast("string"))
+        audio = F.struct(F.array(F.col("value").cast("float")).alias("array"), F.lit(16).alias("sampling_rate"))
+        none = F.lit(None).cast("string")
+        return to_combined(
+            batch.select(
+                F.col("event_id").alias("index"), F.lit("laions").alias("dataset"), F.col("user_id").cast("string").alias("speaker_id"), F.col("event_type").alias("transcript"),
+                audio.alias("audio"), duration.alias("duration"), none.alias("voice_description"), none.alias("gender"), none.alias("age"), none.alias("accent"),
+            )
+        )
+
+    state.ingest_checked(source, split, f"{place}/sink", f"{place}/checkpoint")
+    outcome = lambda name: s.read.parquet(f"{place}/sink/{name}").select(F.lit(name).alias("outcome"), "index", "transcript")
+    return outcome("good").unionByName(outcome("rejected"))
+
+
+add(
+    "stream_rejected_rows",
+    checked,
+    "SELECT CASE WHEN event_type = 'purchase' THEN 'rejected' ELSE 'good' END AS outcome, event_id AS \"index\", event_type AS transcript FROM events",
+)
