@@ -577,3 +577,17 @@ def test_rows_follow_the_members_of_a_group(spark, monkeypatch, size):
 
     few, many = written(size), written(2 * size)
     assert all(many[name] <= 2.5 * few[name] + 20 for name in ("pairs", "rest", "links", "members", "groups", "ids", "sets", "edges"))
+
+
+def test_names_do_not_take_the_main_part(spark):
+    deep = "<div>" * 100_000 + "<p>deep</p>"
+    pages = {
+        1: ('<article class="post has-comments related"><p>story</p></article><div class="comments"><article class="comment"><p>no</p></article></div>', "story"),
+        2: ('<div class="search-results"><h1>Head</h1><p>real text</p></div><nav>menu</nav>', "Head\nreal text"),
+        3: ('<div class="sidebar-left"><main id="content"><p>kept</p><div class="share">no</div></main></div>', "kept"),
+        4: (deep, "deep"),
+        5: ('<p>te<span class="ad">no</span>xt</p><div class="sidebar">no</div>', "text"),
+        6: ('<nav class="x"><article><p>no</p></article></nav>', ""),
+    }
+    df = spark.createDataFrame([(i, f"http://h{i}/", h, "x", "y", "z") for i, (h, _) in pages.items()], "page_id long, url string, html string, host string, path string, removed string")
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == {i: t for i, (_, t) in pages.items()}
