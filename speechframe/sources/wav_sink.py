@@ -54,6 +54,7 @@ class WavWriter(DataSourceWriter):
 
     def commit(self, messages):
         system, root = self._root()
+        system.create_dir(root, recursive=True)  # there also when no row had samples
         for staged in messages:
             if staged is not None and staged.files:
                 # one folder for each task, however many files it has
