@@ -22,7 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from speechframe.session import ship_package
 
-#: Bytes that a task reads. Larger files are cut into ranges, smaller ones share a task.
+#: Bytes that a task reads at most, by default in one range. Larger files are cut into ranges; small files and small ranges share a task.
 RANGE_BYTES = 64 << 20
 #: Bytes looked at in one go.
 BLOCK = 4 << 20
@@ -153,7 +153,7 @@ def objects(path: str, start: int, end: int, in_string: bool, depth: int, base:
 
 
 class Pieces(InputPartition):
-    """The ranges that one task reads."""
+    """The ranges that one task reads, by file."""
 
     def __init__(self, pieces: list):
         self.pieces = pieces
@@ -163,23 +163,28 @@ class RangeReader(DataSourceReader):
     def __init__(self, tasks: list, summaries: bool):
         self.tasks, self.summaries = tasks, summaries
 
+    def __getstate__(self):
+        # a task is sent its own ranges only
+        return {"tasks": [], "summaries": self.summaries}
+
     def partitions(self):
         return [Pieces(t) for t in self.tasks]
 
     def read(self, partition: Pieces):
-        for piece in partition.pieces:
-            if self.summaries:
-                yield summarize(*piece)
-                continue
-            for found in objects(*piece):
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["value"])
+        for path, ranges in partition.pieces:
+            for piece in ranges:
+                if self.summaries:
+                    yield summarize(path, *piece)
+                    continue
+                for found in objects(path, *piece):
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["value"])
 
 
 class JsonArraySource(DataSource):
     """``json_array``: the objects of JSON array files as text, or with the option ``summaries`` a summary of each range.
 
-    The option ``tasks`` is the JSON list of tasks, each a list of ranges.
+    The option ``tasks`` is the JSON list of tasks, each a list of files with their ranges.
     """
 
     @classmethod
@@ -193,15 +198,17 @@ class JsonArraySource(DataSource):
         return RangeReader(json.loads(self.options["tasks"]), "summaries" in self.options)
 
 
-def _packed(pieces: list, range_bytes: int) -> list:
-    """Ranges dealt out to tasks of about ``range_bytes`` each, in order."""
-    tasks, size = [], range_bytes
-    for piece in pieces:
-        if size + piece[2] - piece[1] > range_bytes:
+def _packed(pieces: list, task_bytes: int) -> list:
+    """Ranges dealt out to tasks of about ``task_bytes`` each, in order: lists of (path, its ranges)."""
+    tasks, size = [], task_bytes
+    for path, start, end, *state in pieces:
+        if size + end - start > task_bytes:
             tasks.append([])
             size = 0
-        tasks[-1].append(piece)
-        size += piece[2] - piece[1]
+        if not tasks[-1] or tasks[-1][-1][0] != path:
+            tasks[-1].append((path, []))
+        tasks[-1][-1][1].append((start, end, *state))
+        size += end - start
     return tasks
 
 
@@ -218,13 +225,15 @@ def read_objects(spark: SparkSession, files: list[tuple[str, int]], range_bytes:
     ship_package(spark)
     spark.dataSource.register(JsonArraySource)
     source = spark.read.format("json_array")
+    # a task reads many small ranges, as long as every core has some
+    task_bytes = max(range_bytes, min(RANGE_BYTES, sum(size for _, size in files) // (2 * spark.sparkContext.defaultParallelism)))
     small = [(path, 0, size, False, 0, None) for path, size in files if size <= range_bytes]
     cut = [(path, at, min(size, at + range_bytes)) for path, size in files if size > range_bytes for at in range(0, size, range_bytes)]
     if cut:
         # one row for each range of ``range_bytes``
-        rows = source.option("summaries", "true").option("tasks", json.dumps([[c] for c in cut])).load().collect()
+        rows = source.option("summaries", "true").option("tasks", json.dumps(_packed(cut, task_bytes))).load().collect()
         cut = put_together([tuple(r) for r in rows], {(path, start): end for path, start, end in cut})
-    return spark.read.format("json_array").option("tasks", json.dumps(_packed(small + cut, range_bytes))).load()
+    return spark.read.format("json_array").option("tasks", json.dumps(_packed(small + cut, task_bytes))).load()
 
 
 def read_arrays(spark: SparkSession, path: str, schema: T.StructType, range_bytes: int = RANGE_BYTES) -> DataFrame:

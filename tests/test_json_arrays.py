@@ -63,6 +63,16 @@ def test_several_tasks_read_one_file(spark, tmp_path):
     assert order(cut) == order(plain.where("index IS NOT NULL"))
 
 
+def test_a_task_reads_many_small_ranges(spark, tmp_path):
+    want = rows(3_000)
+    (tmp_path / "big.json").write_text(json.dumps(want))
+    size = (tmp_path / "big.json").stat().st_size
+    cut = readers.read_records(spark, f"{tmp_path}/*.json", spark.createDataFrame([], SCHEMA).schema, range_bytes=500)
+    cores = spark.sparkContext.defaultParallelism
+    assert size > 500 * 20 * cores and cores < cut.rdd.getNumPartitions() <= 3 * cores
+    assert cut.count() == len(want)
+
+
 def test_packed_files_are_read_whole(spark, tmp_path):
     import gzip
 
