@@ -36,8 +36,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that share a doc_id are one document, of which the row with the greatest text stays; rows without an id are each their own.
     """
     docs = with_ids(docs)
-    kept = near_dedup.numbered_components(docs, words=5, share=80).filter("kept").select("doc_id")
-    rows = docs.join(kept, "doc_id", "left_semi").select(DOCUMENTS)
+    found = near_dedup.numbered_components(docs, words=5, share=80).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    # fewer go than stay: their ids are sent to the texts, which stay where they are
+    dropped = materialize(found.filter("NOT kept").select("doc_id"), "dropped")
+    rows = docs.join(small(dropped), "doc_id", "left_anti").select(DOCUMENTS)
     repeated = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     greatest = rows.join(small(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(*DOCUMENTS[1:])).alias("row"))
     once = rows.join(small(repeated), "doc_id", "left_anti").unionByName(greatest.select("doc_id", "row.*"))
@@ -48,8 +50,9 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents of which less than a twentieth of the words stand inside windows of benchmark items."""
     docs = with_ids(docs)
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    contaminated = found.filter("contaminated").select("doc_id", "tag").distinct()
-    clean = docs.withColumn("tag", F.hash("text")).join(contaminated, ["doc_id", "tag"], "left_anti").select(DOCUMENTS)
+    contaminated = materialize(found.filter("contaminated").select("doc_id", "tag").distinct(), "contaminated")
+    # ids are sent to the texts, which stay where they are
+    clean = docs.withColumn("tag", F.hash("text")).join(small(contaminated), ["doc_id", "tag"], "left_anti").select(DOCUMENTS)
     return clean.withColumn("doc_id", without_number("doc_id"))
 
 

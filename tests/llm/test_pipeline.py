@@ -55,6 +55,20 @@ def test_stages_return_the_columns_of_documents(spark, sf):
         assert stage(spark, docs, sf).columns == DOCUMENTS
 
 
+def test_texts_are_not_moved_to_leave_documents_out(spark, tmp_path):
+    rng = random.Random(5)
+    write(spark, tmp_path, [(i, " ".join(rng.choices("abcdefghij", k=60)), "en", "s", 119) for i in range(20)] + [(20, PASSAGE, "en", "s", len(PASSAGE))])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.drop_benchmark_copies):
+            plan = stage(spark, docs, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+            assert "LeftAnti" in plan and not [x for x in plan.splitlines() if "SortMergeJoin" in x and "LeftAnti" in x and "doc_id" in x], plan
+        assert 20 not in [r.doc_id for r in corpus_pipeline.drop_benchmark_copies(spark, docs, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_an_empty_corpus(spark, tmp_path):
     write(spark, tmp_path, [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
