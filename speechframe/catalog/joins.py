@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from speechframe.catalog.base import Catalog, on_samples, samples, sql_strip, table, waves, with_views
 from speechframe.operators import joins, sampling, stats
 from speechframe.plans import corpus
-from speechframe.session import workspace
+from speechframe.session import materialize, workspace
 from speechframe.functions.scalars import basename
 from speechframe.sources.key_tables import read_key_table, write_key_table
 from speechframe.sources.readers import scan_wav
@@ -184,7 +184,8 @@ add(
 
 def awkward_sources(s, d):
     """Two sources whose rows have repeated keys, and labels that are null or another source's."""
-    rows = statuses(s, d).where("status <> 'missing'")
+    # written once: each source reads it
+    rows = materialize(statuses(s, d).where("status <> 'missing'"), "statuses")
     label = F.when(F.col("idx") % 3 == 0, F.lit(None)).when(F.col("idx") % 3 == 1, "laions").otherwise("animevox")
     rows = rows.withColumns({"idx": F.floor(F.col("idx") / 4), "dataset": label.cast("string")})
     return {"laions": rows.where("length(speaker_id) % 2 = 0"), "animevox": rows.where("length(speaker_id) % 2 = 1")}
@@ -204,7 +205,8 @@ add(
 
 def four_sources(s, d):
     """The corpus dealt to the four sources; each keeps its own row numbers."""
-    rows = statuses(s, d)
+    # written once: each source reads it
+    rows = materialize(statuses(s, d), "statuses")
     names = ["globe_v2", "animevox", "laions", "anispeech"]
     place = F.pmod(F.length("dataset") + F.col("idx"), F.lit(len(names)))
     return {n: rows.where(place == i).withColumn("dataset", F.lit(n)) for i, n in enumerate(names)}

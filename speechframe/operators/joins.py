@@ -48,14 +48,23 @@ def attach_audio(records: DataFrame, files: DataFrame, key: str = "idx") -> Data
 
 
 def without_file(records: DataFrame, files: DataFrame) -> DataFrame:
-    """Records that no file is named after; reads no audio."""
+    """Records that no file is named after; reads no audio. The names are sent to the records while they are few."""
+    names = bounded(materialize(files.select("file_name"), "names"))
     named = records.withColumn("file_name", basename("audio_path"))
     # rows without a name have no file; they stay out of the join, where they would all meet in one task
     nameless = named.where(F.col("file_name").isNull()).drop("file_name")
-    looked_up = named.where(F.col("file_name").isNotNull()).join(files.select("file_name"), "file_name", "left_anti")
+    looked_up = named.where(F.col("file_name").isNotNull()).join(names, "file_name", "left_anti")
     return looked_up.drop("file_name").unionByName(nameless)
 
 
+def with_file(records: DataFrame, files: DataFrame) -> DataFrame:
+    """Records that may have a file: those that one is named after while the names are few enough to be sent to them, else all."""
+    names = materialize(files.select("file_name"), "names")
+    if names.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return records
+    return records.join(F.broadcast(names), basename("audio_path") == names["file_name"], "left_semi")
+
+
 # The text column that identifies a row in each original source.
 RECOVERY_TEXT = {"globe_v2": "transcript", "laions": "text", "animevox": "transcription", "anispeech": "caption"}
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechframe.operators.annotate import annotate, fill_metadata
 from speechframe.operators.filters import has_audio
-from speechframe.operators.joins import attach_audio, bounded, coalesce_audio, lookup, matched_originals, original_columns, recover_audio, resume, usable_audio, without_file
+from speechframe.operators.joins import attach_audio, bounded, coalesce_audio, lookup, matched_originals, original_columns, recover_audio, resume, usable_audio, with_file, without_file
 from speechframe.operators.ordinal import with_ordinal
 from speechframe.operators.prompts import build_prompt
 from speechframe.operators.records import split_projection, to_combined, to_record
@@ -41,10 +41,10 @@ def recover_source(records: DataFrame, files: DataFrame, originals: DataFrame |
     """Records of one source with ``audio`` and its ``status``.
 
     Rows that have a file and rows that lack one go separate ways, so the audio that is
-    there passes through one join only.
+    there passes through one join only, and so do the texts of either.
     """
     files = files.where(F.col("audio").isNotNull())
-    present = attach_audio(records, files, key).where(F.col("file_audio").isNotNull())
+    present = attach_audio(with_file(records, files), files, key).where(F.col("file_audio").isNotNull())
     present = present.withColumnRenamed("file_audio", "audio").withColumn("status", F.lit("present"))
     missing = without_file(records, files).withColumn("file_audio", F.lit(None).cast(files.schema["audio"].dataType))
     if originals is None:

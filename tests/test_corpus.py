@@ -369,3 +369,24 @@ def test_package_is_shipped_once(spark):
     before = len(spark.sparkContext._python_includes)
     ship_package(spark)
     assert "speechframe.zip" in spark.sparkContext._python_includes and len(spark.sparkContext._python_includes) == before
+
+
+def test_records_without_a_file_stay_where_they_are(spark):
+    records = spark.range(50).select(F.col("id").alias("idx"), F.concat(F.lit("a/"), F.col("id").cast("string"), F.lit(".wav")).alias("audio_path"))
+    records = records.withColumn("audio_path", F.when(F.col("idx") != 7, F.col("audio_path")))
+    files = spark.range(20).select(F.concat(F.col("id").cast("string"), F.lit(".wav")).alias("file_name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lacking, having = joins.without_file(records, files), joins.with_file(records, files)
+        assert all("SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in (lacking, having))
+        assert sorted(r.idx for r in lacking.collect()) == [7, *range(20, 50)]
+        assert sorted(r.idx for r in having.collect()) == [i for i in range(20) if i != 7]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sources_of_the_catalog_read_one_written_table(spark, sf):
+    from speechframe.catalog.joins import awkward_sources, four_sources
+
+    for sources in (four_sources(spark, sf), awkward_sources(spark, sf)):
+        assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in sources.values())
