@@ -1,6 +1,6 @@
 """Character labels, the character classifier and its report."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer
 from pyspark.sql import DataFrame, functions as F
@@ -18,27 +18,34 @@ def label_characters(df: DataFrame, key: str = "idx") -> DataFrame:
 def train_classifier(df: DataFrame, max_features: int = 500, trees: int = 100, seed: int = 42, max_depth: int = 30, stop=ENGLISH_STOP_WORDS):
     """Fit TF-IDF and a random forest on ``(voice_description, label)``; the model adds ``prediction_label``.
 
-    The features are written once: growing a forest passes over them for every level of its trees.
+    The texts are cut into words once, and the features are written once: growing a forest passes over them for every level of
+    its trees. The node that each row has reached in each tree is kept from pass to pass, so that no pass sends the trees grown
+    so far to the tasks or sends a row down them again.
     """
-    text = Pipeline(
-        stages=[
+    cut = PipelineModel(
+        [
             RegexTokenizer(inputCol="voice_description", outputCol="tokens", pattern=TOKEN, gaps=False),
             StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=list(stop)),
-            CountVectorizer(inputCol="kept", outputCol="counts", vocabSize=max_features),
-            IDF(inputCol="counts", outputCol="features"),
-            StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
         ]
-    ).fit(df)
-    features = materialize(text.transform(df).select("label_index", "features"), "features")
-    forest = RandomForestClassifier(labelCol="label_index", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth)
-    names = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=text.stages[-1].labels)
-    return PipelineModel([*text.stages, forest.fit(features), names])
+    )
+    words = materialize(cut.transform(df).select("label", "kept"), "words")
+    counts = CountVectorizer(inputCol="kept", outputCol="counts", vocabSize=max_features).fit(words)
+    counted = materialize(counts.transform(words).select("label", "counts"), "counts")
+    weights = IDF(inputCol="counts", outputCol="features").fit(counted)
+    labels = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep").fit(counted)
+    features = materialize(labels.transform(weights.transform(counted)).select("label_index", "features"), "features")
+    forest = RandomForestClassifier(labelCol="label_index", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth, cacheNodeIds=True)
+    names = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels)
+    return PipelineModel([*cut.stages, counts, weights, labels, forest.fit(features), names])
 
 
 def predict_test_rows(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> tuple[DataFrame, DataFrame]:
-    """(predicted, trained): the test rows with ``label`` and ``prediction_label`` of a model of the other rows, and those."""
+    """(predicted, trained): the test rows with ``label`` and ``prediction_label`` of a model of the other rows, and those.
+
+    Rows are labelled once, into a table.
+    """
     labelled = label_characters(df, key).where(F.col("label").isNotNull())
-    split = train_test(labelled, test_share, seed, key)
+    split = materialize(train_test(labelled, test_share, seed, key), "labelled")
     trained = split.where(~F.col("is_test"))
     return train_classifier(trained, seed=seed, **options).transform(split.where("is_test")), trained
 

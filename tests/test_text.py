@@ -180,3 +180,16 @@ def test_preprocess_and_silence(clip, spark):
     assert silent.select(waveform.peak_normalize("s").alias("n")).collect()[0].n == [None, None]
     stereo = spark.createDataFrame([([[1.0, 0.0], [0.5, 0.5]],)], "s array<array<float>>")
     assert stereo.select(waveform.preprocess("s", F.lit(1), trim=False, channels=True).alias("p")).collect()[0].p == [1.0, 1.0]
+
+
+def test_classifier_cuts_texts_once_and_keeps_each_rows_place_in_the_trees(spark, monkeypatch):
+    texts = ["warm friendly voice", "old wise calm voice", "young bright voice"]
+    df = spark.createDataFrame([(i, texts[i % 3], "abc"[i % 3]) for i in range(60)], "idx long, voice_description string, label string")
+    written = []
+    whole = classify.materialize
+    monkeypatch.setattr(classify, "materialize", lambda d, name: written.append((name, d.columns)) or whole(d, name))
+    model = classify.train_classifier(df, trees=3, max_depth=4)
+    assert written[0] == ("words", ["label", "kept"])  # all that is fitted reads these words, not the texts
+    assert model.stages[-2].getCacheNodeIds()
+    got = model.transform(df).select("label", "prediction_label").collect()
+    assert all(r.label == r.prediction_label for r in got)
