@@ -33,10 +33,14 @@ def _lower(word: Column) -> Column:
 
 
 def words_of(df: DataFrame, *keys) -> DataFrame:
-    """(keys, pos, term) of every word of ``text``, and one row with the empty term at the position after the last word."""
+    """(keys, pos, term) of every word of ``text``, and one row with the empty term at the position after the last word.
+
+    The keys are worked out before the words become rows: beside the generator they would be once for each word, from the whole text.
+    """
     ended = F.concat(F.coalesce("text", F.lit("")), F.lit(" "))
     words = F.split(F.regexp_replace(ended, f"^{SEPARATORS}", ""), SEPARATORS, -1)
-    return df.select(*keys, F.posexplode(words).alias("pos", "word")).withColumn("term", _lower(F.col("word"))).drop("word")
+    cut = df.select(*keys, words.alias("words"))
+    return cut.select(*cut.columns[:-1], F.posexplode("words").alias("pos", "word")).withColumn("term", _lower(F.col("word"))).drop("word")
 
 
 def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -270,6 +271,14 @@ def test_proximity(spark):
     assert got(found.select("query", "doc_id", "at")) == [("q", 1, 3), ("q", 2, 6), ("q", 3, 0), ("r", 3, 2)]
 
 
+def test_a_texts_tag_is_worked_out_once_and_not_for_each_word(spark):
+    docs = spark.range(1, 3).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 1, "Two  words").alias("text"))
+    tokens = decontaminate.words_of(docs, "doc_id", F.hash("text").alias("tag"))
+    plan = tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert "hash(" in plan and plan.index("Generate") < plan.index("hash(")  # below the generator
+    assert sorted((r.doc_id, r.pos, r.term) for r in tokens.collect()) == [(1, 0, "two"), (1, 1, "words"), (1, 2, ""), (2, 0, "")]
+
+
 # language
 
 
