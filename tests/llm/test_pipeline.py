@@ -85,3 +85,15 @@ def test_missing_and_repeated_ids(spark, tmp_path):
     # the copy with an id stays, of the repeated row one; the text without an id that is like no other stays too
     assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [*range(10), 40, 3_000]
     assert len([r for r in rows if r.doc_id is None]) == 1
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    try:
+        docs = spark.range(5).selectExpr("id AS doc_id", "'some text' AS text")
+        encoded = corpus_pipeline.encode(spark, docs, "")
+        assert int(spark.conf.get(key)) <= corpus_pipeline.BATCH_ROWS < 10_000
+        assert encoded.count() == 5
+    finally:
+        spark.conf.set(key, usual)
