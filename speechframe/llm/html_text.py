@@ -3,15 +3,17 @@
 The DOMs of a host's pages are merged: elements with the same path of tags and classes are one node of the style tree. A node's
 importance has a presentation part, the entropy of the sequences of children it shows, and a content part, one less the mean
 entropy with which its texts repeat from page to page; both in logarithms to the base of the pages that have the node. Branches
-of low importance are the site's own furniture and are removed from each page. What a tag or class name already says to be
-furniture (menus, adverts, forms, reader comments and the like) goes in any case and does not enter the tree.
+of low importance are the site's own furniture and are removed from each page, on pages with a marked main part (article, main)
+and others alike. All visible text enters the tree, that of menus, adverts and footers too. What a tag or class name says to be furniture
+(menus, adverts, forms, reader comments and the like), or what stands outside a marked main part, goes in any case.
 
 A task counts its own pages' nodes first; the counts are summed by host and node, so a host that holds a third of all pages is
 no hot key. A page whose text would go entirely keeps it, as the only copies of an article on a mirror would else be lost, and so
 does one of which names of classes would leave nothing. The first marked main part of a page is never furniture by such a name.
 
-Where a page marks its main part (article, main), the text is taken from there, and whole: the tree decides on pages without
-such a mark only, as a body that many pages of a host carry under different titles looks like furniture to it. Blocks are joined by one line feed, white space
+A body that many pages of a host carry under different titles looks like furniture to the tree. So within a marked main part it
+removes boxes and elements with a class, never the article's own headings and its paragraphs, list items, quotes and cells without a class; and the
+main part stays whole where the tree would leave headings alone or take more than ``MOST`` of its text. Blocks are joined by one line feed, white space
 within a block is one blank, a line break counts as white space. A null html is an empty page, a null url a host of its own;
 markup that is cut off or never closed ends with the page. Repeated rows are pages of their own. Other columns are not read.
 """
@@ -32,6 +34,8 @@ from speechframe.session import materialize
 IMPORTANCE, LEAST_PAGES = 0.3, 8
 #: How fast the presentation part gains weight with the number of styles a node has.
 DECAY = 0.9
+#: A marked main part of which the tree would take a larger share than this is itself what repeats, and stays.
+MOST = 0.75
 
 # fixed values: elements and words in class, id and role that mark what is not main text
 DROPPED = frozenset("title script style noscript template nav footer aside form button select option textarea iframe svg canvas object menu dialog".split())
@@ -40,6 +44,8 @@ FURNITURE = frozenset(
     "newsletter subscribe subscription signup login sidebar rail widget widgets menu nav navbar navigation breadcrumb breadcrumbs toolbar footer masthead "
     "comment comments respond reply replies disqus discussion share sharing social related recommended teaser teasers pagination pager skip tags copyright search form".split()
 )
+# elements whose content a reader never sees as text; it does not enter the tree
+UNSEEN = frozenset("title script style noscript template option textarea iframe svg canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -53,8 +59,11 @@ HOLDS = frozenset("ul ol dl table div section article main blockquote body html
 WORD = re.compile(r"[a-z0-9]+")
 #: Elements below this depth belong to the branch of their ancestor there.
 DEEPEST = 64
-KEPT, BY_NAME, BY_TAG = 0, 1, 2
+KEPT, BY_NAME, BY_TAG, HIDDEN = 0, 1, 2, 3
 MAIN = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Without a class, these are the running text of a main part, not a box of their own.
+FLOW = frozenset("p blockquote pre li dt dd td th caption figcaption".split())
 
 
 class Dom(HTMLParser):
@@ -65,9 +74,11 @@ class Dom(HTMLParser):
         self.stack: list[tuple[str, str, int, int, bool]] = []  # tag, path, depth, why it is dropped, in main part
         self.blocks: list[tuple[str, bool, str]] = []  # path, in main part, text
         self.named: list[str] = []  # texts that go by the name of a class, id or role alone
+        self.gone: list[tuple[str, str]] = []  # path and text of blocks that go by a name or tag; the tree counts them
         self.children: dict[str, list[str]] = {}
         self.open: list[str] = []
         self.open_named: list[str] = []
+        self.open_tagged: list[str] = []
         self.has_main = False
 
     def top(self):
@@ -80,9 +91,12 @@ class Dom(HTMLParser):
         if text and not dropped:
             self.blocks.append((path, main, text))
         named = " ".join("".join(self.open_named).split())
-        self.open_named = []
+        tagged = " ".join("".join(self.open_tagged).split())
+        self.open_named, self.open_tagged = [], []
         if named:
             self.named.append(named)
+        if dropped == BY_NAME and named or dropped == BY_TAG and tagged:
+            self.gone.append((path, named if dropped == BY_NAME else tagged))
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -106,9 +120,11 @@ class Dom(HTMLParser):
         named = {k: v for k, v in attrs if v and k in ("class", "id", "role")}
         _, path, depth, dropped, main = self.top()
         marked = WORD.findall(" ".join(named.values()).lower())
-        if tag in DROPPED or (tag == "header" and not main) or "hidden" in dict(attrs):
-            dropped = BY_TAG
-        elif dropped != BY_TAG and tag in MAIN and not self.has_main:
+        if tag in UNSEEN or "hidden" in dict(attrs):
+            dropped = HIDDEN
+        elif tag in DROPPED or (tag == "header" and not main):
+            dropped = max(dropped, BY_TAG)
+        elif dropped < BY_TAG and tag in MAIN and not self.has_main:
             dropped = KEPT  # names neither of the first main part nor of what it stands in say that it is furniture
         elif not FURNITURE.isdisjoint(marked):
             dropped = max(dropped, BY_NAME)
@@ -116,7 +132,7 @@ class Dom(HTMLParser):
         self.has_main |= main and not dropped
         name = tag + "".join(f".{c}" for c in sorted((named.get("class") or "").split()))
         if tag in BLOCKS or tag in DROPPED:
-            if not dropped:
+            if dropped != HIDDEN:
                 self.children.setdefault(path, []).append(name)
             depth += 1
             path = f"{path}/{name}" if depth <= DEEPEST else path
@@ -134,8 +150,8 @@ class Dom(HTMLParser):
 
     def handle_data(self, data):
         dropped = self.top()[3]
-        if dropped != BY_TAG:
-            (self.open_named if dropped else self.open).append(data)
+        if dropped != HIDDEN:
+            (self.open, self.open_named, self.open_tagged)[dropped].append(data)
 
 
 def read_page(html: str | None) -> Dom:
@@ -164,9 +180,10 @@ def _count_nodes(batches):
         counts: Counter = Counter()
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             dom = read_page(html)
-            seen = {("text", path, xxhash.xxh64_intdigest(text) - 2**63) for path, _, text in dom.blocks}
+            texts = [(path, text) for path, _, text in dom.blocks] + dom.gone
+            seen = {("text", path, xxhash.xxh64_intdigest(text) - 2**63) for path, text in texts}
             seen |= {("style", path, xxhash.xxh64_intdigest(" ".join(names)) - 2**63) for path, names in dom.children.items()}
-            nodes = {a for path, _, _ in dom.blocks for a in ancestors(path)}
+            nodes = {a for path in {path for path, _ in texts} for a in ancestors(path)}
             seen |= {("node", path, 0) for path in nodes}
             counts.update((host, path, kind, value) for kind, path, value in seen)
         keys = list(zip(*counts)) if counts else [[], [], [], []]
@@ -195,14 +212,31 @@ def style_tree(pages: DataFrame) -> DataFrame:
     )
 
 
+def name_of(path: str) -> str:
+    return path.rpartition("/")[2]
+
+
+def is_low(path: str, main: bool, removed) -> bool:
+    """Whether a block at ``path`` is in a removed branch; running text and headings of a main part are no branches."""
+    low = removed.intersection(ancestors(path))
+    if main:
+        low = {p for p in low if name_of(p) not in FLOW and name_of(p).split(".")[0] not in HEADINGS}
+    return bool(low)
+
+
 def page_text(html: str | None, removed) -> str:
+    """The text of a page: what the site's tree leaves of it, and of that what is in the main part, if the page marks one."""
     dom = read_page(html)
     if not dom.blocks:
         return "\n".join(dom.named)
-    if dom.has_main:
-        return "\n".join(text for _, main, text in dom.blocks if main)
-    kept = [text for path, _, text in dom.blocks if removed.isdisjoint(ancestors(path))] if removed else []
-    return "\n".join(kept or [text for _, _, text in dom.blocks])
+    low = {place: is_low(*place, removed) for place in {(path, main) for path, main, _ in dom.blocks}} if removed else {}
+    blocks = [(path, text, low.get((path, main), False)) for path, main, text in dom.blocks if main or not dom.has_main]
+    kept = [(path, text) for path, text, goes in blocks if not goes]
+    if dom.has_main and len(kept) < len(blocks):
+        whole, left = (sum(len(b[1]) for b in part) for part in (blocks, kept))
+        if whole - left > MOST * whole or all(name_of(path).split(".")[0] in HEADINGS for path, _ in kept):
+            kept = []
+    return "\n".join(text for _, text, *_ in kept or blocks)
 
 
 def extract(pages: DataFrame, importance: float = IMPORTANCE, least: int = LEAST_PAGES) -> DataFrame:

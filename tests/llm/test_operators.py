@@ -600,3 +600,20 @@ def test_names_do_not_take_the_main_part(spark):
     }
     df = spark.createDataFrame([(i, f"http://h{i}/", h, "x", "y", "z") for i, (h, _) in pages.items()], "page_id long, url string, html string, host string, path string, removed string")
     assert {r.page_id: r.text for r in html_text.extract(df).collect()} == {i: t for i, (_, t) in pages.items()}
+
+
+def test_the_style_tree_decides_inside_a_marked_main_part(spark):
+    share = "<div class='tools'><p>Tell your friends</p></div><p class='hint'>Reading time varies</p>"
+    plain = lambda i: f"<nav><a>Home</a></nav><article><h1>title {i}</h1>{share}<h2>Summary</h2><p>story {i} begins here</p><blockquote>quoted</blockquote><p>and ends with {i * 7} as told</p></article><footer>{i}</footer>"
+    copied = lambda i: f"<article><h1>title {i}</h1><p class='by'>by {i}</p><div class='body'><p>{'the same body ' * 9}</p></div></article>"
+    titled = lambda i: f"<main><h1>a rather long title of page {i}</h1><div class='body'><p>same</p></div></main>"
+    rows = [(100 * k + i, f"http://h{k}.org/{i}", page(i)) for k, page in enumerate((plain, copied, titled)) for i in range(20)] + [(300, "http://few.org/", plain(3))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    for i in range(20):
+        assert found[i] == f"title {i}\nSummary\nstory {i} begins here\nquoted\nand ends with {i * 7} as told"
+        assert found[100 + i] == f"title {i}\nby {i}\n{('the same body ' * 9).strip()}"
+        assert found[200 + i] == f"a rather long title of page {i}\nsame"
+    assert found[300] == "title 3\nTell your friends\nReading time varies\nSummary\nstory 3 begins here\nquoted\nand ends with 21 as told"
+    tree = {r.path: r for r in html_text.style_tree(df.withColumn("host", html_text.host_of(df["url"])).filter("page_id < 100")).collect()}
+    assert tree["/nav"].importance == 0 and tree["/footer"].content == pytest.approx(1)
