@@ -5,7 +5,8 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from speechframe.functions.scalars import words
 from speechframe.functions.waveform import bind
@@ -116,12 +117,67 @@ def _counted_among(words: DataFrame, n: int, frequent: DataFrame) -> DataFrame:
     return runs.groupBy(F.array_join("run", " ").alias("term")).agg(F.count("*").alias("total"))
 
 
+# Words that a task looks at in one piece, and listed words that tasks are given; more of these are joined by Spark.
+PIECE_WORDS = 1_000_000
+LISTED_WORDS = 100_000
+
+
+def _pieces(batches):
+    """The batches in pieces of at most ``PIECE_WORDS`` words, or one row."""
+    for batch in batches:
+        upto, at = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("words")), 0).to_numpy(), dtype=np.int64), 0
+        while at < len(upto):
+            stop = max(at + 1, int(np.searchsorted(upto, PIECE_WORDS + (upto[at - 1] if at else 0), side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def _rows_and_places(words: pa.Array, listed: pa.Array):
+    """Of each word of a column of lists: the number of its row, and its place in ``listed`` or -1."""
+    row = np.repeat(np.arange(len(words)), pc.fill_null(pc.list_value_length(words), 0).to_numpy())
+    flat = words.flatten()
+    return row, pc.fill_null(pc.index_in(flat, value_set=listed.cast(flat.type)), -1).to_numpy().astype(np.int64)
+
+
+def _longer(runs, row, place, n: int, size: int):
+    """Numbers of the runs of ``n`` words that begin at each word, from those of ``n`` - 1 words; -1 where a word is not listed or in another row."""
+    out = np.full(len(runs), -1, np.int64)
+    if len(runs) >= n:
+        first, last = runs[: len(runs) - n + 1], place[n - 1 :]
+        out[: len(first)] = np.where((first >= 0) & (last >= 0) & (row[: len(first)] == row[n - 1 :]), first * size + last, -1)
+    return out
+
+
+def _mapped(words: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` over pieces of the written lists; ``fn`` gives the record batch of one."""
+    ship_package(words.sparkSession)
+    return words.mapInArrow(lambda batches: map(fn, _pieces(batches)), schema)
+
+
+def _run_counts(words: DataFrame, high: int, listed: list[str]) -> DataFrame:
+    """As ``_counted_among`` for 2 to ``high`` words, with the words as numbers; ``listed`` words to the power of ``high`` are below 2^63."""
+
+    def count(batch):
+        names = pa.array(listed, pa.string())
+        row, place = _rows_and_places(batch.column("words"), names)
+        runs, terms, totals = place, [], []
+        for n in range(2, high + 1):
+            runs = _longer(runs, row, place, n, len(names))
+            found, times = np.unique(runs[runs >= 0], return_counts=True)
+            parts = [names.take(pa.array(found // len(names) ** i % len(names))) for i in range(n - 1, -1, -1)]
+            terms.append(pc.binary_join_element_wise(*parts, " "))
+            totals.append(times)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(terms), pa.array(np.concatenate(totals), pa.int64())], ["term", "total"])
+
+    return _mapped(words.select("words"), count, "term string, total long").groupBy("term").agg(F.sum("total").alias("total"))
+
+
 def vocabulary(words: DataFrame, max_features: int, ngrams=(1, 1)) -> DataFrame:
     """``term`` and ``total`` of the ``max_features`` most frequent terms of the lists ``words``, ties by the term.
 
     An n-gram is at most as frequent as its rarest word. The words are counted first, and an n-gram can only
     reach the vocabulary when all its words are as frequent as the last word that would; the many rare n-grams
-    are then neither joined to text nor shuffled.
+    are then neither made nor shuffled.
     """
     low, high = ngrams
     if high == 1 or low > 1:
@@ -130,33 +186,113 @@ def vocabulary(words: DataFrame, max_features: int, ngrams=(1, 1)) -> DataFrame:
         counted = single = materialize(_counted(words, (1, 1)), "words")
         last = single.orderBy(F.desc("total")).limit(max_features).agg(F.min("total")).scalar()
         frequent = materialize(single.where(F.col("total") >= last).select("term"), "frequent")
-        for n in range(2, high + 1):
-            counted = counted.unionByName(_counted_among(words, n, frequent))
+        listed = [r.term for r in frequent.limit(LISTED_WORDS + 1).collect()]
+        if 0 < len(listed) <= LISTED_WORDS and len(listed) ** high < 2**63:
+            counted = counted.unionByName(_run_counts(words, high, listed))
+        else:
+            for n in range(2, high + 1):
+                counted = counted.unionByName(_counted_among(words, n, frequent))
     return counted.orderBy(F.desc("total"), "term").limit(max_features)
 
 
-def term_weights(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS, also=()):
-    """(weights, idf): unnormalised ``(key, term, weight)`` and the vocabulary ``(term, idf)``.
+def _levels(names: list[str]):
+    """(words, levels): the words of the terms, and for each length the sorted numbers of the terms' beginnings of that length.
 
-    The texts are cut into words once. ``also`` names columns that tell rows apart besides the key.
+    The number of a beginning is the place of the one a word shorter, times the number of words, plus the place of its last word.
+    ``levels`` also holds the place in ``names`` of each beginning, -1 where it is no term.
+    """
+    split = [name.split(" ") for name in names]
+    words = sorted({w for term in split for w in term})
+    place = {w: i for i, w in enumerate(words)}
+    levels, before = [], {(): 0}
+    for n in range(1, max(map(len, split), default=0) + 1):
+        codes = {tuple(t[:n]): before[tuple(t[: n - 1])] * len(words) + place[t[n - 1]] for t in split if len(t) >= n}
+        order = sorted(codes, key=codes.get)
+        before = {run: i for i, run in enumerate(order)}
+        term = np.full(len(order), -1, np.int64)
+        for i, t in enumerate(split):
+            if len(t) == n:
+                term[before[tuple(t)]] = i
+        levels.append((np.array([codes[run] for run in order], np.int64), term))
+    return words, levels
+
+
+def _term_counts(words: DataFrame, names: list[str], also) -> DataFrame:
+    """(key, terms, counts) of every row that has one of the terms: their places in ``names``, and how often they occur."""
+    listed, levels = _levels(names)
+    head = [*also, "key"]
+    key_types = ", ".join(f"{c} {words.schema[c].dataType.simpleString()}" for c in head)
+
+    def count(batch):
+        row, place = _rows_and_places(batch.column("words"), pa.array(listed, pa.string()))
+        runs, found = np.where(place >= 0, 0, -1), []
+        for n, (codes, term) in enumerate(levels, 1):
+            runs = place if n == 1 else _longer(runs, row, place, n, len(listed))
+            at = np.searchsorted(codes, runs).clip(max=len(codes) - 1)
+            runs = np.where(codes[at] == runs, at, -1)
+            named = np.where(runs >= 0, term[runs], -1)
+            found.append(row[named >= 0] * len(names) + named[named >= 0])
+        each, times = np.unique(np.concatenate(found), return_counts=True)
+        rows, sizes = np.unique(each // len(names), return_counts=True)
+        offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in ((each % len(names)).astype(np.int32), times.astype(np.int64))]
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows)) for c in head), *lists], [*head, "terms", "counts"])
+
+    return _mapped(words.select(*head, "words"), count, f"{key_types}, terms array<int>, counts array<bigint>")
+
+
+def term_vectors(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS, also=()):
+    """(vectors, names, idf): written ``(key, terms, counts)``, one row for each key with terms; and by their places the terms and their idf.
+
+    The texts are cut into words once. ``also`` names columns that tell rows apart besides the key. A vector has at most
+    ``max_features`` entries, which bounds what the driver holds.
     """
     words = materialize(df.select(*also, F.col(key).alias("key"), tokens_of(text, stop).alias("words")), "tokens")
-    # max_features bounds both broadcasts
-    kept = F.broadcast(vocabulary(words, max_features, ngrams).select("term"))
-    tokens = words.select(*also, "key", F.explode(grams_of(F.col("words"), ngrams)).alias("term"))
-    tf = materialize(tokens.join(kept, "term", "left_semi").groupBy(*also, "key", "term").agg(F.count("*").alias("tf")), "terms")
+    names = [r.term for r in vocabulary(words, max_features, ngrams).select("term").collect()]
     size = words.agg(F.count("*").alias("n")).scalar()
-    seen = tf.groupBy("term").agg(F.count("*").alias("df"))
-    idf = seen.select("term", (F.log((size + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
-    weights = tf.join(F.broadcast(idf), "term").select(*also, "key", "term", (F.col("tf") * F.col("idf")).alias("weight"))
-    return weights, idf
+    head = [*also, "key"]
+    if not names:
+        return words.select(*head, F.array().cast("array<int>").alias("terms"), F.array().cast("array<bigint>").alias("counts")).limit(0), [], []
+    vectors = materialize(_term_counts(words, names, also), "terms")
+    if vectors.groupBy(*head).agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count():
+        # rows of the same key are one text
+        each = vectors.select(*head, F.inline(F.arrays_zip("terms", "counts"))).groupBy(*head, "terms").agg(F.sum("counts").alias("counts"))
+        vectors = each.groupBy(*head).agg(F.collect_list(F.struct("terms", "counts")).alias("v"))
+        vectors = materialize(vectors.select(*head, F.col("v.terms").alias("terms"), F.col("v.counts").alias("counts")), "merged")
+    seen = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    idf = {r.term: r.idf for r in seen.select("term", (F.log((F.lit(size) + 1) / (F.col("df") + 1)) + 1.0).alias("idf")).collect()}
+    return vectors, names, [idf[i] for i in range(len(names))]
+
+
+def _weighed(vectors: DataFrame, idf: list[float], make, schema: str) -> DataFrame:
+    """``make(batch, sizes, starts, terms, weights)`` of the vectors in Arrow batches: of each vector its size and where it begins, and of all one after another the terms' places and weights."""
+    values = np.array(idf)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                sizes = batch.column("terms").value_lengths().to_numpy()
+                terms = batch.column("terms").flatten().to_numpy()
+                yield make(batch, sizes, np.cumsum(sizes) - sizes, terms, batch.column("counts").flatten().to_numpy() * values[terms])
+
+    ship_package(vectors.sparkSession)
+    return vectors.select("key", "terms", "counts").mapInArrow(run, f"key {vectors.schema['key'].dataType.simpleString()}, {schema}")
+
+
+def _normed(vectors: DataFrame, names: list[str], idf: list[float]) -> DataFrame:
+    """``(key, term, weight)`` with normalised weights."""
+
+    def make(batch, sizes, starts, terms, weights):
+        norm = np.repeat(np.sqrt(np.add.reduceat(weights * weights, starts)), sizes)
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        return pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(rows)), pa.array(names, pa.string()).take(pa.array(terms)), pa.array(weights / norm)], ["key", "term", "weight"])
+
+    return _weighed(vectors, idf, make, "term string, weight double")
 
 
 def tfidf(df: DataFrame, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 1), stop=ENGLISH_STOP_WORDS) -> DataFrame:
     """L2-normalised ``(key, term, weight)``; a row has at most ``max_features`` terms."""
-    weights, _ = term_weights(df, text, key, max_features, ngrams, stop)
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("key")))
-    return weights.withColumn("weight", F.try_divide(F.col("weight"), norm))
+    return _normed(*term_vectors(df, text, key, max_features, ngrams, stop))
 
 
 def _ranked(df: DataFrame, dots: DataFrame, key: str, k: int) -> DataFrame:
@@ -175,26 +311,27 @@ def _ranked(df: DataFrame, dots: DataFrame, key: str, k: int) -> DataFrame:
     )
 
 
-def _cosine(weights: DataFrame, query: DataFrame) -> DataFrame:
-    """Cosine of every row with the query; ``query`` holds the few terms of one text."""
-    q = F.broadcast(query.select("term", F.col("weight").alias("q")))
-    both = weights.join(q, "term", "left")
-    sums = both.groupBy("key").agg(
-        F.sum(F.col("weight") * F.coalesce("q", F.lit(0.0))).alias("dot"),
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
-    )
-    length = query.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).scalar()
+def _cosine(vectors: DataFrame, idf: list[float], asked: list[float]) -> DataFrame:
+    """Cosine of every vector with the query, whose weights are ``asked`` by the places of the terms."""
+    query = np.array(asked)
+    length = float(np.sqrt(query @ query))
+
+    def make(batch, sizes, starts, terms, weights):
+        dot = np.add.reduceat(weights * query[terms], starts)
+        return pa.RecordBatch.from_arrays([batch.column("key"), pa.array(dot), pa.array(np.sqrt(np.add.reduceat(weights * weights, starts)))], ["key", "dot", "norm"])
+
+    sums = _weighed(vectors, idf, make, "dot double, norm double").where("dot > 0")
     # Sums run in any order: rounding keeps equal texts equal, so that ties fall to the key
-    cosine = F.round(F.try_divide(F.col("dot"), F.col("norm") * length), 12)
-    return sums.where(F.col("dot") > 0).select("key", cosine.alias("similarity"))
+    return sums.select("key", F.round(F.try_divide(F.col("dot"), F.col("norm") * length), 12).alias("similarity"))
 
 
 def find_similar(df: DataFrame, query: str, k: int = 5, text: str = "voice_description", key: str = "idx", max_features: int = 1000, ngrams=(1, 2), stop=ENGLISH_STOP_WORDS) -> DataFrame:
     """The ``k`` rows closest to ``query``, with the query part of the fitted corpus."""
     asked = df.sparkSession.range(1).select(F.lit(True).alias("_asked"), F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(query).alias(text))
     corpus = df.select(F.lit(False).alias("_asked"), key, text).unionByName(asked)
-    weights, _ = term_weights(corpus, text, key, max_features, ngrams, stop, also=["_asked"])
-    return _ranked(df, _cosine(weights.where(~F.col("_asked")), weights.where("_asked")), key, k)
+    vectors, names, idf = term_vectors(corpus, text, key, max_features, ngrams, stop, also=["_asked"])
+    weights = {t: c * idf[t] for r in vectors.where("_asked").collect() for t, c in zip(r.terms, r.counts)}  # of one text
+    return _ranked(df, _cosine(vectors.where(~F.col("_asked")), idf, [weights.get(i, 0.0) for i in range(len(names))]), key, k)
 
 
 # Postings in a block of the search index, and folders that its row vectors are dealt out to.
@@ -210,18 +347,15 @@ def search_index(df: DataFrame, path: str, text: str = "voice_description", key:
     ``blocks``: the postings of each term by falling weight, up to ``block_rows`` in one row with the largest weight, in the
     order of terms and weights. ``vectors``: the normalised weights of each row, in ``folders`` folders by the key's hash. ``vocabulary``: term and idf.
     """
-    weights, idf = term_weights(df, text, key, max_features, ngrams, stop)
-    vectors = weights.groupBy("key").agg(F.collect_list(F.struct("term", "weight")).alias("v"))  # at most max_features entries
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
-    normed = F.transform("v", lambda x: F.struct(x["term"].alias("term"), F.try_divide(x["weight"], F.col("norm")).alias("weight")))
+    fitted, names, idf = term_vectors(df, text, key, max_features, ngrams, stop)
     folder = F.pmod(F.xxhash64("key"), F.lit(folders)).cast("int")
-    vectors = vectors.withColumn("norm", norm).select("key", normed.alias("v"), folder.alias("folder"))
-    vectors.repartition("folder").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/vectors")
+    vectors = _normed(fitted, names, idf).groupBy("key").agg(F.collect_list(F.struct("term", "weight")).alias("v"))  # at most max_features entries
+    vectors.withColumn("folder", folder).repartition("folder").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/vectors")
     postings = df.sparkSession.read.parquet(f"{path}/vectors").select("key", F.inline("v"))
     # a frequent term is spread over several ranges of its weights
     ordered = postings.select("term", "key", "weight").repartitionByRange("term", F.desc("weight"), "key").sortWithinPartitions("term", F.desc("weight"), "key")
     _in_blocks(ordered, block_rows).write.mode("overwrite").parquet(f"{path}/blocks")
-    idf.write.mode("overwrite").parquet(f"{path}/vocabulary")
+    df.sparkSession.createDataFrame(list(zip(names, idf)), "term string, idf double").write.mode("overwrite").parquet(f"{path}/vocabulary")
     df.sparkSession.range(1).select(F.lit(folders).cast("long").alias("folders")).write.mode("overwrite").parquet(f"{path}/layout")
     return path
 

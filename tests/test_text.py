@@ -67,6 +67,35 @@ def test_find_similar_equals_brute_force(described):
     assert got[0].demographics == "male, teens, None"
 
 
+def test_weights_are_worked_out_where_a_texts_terms_are(described, monkeypatch):
+    plan = text_search.tfidf(described, ngrams=(1, 2))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    chosen = []
+    monkeypatch.setattr(text_search, "_ranked", lambda df, dots, key, k: chosen.append(dots))
+    text_search.find_similar(described, "warm voice", ngrams=(1, 2))
+    plan = chosen[0]._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("listed, piece", [(0, 1_000_000), (100_000, 1), (100_000, 5)])
+def test_terms_do_not_depend_on_pieces_or_lists(described, monkeypatch, listed, piece):
+    ask = lambda n: {(r.key, r.term, round(r.weight, 9)) for r in text_search.tfidf(described, max_features=9, ngrams=n, stop=["and"]).collect()}
+    want = [ask(n) for n in ((1, 1), (1, 2), (1, 3), (2, 3))]
+    monkeypatch.setattr(text_search, "LISTED_WORDS", listed)
+    monkeypatch.setattr(text_search, "PIECE_WORDS", piece)
+    assert [ask(n) for n in ((1, 1), (1, 2), (1, 3), (2, 3))] == want
+
+
+def test_rows_of_one_key_are_one_text(spark):
+    rows = [(1, "warm voice"), (1, "warm tone"), (2, "deep voice"), (None, "deep tone"), (None, "deep"), (3, None), (4, "a")]
+    got = text_search.tfidf(spark.createDataFrame(rows, "idx long, voice_description string"), ngrams=(1, 2), stop=[]).collect()
+    keys = {k: Counter(t for i, x in rows if i == k and x for w in [[w for w in x.split() if len(w) > 1]] for t in w + [" ".join(p) for p in zip(w, w[1:])]) for k, _ in rows}
+    weight = {(k, t): n * (math.log((1 + len(rows)) / (1 + sum(t in c for c in keys.values()))) + 1) for k, c in keys.items() for t, n in c.items()}
+    norm = {k: math.sqrt(sum(w * w for (i, _), w in weight.items() if i == k)) for k in keys}
+    assert len(got) == len(weight) and all(math.isclose(r.weight, weight[r.key, r.term] / norm[r.key], rel_tol=1e-9) for r in got)
+    assert text_search.tfidf(spark.createDataFrame([(1, "a"), (2, None)], "idx long, voice_description string"), ngrams=(1, 2)).count() == 0
+
+
 def test_search_ignores_terms_the_corpus_lacks(described, spark):
     path = text_search.search_index(described, workspace(spark, "index"))
     got = text_search.search(described, path, "zebra deep zebra", 2).collect()
