@@ -14,6 +14,7 @@ other than the id and the text are not read.
 
 import base64
 import heapq
+from copy import copy
 from functools import lru_cache
 
 import numpy as np
@@ -235,20 +236,26 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(content: bytes, pattern: str) -> Encoder:
-    """The encoder of this worker; its words serve all the tasks that the worker runs."""
+def _encoder(content: bytes, pattern: str) -> Encoder:
     return Encoder(content, pattern)
 
 
+def encoder(content: bytes, pattern: str, kept: int = KEPT_PARTS) -> Encoder:
+    """An encoder for a task: the worker keeps its tables of ranks for the next one, but not the parts of texts."""
+    own = copy(_encoder(content, pattern))
+    own.known = Recent(kept)
+    return own
+
+
 def encode_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of every text."""
     content = read_ranks(ranks_path)
 
-    def run(ids, texts):
-        found = encoder(content, pattern).encoded(texts)
+    def run(ids, texts, own):
+        found = own.encoded(texts)
         return {"doc_id": ids, "ids": [list(map(int, i.split(","))) if i else [] for i, _ in found]}
 
-    return map_batches(docs.select("doc_id", "text"), per_text(run, IDS_SCHEMA), IDS_SCHEMA)
+    return map_batches(docs.select("doc_id", "text"), per_text(run, IDS_SCHEMA, lambda: encoder(content, pattern)), IDS_SCHEMA)
 
 
 def decode_ids(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -262,15 +269,18 @@ def decode_ids(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", F.decode(F.unhex(F.array_join(joined, "")), "UTF-8").alias("text"))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, the last from decoding the ids again."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, kept: int = KEPT_PARTS) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, the last from decoding the ids again.
+
+    A task keeps ``kept`` distinct parts of texts; results do not depend on it.
+    """
     content = read_ranks(ranks_path)
 
-    def run(ids, texts):
-        found = [(i.count(",") + bool(i), sha256_hex(i.encode()), sha256_hex(d)) for i, d in encoder(content, pattern).encoded(texts)]
+    def run(ids, texts, own):
+        found = [(i.count(",") + bool(i), sha256_hex(i.encode()), sha256_hex(d)) for i, d in own.encoded(texts)]
         return {"doc_id": ids} | {c: [f[k] for f in found] for k, c in enumerate(("n_tokens", "ids_sha256", "decoded_sha256"))}
 
-    return map_batches(docs.select("doc_id", "text"), per_text(run, SCHEMA), SCHEMA)
+    return map_batches(docs.select("doc_id", "text"), per_text(run, SCHEMA, lambda: encoder(content, pattern, kept)), SCHEMA)
 
 
 def merge_words(word: Column, ranks_path: str, buckets: int = 4096) -> Column:

@@ -98,7 +98,8 @@ def per_text(fn, schema, begin=None, id_col="doc_id", text_col="text"):
 
     With ``begin``, what it returns at the start of a task is handed over third, and goes with the task.
     A null text is handed over as an empty one. Columns of ``schema`` that ``fn`` does not return are passed on as they came. Batches
-    are cut into pieces of at most ``PIECE_BYTES`` of text (a longer text comes alone), which bounds what ``fn`` holds at a time.
+    are cut into pieces of at most ``PIECE_BYTES`` of text (a longer text comes alone), which bounds what ``fn`` holds at a time. What
+    Arrow has no more use for goes back to the machine after each piece, as workers wait beside other stages with what they last held.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -110,5 +111,7 @@ def per_text(fn, schema, begin=None, id_col="doc_id", text_col="text"):
             ids, texts = batch.column(id_col), batch.column(text_col).to_pylist()
             out = fn(ids.to_pylist(), [t if t is not None else "" for t in texts], *own)
             yield pa.RecordBatch.from_pydict({f.name: out[f.name] if f.name in out else batch.column(f.name) for f in arrow}, schema=arrow)
+            del batch, ids, texts, out
+            pa.default_memory_pool().release_unused()
 
     return run

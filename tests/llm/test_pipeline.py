@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 
 import corpus_pipeline
 from speechframe.llm import bpe
@@ -97,3 +98,30 @@ def test_texts_go_to_python_in_small_batches(spark):
         assert encoded.count() == 5
     finally:
         spark.conf.set(key, usual)
+
+
+def test_long_texts_go_to_python_few_at_a_time(spark, tmp_path):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    usual = [spark.conf.get(key) for key in keys]
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    try:
+        spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "repeat('long text ', 2000) AS text").write.parquet(f"{tmp_path}/long")
+        corpus_pipeline.in_small_batches(spark)
+        found = spark.read.parquet(f"{tmp_path}/long").mapInArrow(held, "rows long, bytes long").collect()
+        assert sum(r.rows for r in found) == 400 and max(r.bytes for r in found) <= 2 * corpus_pipeline.BATCH_BYTES
+    finally:
+        for key, value in zip(keys, usual):
+            spark.conf.set(key, value.removesuffix("b"))
+
+
+def test_a_worker_keeps_no_parts_of_texts_after_a_task():
+    content = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    first = bpe.encoder(content, public_tokenizers.PATTERN, 100)
+    once = list(first.encoded([PASSAGE]))
+    second = bpe.encoder(content, public_tokenizers.PATTERN, 100)
+    assert first.known.now and not second.known.now and second.ranks is first.ranks
+    assert list(second.encoded([PASSAGE])) == once
