@@ -1,11 +1,11 @@
 """Character labels, the character classifier and its report."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer
 from pyspark.sql import DataFrame, functions as F
 
 from speechframe.functions.scalars import character_type
+from speechframe.operators import forest
 from speechframe.operators.sampling import train_test
 from speechframe.operators.text_search import ENGLISH_STOP_WORDS, TOKEN
 from speechframe.session import materialize
@@ -15,12 +15,20 @@ def label_characters(df: DataFrame, key: str = "idx") -> DataFrame:
     return df.select(key, "voice_description", character_type("voice_description").alias("label"))
 
 
+class CharacterModel(PipelineModel):
+    """Text stages, forest and names; the rows are numbered before they are cut into words, so that only their own columns are written."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        *text, trees, names = self.stages
+        rows = materialize(dataset.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        return names.transform(trees.predict(PipelineModel(text).transform(rows)))
+
+
 def train_classifier(df: DataFrame, max_features: int = 500, trees: int = 100, seed: int = 42, max_depth: int = 30, stop=ENGLISH_STOP_WORDS):
     """Fit TF-IDF and a random forest on ``(voice_description, label)``; the model adds ``prediction_label``.
 
-    The texts are cut into words once, and the features are written once: growing a forest passes over them for every level of
-    its trees. The node that each row has reached in each tree is kept from pass to pass, so that no pass sends the trees grown
-    so far to the tasks or sends a row down them again.
+    The texts are cut into words once. The forest is grown by the tasks and left in the shared folder (``forest``): fully grown
+    trees have about as many nodes as there are rows, which the driver cannot hold.
     """
     cut = PipelineModel(
         [
@@ -33,10 +41,10 @@ def train_classifier(df: DataFrame, max_features: int = 500, trees: int = 100, s
     counted = materialize(counts.transform(words).select("label", "counts"), "counts")
     weights = IDF(inputCol="counts", outputCol="features").fit(counted)
     labels = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep").fit(counted)
-    features = materialize(labels.transform(weights.transform(counted)).select("label_index", "features"), "features")
-    forest = RandomForestClassifier(labelCol="label_index", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth, cacheNodeIds=True)
+    features = labels.transform(weights.transform(counted)).select("label_index", "features")
+    trees = forest.fit(features, len(counts.vocabulary), trees, seed, max_depth)
     names = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels)
-    return PipelineModel([*cut.stages, counts, weights, labels, forest.fit(features), names])
+    return CharacterModel([*cut.stages, counts, weights, labels, trees, names])
 
 
 def predict_test_rows(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str = "idx", **options) -> tuple[DataFrame, DataFrame]:

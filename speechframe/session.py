@@ -69,7 +69,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = workspace(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` returned, once nothing will read it again."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._written)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_workspace(spark: SparkSession) -> None:
