@@ -131,3 +131,17 @@ def test_depth_is_bounded(noisy):
         forest.fit(noisy.select(F.lit(0.0).alias("label_index")), 1, max_depth=31)
     shallow = classify.train_classifier(noisy, trees=2, max_depth=0).transform(noisy)
     assert shallow.select("prediction").distinct().count() == 1
+
+
+def test_test_rows_come_whole_from_a_model_that_the_driver_does_not_hold(spark, monkeypatch):
+    """Rows are told apart by themselves, not by their key, which may repeat or be null."""
+    texts = ["a warm sound", "a deep sound", "a young sound", "a sound", None]
+    df = spark.createDataFrame([(None if i % 9 == 0 else i // 2, texts[i % 5]) for i in range(300)], "idx long, voice_description string")
+    models, train = [], classify.train_classifier
+    monkeypatch.setattr(classify, "train_classifier", lambda *a, **k: models.append(train(*a, **k)) or models[-1])
+    predicted, trained = classify.predict_test_rows(df, trees=8)
+    labelled = classify.train_test(classify.label_characters(df).where("label IS NOT NULL"))
+    rows = lambda d: sorted(map(str, d.select("idx", "voice_description", "label").collect()))
+    assert rows(predicted) == rows(labelled.where("is_test")) and rows(trained) == rows(labelled.where("NOT is_test"))
+    assert predicted.where("label = prediction_label").count() == predicted.count()
+    assert sum(len(u.feature) for u in models[0].stages[-2].uppers) == 8
